@@ -66,8 +66,8 @@ def eval_report(predictions: DataFrame, pairs: DataFrame, k: int = TOP_K) -> Dat
         .agg(F.count_distinct("article_id").alias("recommended"))
     )
     bought = pairs.agg(F.count_distinct("article_id").alias("n")).scalar()
-    coverage = F.when(bought > 0, F.coalesce("recommended", F.lit(0)) / bought).otherwise(0.0)
-    joined = sizes.join(scores, by, "left").join(recommended, by, "left")
+    coverage = F.when(F.col("bought") > 0, F.coalesce("recommended", F.lit(0)) / F.col("bought")).otherwise(0.0)
+    joined = sizes.join(scores, by, "left").join(recommended, by, "left").withColumn("bought", bought)
     return joined.select(
         *by, *[f"map_at_{x}" for x in ks], coverage.alias("catalog_coverage"), "num_customers"
     )
@@ -77,15 +77,13 @@ def model_comparison(predictions: DataFrame, pairs: DataFrame, ensemble: str, k:
     """Models by MAP, the best flagged, and what the ensemble gains over the best base model."""
     scores = map_at_k(predictions, pairs, (k,)).select("model_name", F.col(f"map_at_{k}").alias("map"))
     best_base = F.max(F.when(F.col("model_name") != ensemble, F.col("map")))
-    base = scores.agg(best_base.alias("b")).scalar()
-    # One row per model: the only window without a partition, over a handful of rows.
+    # Windows without a partition: one row per model, a handful in all.
+    everything = Window.partitionBy()
     place = Window.orderBy(F.col("map").desc())
-    return scores.withColumns(
-        {
-            "place": F.rank().over(place),
-            "is_best": F.rank().over(place) == 1,
-            "gain_pct": F.when(
-                (F.col("model_name") == ensemble) & (base > 0), 100.0 * (F.col("map") - base) / base
-            ),
-        }
+    base = best_base.over(everything)
+    gain = F.when((F.col("model_name") == ensemble) & (F.col("base") > 0), 100.0 * (F.col("map") - F.col("base")) / F.col("base"))
+    return (
+        scores.withColumns({"place": F.rank().over(place), "base": base})
+        .withColumns({"is_best": F.col("place") == 1, "gain_pct": gain})
+        .drop("base")
     )

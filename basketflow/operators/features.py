@@ -244,7 +244,7 @@ def top_categories(transactions: DataFrame, articles: DataFrame, top_n: int = 3)
     pairs = transactions.groupBy("customer_id", "article_id").agg(F.count(F.lit(1)).alias("n"))
     groups = articles.select("article_id", "product_group_name")
     counts = (
-        lookup_join(pairs, groups, "article_id", "left", spread=["customer_id"])
+        lookup_join(pairs, groups, "article_id", "left", spread=["customer_id"], hot_from=transactions)
         .groupBy("customer_id", "product_group_name")
         .agg(F.sum("n").alias("category_purchases"))
     )

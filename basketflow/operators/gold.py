@@ -141,7 +141,7 @@ def category_insights(transactions: DataFrame, articles: DataFrame) -> DataFrame
         F.coalesce("product_group_name", F.lit(UNKNOWN)).alias("product_group_name"),
         F.coalesce("product_type_name", F.lit(UNKNOWN)).alias("product_type_name"),
     )
-    named = lookup_join(pairs, categories, "article_id", spread=["customer_id"])
+    named = lookup_join(pairs, categories, "article_id", spread=["customer_id"], hot_from=transactions)
     per_customer = named.groupBy("product_group_name", "product_type_name", "customer_id").agg(
         F.sum("n").alias("n"),
         F.sum("revenue").alias("revenue"),

@@ -9,7 +9,8 @@ from basketflow.config import PairSampling
 from basketflow.functions.encoding import FEATURES
 from basketflow.functions.sampling import Hasher, fast_hash, keep_fraction
 from basketflow.operators.ordering import with_row_index
-from basketflow.operators.skew import lookup_join
+from basketflow.operators.skew import lookup_join, small_enough
+from basketflow.session import materialize
 
 PAIR = ["customer_id", "article_id"]
 
@@ -46,6 +47,18 @@ def _systematic(draws: DataFrame, start: Column, name: str) -> DataFrame:
     )
 
 
+def _article_numbers(articles: DataFrame) -> DataFrame:
+    """(article_id, at): articles numbered from 0 in id order, as a written table."""
+    ids = articles.select("article_id").distinct()
+    return materialize(with_row_index(ids, [F.col("article_id")], "at", start=0), "article-numbers")
+
+
+def _at_numbers(drawn: DataFrame, index: DataFrame) -> DataFrame:
+    """Articles of evenly spread numbers: no number is hot, so nothing is salted."""
+    side = F.broadcast(index) if small_enough(index) else index
+    return drawn.join(side, "at").select(*PAIR)
+
+
 def candidate_pairs(
     customers: DataFrame, articles: DataFrame, per_customer: int, seed: int = 42, hasher: Hasher = fast_hash
 ) -> DataFrame:
@@ -54,13 +67,13 @@ def candidate_pairs(
     Articles get a dense number, each customer draws evenly spaced numbers from a hashed start. The
     output grows with the customers; the full product of both tables is never formed.
     """
-    index = with_row_index(articles.select("article_id").distinct(), [F.col("article_id")], "at", start=0)
+    index = _article_numbers(articles)
     size = index.agg(F.count(F.lit(1)).alias("n")).scalar()
     asked = customers.select("customer_id", size.alias("free")).withColumn(
         "wanted", F.least(F.lit(per_customer).cast("long"), F.col("free"))
     )
     drawn = _systematic(asked, hasher(F.col("customer_id"), seed=seed), "at")
-    return lookup_join(drawn, index, "at", spread=["customer_id"]).select(*PAIR)
+    return _at_numbers(drawn, index)
 
 
 def unbought(pairs: DataFrame, positives: DataFrame) -> DataFrame:
@@ -85,11 +98,11 @@ def negatives(
 
     Windows per customer hold each catalogue article at most once, whatever the purchase count.
     """
-    index = with_row_index(articles.select("article_id").distinct(), [F.col("article_id")], "at", start=0)
+    index = _article_numbers(articles)
     size = index.agg(F.count(F.lit(1)).alias("n")).scalar()
     wanted = sampled.groupBy("customer_id").agg(F.round(F.count(F.lit(1)) * ratio).cast("long").alias("wanted"))
     of_interest = bought.select(*PAIR).join(wanted.select("customer_id"), "customer_id", "left_semi")
-    numbered = lookup_join(of_interest, index, "article_id", spread=["customer_id"])
+    numbered = lookup_join(of_interest, index, "article_id", spread=["customer_id"], hot_from=bought)
     ascending = Window.partitionBy("customer_id").orderBy("at")
     gaps = numbered.select(
         "customer_id", (F.col("at") - F.row_number().over(ascending) + 1).alias("j"), F.lit(0).alias("draw")
@@ -110,7 +123,7 @@ def negatives(
         .filter(F.col("draw") == 1)
         .select("customer_id", "at")
     )
-    return lookup_join(placed, index, "at", spread=["customer_id"]).select(*PAIR)
+    return _at_numbers(placed, index)
 
 
 def training_pairs(
@@ -121,12 +134,12 @@ def training_pairs(
     hasher: Hasher = fast_hash,
 ) -> DataFrame:
     """Positives (capped), their negatives, and the encoded features of both sides."""
-    bought = distinct_pairs(transactions)
-    sampled = capped_sample(bought, PAIR, sampling.max_samples, sampling.seed, hasher)
+    bought = materialize(distinct_pairs(transactions), "bought-pairs")
+    sampled = materialize(capped_sample(bought, PAIR, sampling.max_samples, sampling.seed, hasher), "positives")
     drawn = negatives(sampled, bought, article_codes, sampling.negative_ratio, sampling.seed, hasher)
-    labelled = sampled.unionByName(drawn.withColumn("label", F.lit(0)))
+    labelled = sampled.unionByName(materialize(drawn, "negatives").withColumn("label", F.lit(0)))
     with_customer = lookup_join(labelled, customer_codes, "customer_id", spread=["article_id"])
-    return lookup_join(with_customer, article_codes, "article_id", spread=["customer_id"])
+    return lookup_join(with_customer, article_codes, "article_id", spread=["customer_id"], hot_from=labelled)
 
 
 def standardize(train: DataFrame, apply_to: DataFrame, columns: list[str] | None = None) -> DataFrame:
@@ -135,9 +148,10 @@ def standardize(train: DataFrame, apply_to: DataFrame, columns: list[str] | None
     moments = []
     for c in columns:
         moments += [F.avg(c).alias(f"mean_{c}"), F.stddev_pop(c).alias(f"std_{c}")]
-    stats = train.agg(F.struct(*moments).alias("s")).scalar()
-    scaled = {
-        c: (F.col(c) - stats[f"mean_{c}"]) / F.when(stats[f"std_{c}"] > 0, stats[f"std_{c}"]).otherwise(1.0)
-        for c in columns
-    }
-    return apply_to.withColumns(scaled)
+    measured = train.agg(F.struct(*moments).alias("s")).scalar()
+
+    def scaled(c: str) -> Column:
+        deviation = F.col("_stats")[f"std_{c}"]
+        return (F.col(c) - F.col("_stats")[f"mean_{c}"]) / F.when(deviation > 0, deviation).otherwise(1.0)
+
+    return apply_to.withColumn("_stats", measured).withColumns({c: scaled(c) for c in columns}).drop("_stats")

@@ -97,14 +97,18 @@ def feature_histogram(df: DataFrame, column: str, bins: int = 50) -> DataFrame:
     """Equal-width bins between minimum and maximum, the upper edge in the last bin; empty bins show 0."""
     value = F.col(column).cast("double")
     present = df.select(value.alias("v")).filter("v is not null")
-    edges = present.agg(F.min("v").alias("lo"), F.max("v").alias("hi"))
-    lo, hi = edges.select("lo").scalar(), edges.select("hi").scalar()
+    lo, hi = F.min("v"), F.max("v")
     # A constant column gets a unit-wide range around its value.
-    start = F.when(lo == hi, lo - 0.5).otherwise(lo)
-    width = F.when(lo == hi, 1.0).otherwise(hi - lo) / bins
+    constant = lo == hi
+    edges = F.struct(
+        F.when(constant, lo - 0.5).otherwise(lo).alias("start"),
+        (F.when(constant, 1.0).otherwise(hi - lo) / bins).alias("width"),
+    )
+    range_of = present.agg(edges.alias("e")).scalar()
+    start, width = F.col("e")["start"], F.col("e")["width"]
     in_bin = F.least(F.floor((F.col("v") - start) / width), F.lit(bins - 1)).cast("int")
-    counts = present.groupBy(in_bin.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
-    frame = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
+    counts = present.withColumn("e", range_of).groupBy(in_bin.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    frame = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"), range_of.alias("e"))
     return frame.join(F.broadcast(counts), "bin", "left").select(
         "bin",
         (start + F.col("bin") * width).alias("bin_start"),

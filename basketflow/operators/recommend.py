@@ -27,7 +27,7 @@ def recent(transactions: DataFrame, reference: Reference, n_days: int, open_end:
     """Purchases from ``n_days`` before the reference date up to it; ``open_end`` keeps later ones too."""
     ref = _reference(transactions, reference)
     out = transactions.filter(F.col("t_dat") >= F.date_sub(ref, n_days))
-    return out if open_end else out.filter(F.col("t_dat") <= ref)
+    return out if open_end or reference is None else out.filter(F.col("t_dat") <= ref)
 
 
 def popular_items(
@@ -129,7 +129,14 @@ def segment_top_n(
     )
     known = known_segment(segments.select("customer_id", segment), segment)
     counts = (
-        lookup_join(pairs, known, "customer_id", spread=["article_id"], max_bytes=max_bytes)
+        lookup_join(
+            pairs,
+            known,
+            "customer_id",
+            spread=["article_id"],
+            max_bytes=max_bytes,
+            hot_from=recent(transactions, reference, n_days),
+        )
         .groupBy(segment, "article_id")
         .agg(F.sum("n").alias("segment_purchases"))
     )
@@ -178,9 +185,13 @@ def age_rules_predict(
     the one list of ``fallback`` (rows of article_id and rank).
     """
     per_segment = ranked_lists(ranked, segment)
-    out = lookup_join(
-        segments.select("customer_id", segment), per_segment, segment, "left", spread=["customer_id"], max_bytes=max_bytes
-    ).select("customer_id", segment, "predicted_articles")
+    members = segments.select("customer_id", segment)
+    if segment == "age_group":
+        # One row per age band: seven at most.
+        out = members.join(F.broadcast(per_segment), segment, "left")
+    else:
+        out = lookup_join(members, per_segment, segment, "left", spread=["customer_id"], max_bytes=max_bytes)
+    out = out.select("customer_id", segment, "predicted_articles")
     if fallback is not None:
         in_order = F.array_sort(F.collect_list(F.struct("rank", "article_id")))
         default = fallback.agg(F.transform(in_order, lambda s: s["article_id"]).alias("l")).scalar()
@@ -238,7 +249,9 @@ def next_item_recommend(
         followers.select(F.col("article_id").alias("last_article"), F.col("next_article").alias("article_id"), "rank"),
         "last_article",
     ).withColumnRenamed("last_article", "article_id")
-    joined = lookup_join(last, by_article, "article_id", "left", spread=["customer_id"], max_bytes=max_bytes)
+    joined = lookup_join(
+        last, by_article, "article_id", "left", spread=["customer_id"], max_bytes=max_bytes, hot_from=transactions
+    )
     return joined.select(
         "customer_id",
         F.coalesce("predicted_articles", F.array().cast("array<long>")).alias("predicted_articles"),

@@ -55,6 +55,7 @@ def lookup_join(
     how: str = "inner",
     spread: list[str] | None = None,
     max_bytes: int | None = None,
+    hot_from: DataFrame | None = None,
     share: float = HOT_SHARE,
     salts: int = SALTS,
 ) -> DataFrame:
@@ -63,11 +64,12 @@ def lookup_join(
     A lookup side whose planned size is within the broadcast limit is broadcast. Beyond it both
     sides are shuffled, and rows of a hot key are dealt out over ``salts`` copies of its one lookup
     row. ``spread`` names columns that differ between rows of the same key (default: all others).
-    The salt is a hash of the row, so a retried task deals its rows the same way.
+    The salt is a hash of the row, so a retried task deals its rows the same way. ``hot_from`` names
+    a cheaper table to look for hot keys in, when ``rows`` is the outcome of an aggregate.
     """
     if small_enough(lookup, max_bytes):
         return rows.join(F.broadcast(lookup), on, how)
-    hot = hot_values(rows, on, share)
+    hot = hot_values(rows if hot_from is None else hot_from, on, share)
     is_hot = F.coalesce(F.array_contains(hot, F.col(on)), F.lit(False))
     dealt = F.pmod(F.xxhash64(*(spread or [c for c in rows.columns if c != on])), F.lit(salts)).cast("int")
     # A missing key matches nothing, so its rows may go anywhere.

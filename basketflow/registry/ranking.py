@@ -16,6 +16,7 @@ from basketflow.plans import evaluation, propensity, scoring
 from basketflow.registry import models
 from basketflow.registry.common import E_CUTS, MODELS, Inputs, as_text, query, r4, rounded, sql, truth_sql
 from basketflow.registry.rows import ARTICLE_CODES, CUSTOMER_CODES
+from basketflow.session import materialize
 
 _VAL = truth_sql("2024-01-15", "2024-01-22")
 _TEST = truth_sql("2024-01-22", "2024-01-29")
@@ -161,7 +162,8 @@ def deployment_evaluation(x: Inputs) -> DataFrame:
 
 
 def _scored(x: Inputs) -> tuple[DataFrame, DataFrame]:
-    popularity, followers = models.popularity(x), recommend.transitions(x.e_train)
+    popularity = materialize(models.popularity(x), "popularity-model")
+    followers = materialize(recommend.transitions(x.e_train), "next-item-model")
     known = x.e_train.select("customer_id", "article_id", "t_dat", "transaction_id")
 
     def next_items(customers: DataFrame) -> DataFrame:

@@ -20,6 +20,9 @@ def build_session(app: str, master: str | None = None, shuffle_partitions: int |
     )
     if master:
         builder = builder.master(master)
+        if master.startswith("local"):
+            # One JVM holds driver and executors; a cluster's launcher sets its own memory.
+            builder = builder.config("spark.driver.memory", "12g")
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     return builder.getOrCreate()

@@ -16,6 +16,7 @@ from basketflow.operators.filters import (
     page_counts,
     page_of,
 )
+from basketflow.operators.gold import period_sales
 from basketflow.operators.skew import lookup_join
 
 Day = dt.date | str | None
@@ -88,19 +89,8 @@ def time_series_exact(
 ) -> DataFrame:
     """The same periods from the purchases, with exact distinct counts and mean."""
     dated = between_dates(transactions, "t_dat", start, end).withColumn("date", F.col("t_dat"))
-    return (
-        dated.groupBy(_period(granularity).alias("period"))
-        .agg(
-            F.min("date").alias("date"),
-            F.count(F.lit(1)).alias("num_transactions"),
-            F.sum("price").alias("total_revenue"),
-            F.count_distinct("customer_id").alias("unique_customers"),
-            F.count_distinct("article_id").alias("unique_products"),
-            F.avg("price").alias("avg_transaction_value"),
-        )
-        .drop("period")
-        .orderBy("date")
-    )
+    periods = period_sales(dated.withColumn("period", _period(granularity)), "period")
+    return periods.drop("period").withColumnRenamed("first_date", "date").orderBy("date")
 
 
 def product_explorer(
@@ -214,8 +204,9 @@ def prediction_enrichment(
 ) -> DataFrame:
     """Predictions written as text, one row per recommended article with its details, newest first.
 
-    Ids that are no article keep their place as "Unknown Item". Works for one customer or for all:
-    every list of a popularity model names the same few articles, which the lookup join spreads.
+    Ids that are no article keep their place as "Unknown Item". Works for one customer or for all
+    (then unsorted): every list of a popularity model names the same few articles, which the lookup
+    join spreads.
     """
     chosen = predictions if customer_id is None else predictions.filter(F.col("customer_id") == customer_id)
     items = chosen.select(
@@ -232,23 +223,23 @@ def prediction_enrichment(
     ).withColumn("known", F.lit(True))
     number = F.when(F.col("article_id").rlike("^[0-9]+$"), F.col("article_id")).otherwise("0")
     missing = F.col("known").isNull()
-    return (
-        lookup_join(
-            items, details, "article_id", "left", spread=["customer_id", "model_name", "position"], max_bytes=max_bytes
-        )
-        .select(
-            "customer_id",
-            "model_name",
-            "model_version",
-            "model_alias",
-            "prediction_timestamp",
-            "batch_id",
-            "position",
-            "article_id",
-            F.when(missing, F.concat(F.lit("Unknown Item ("), "article_id", F.lit(")"))).otherwise(F.col("prod_name")).alias("name"),
-            F.when(missing, "Unknown").otherwise(F.col("product_group_name")).alias("category"),
-            F.when(missing, "").otherwise(F.col("detail_desc")).alias("description"),
-            image_path(number, image_root).alias("image_path"),
-        )
-        .orderBy("customer_id", F.col("prediction_timestamp").desc(), "model_name", "position")
+    unknown = F.concat(F.lit("Unknown Item ("), "article_id", F.lit(")"))
+    out = lookup_join(
+        items, details, "article_id", "left", spread=["customer_id", "model_name", "position"], max_bytes=max_bytes
+    ).select(
+        "customer_id",
+        "model_name",
+        "model_version",
+        "model_alias",
+        "prediction_timestamp",
+        "batch_id",
+        "position",
+        "article_id",
+        F.when(missing, unknown).otherwise(F.col("prod_name")).alias("name"),
+        F.when(missing, "Unknown").otherwise(F.col("product_group_name")).alias("category"),
+        F.when(missing, "").otherwise(F.col("detail_desc")).alias("description"),
+        image_path(number, image_root).alias("image_path"),
     )
+    if customer_id is None:
+        return out
+    return out.orderBy(F.col("prediction_timestamp").desc(), "model_name", "position")

@@ -26,27 +26,43 @@ def temporal_split(transactions: DataFrame, cutoffs: Cutoffs) -> dict[str, DataF
 
 
 def split_summary(transactions: DataFrame, cutoffs: Cutoffs) -> DataFrame:
-    """Rows, customers, articles and date range of the three splits, from one scan."""
+    """Rows, customers, articles and date range of each split that has rows.
+
+    Membership becomes conditional counts per customer and per article, combined before the
+    shuffle; the splits overlap, but no purchase is copied.
+    """
     day = F.col("t_dat")
     train, val, test = (as_date(d) for d in (cutoffs.train, cutoffs.val, cutoffs.test))
-    member_of = F.array_compact(
-        F.array(
-            F.when(day <= train, "train"),
-            F.when((day > train) & (day <= val), "val"),
-            F.when(day <= test, "test"),
+    member_of = {"train": day <= train, "val": (day > train) & (day <= val), "test": day <= test}
+    known = transactions.filter(day <= F.greatest(val, test))
+    per_customer, totals, per_article, articles = [], [], [], []
+    for split, member in member_of.items():
+        n, first, last, bought = f"n_{split}", f"first_{split}", f"last_{split}", f"bought_{split}"
+        per_customer += [
+            F.count(F.when(member, 1)).alias(n),
+            F.min(F.when(member, day)).alias(first),
+            F.max(F.when(member, day)).alias(last),
+        ]
+        totals.append(
+            F.struct(
+                F.lit(split).alias("split"),
+                F.sum(n).alias("num_transactions"),
+                F.count(F.when(F.col(n) > 0, F.col("customer_id"))).alias("num_customers"),
+                F.min(first).alias("first_date"),
+                F.max(last).alias("last_date"),
+            )
         )
-    )
-    return (
-        transactions.filter(day <= F.greatest(val, test))
-        .select("t_dat", "customer_id", "article_id", F.explode(member_of).alias("split"))
-        .groupBy("split")
-        .agg(
-            F.count(F.lit(1)).alias("num_transactions"),
-            F.count_distinct("customer_id").alias("num_customers"),
-            F.count_distinct("article_id").alias("num_articles"),
-            F.min("t_dat").alias("first_date"),
-            F.max("t_dat").alias("last_date"),
+        per_article.append(F.max(member).alias(bought))
+        articles.append(
+            F.struct(F.lit(split).alias("split"), F.count(F.when(F.col(bought), F.col("article_id"))).alias("num_articles"))
         )
+    by_customer = known.groupBy("customer_id").agg(*per_customer).agg(F.array(*totals).alias("s"))
+    by_article = known.groupBy("article_id").agg(*per_article).agg(F.array(*articles).alias("s"))
+    return (
+        by_customer.select(F.inline("s"))
+        .join(F.broadcast(by_article.select(F.inline("s"))), "split")
+        .filter("num_transactions > 0")
+        .select("split", "num_transactions", "num_customers", "num_articles", "first_date", "last_date")
     )
 
 

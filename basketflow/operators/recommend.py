@@ -213,8 +213,10 @@ def next_pairs(transactions: DataFrame, share: float = 0.02, pieces: int = 200)
     cut, hot = with_pieces(slim, "customer_id", order, share, pieces)
     in_piece = Window.partitionBy("customer_id", "_piece").orderBy(*order)
     followed = cut.withColumn("next_article", F.lead("article_id").over(in_piece))
+    if not hot:
+        return followed.select("article_id", "next_article").filter("next_article is not null")
     heads = (
-        cut.join(F.broadcast(hot), "customer_id", "left_semi")
+        cut.filter(F.col("customer_id").isin(hot))
         .groupBy("customer_id", "_piece")
         .agg(F.min_by("article_id", F.struct(*order)).alias("head"))
     )

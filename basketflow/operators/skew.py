@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import re
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from basketflow.session import materialize
+
 HOT_SHARE = 0.02
 SALTS = 64
 PIECES = 200
@@ -30,22 +33,35 @@ def small_enough(df: DataFrame, max_bytes: int | None = None) -> bool:
     return planned_bytes(df) <= limit
 
 
-def _frequent(df: DataFrame, key: str, share: float) -> DataFrame:
-    """One row with ``hot``: the (item, count) pairs whose estimated share of the rows exceeds ``share``.
+@dataclass(frozen=True)
+class HotKeys:
+    """Keys that each hold more than a given share of a table's rows, and their estimated row counts."""
+
+    rows: dict
+    nulls: bool
+
+    def __bool__(self) -> bool:
+        return bool(self.rows) or self.nulls
+
+    def holds(self, key: Column) -> Column:
+        hot = key.isin(*self.rows) if self.rows else F.lit(False)
+        return F.coalesce(hot, F.lit(False))
+
 
-    A mergeable sketch of fixed size: one pass, no shuffle of keys, at most ``2 / share`` items.
-    Callers use the answer for placement only, never for results, so an estimate is enough.
+def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> HotKeys:
+    """The hot keys of one column, found in one pass with a mergeable sketch of fixed size.
+
+    No key is shuffled and at most ``2 / share`` of them reach the driver. Callers use the answer
+    for the placement of rows only, never for results, so an estimate is enough.
     """
     items = int(2 / share)
     sketch = F.expr(f"approx_top_k(`{key}`, {items}, {items * 50})")
-    return df.agg(sketch.alias("top"), F.count(F.lit(1)).alias("n")).select(
-        F.expr(f"filter(top, x -> x.count > {share} * n)").alias("hot")
-    )
-
-
-def hot_values(df: DataFrame, key: str, share: float = HOT_SHARE) -> Column:
-    """The hot keys as one array, a scalar subquery evaluated once per query."""
-    return _frequent(df, key, share).select(F.transform("hot", lambda x: x["item"])).scalar()
+    found = df.agg(
+        sketch.alias("top"), F.count(F.lit(1)).alias("n"), F.count(F.when(F.col(key).isNull(), 1)).alias("nulls")
+    ).first()
+    limit = share * found["n"]
+    rows = {r["item"]: r["count"] for r in found["top"] or [] if r["item"] is not None and r["count"] > limit}
+    return HotKeys(rows, found["nulls"] > limit)
 
 
 def lookup_join(
@@ -63,48 +79,49 @@ def lookup_join(
 
     A lookup side whose planned size is within the broadcast limit is broadcast. Beyond it both
     sides are shuffled, and rows of a hot key are dealt out over ``salts`` copies of its one lookup
-    row. ``spread`` names columns that differ between rows of the same key (default: all others).
-    The salt is a hash of the row, so a retried task deals its rows the same way. ``hot_from`` names
-    a cheaper table to look for hot keys in, when ``rows`` is the outcome of an aggregate.
+    row; rows without a key match nothing and are dealt out as well. ``spread`` names columns that
+    differ between rows of the same key (default: all others). The salt is a hash of the row, so a
+    retried task deals its rows the same way. ``hot_from`` names a cheaper table to look for hot
+    keys in, when ``rows`` is the outcome of an aggregate.
     """
     if small_enough(lookup, max_bytes):
         return rows.join(F.broadcast(lookup), on, how)
-    hot = hot_values(rows if hot_from is None else hot_from, on, share)
-    is_hot = F.coalesce(F.array_contains(hot, F.col(on)), F.lit(False))
+    hot = hot_keys(rows if hot_from is None else hot_from, on, share)
+    if not hot:
+        return rows.join(lookup, on, how)
+    key = F.col(on)
     dealt = F.pmod(F.xxhash64(*(spread or [c for c in rows.columns if c != on])), F.lit(salts)).cast("int")
-    # A missing key matches nothing, so its rows may go anywhere.
-    left = rows.withColumn("_salt", F.when(is_hot | F.col(on).isNull(), dealt).otherwise(0))
-    copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    left = rows.withColumn("_salt", F.when(hot.holds(key) | key.isNull(), dealt).otherwise(0))
+    copies = F.when(hot.holds(key), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
     right = lookup.withColumn("_salt", F.explode(copies))
     return left.join(right, [on, "_salt"], how).drop("_salt")
 
 
 def with_pieces(
     df: DataFrame, group: str, order: list[str], share: float = HOT_SHARE, pieces: int = PIECES
-) -> tuple[DataFrame, DataFrame]:
+) -> tuple[DataFrame, list]:
     """Cut hot groups into consecutive pieces along ``order``.
 
     Adds ``_piece``: 0 for ordinary groups, 0, 1, 2, … for a hot group, rising with ``order``. Cut
-    points come from a hash sample of the hot group. Also returns the hot groups (at most
-    ``1 / share`` rows) so that callers can stitch the pieces of just these.
+    points come from a hash sample of the hot group, some ``50 * pieces`` rows. Also returns the hot
+    groups, so that callers can stitch the pieces of just these.
     """
-    key = F.struct(*order)
-    found = _frequent(df, group, share).select(F.explode("hot").alias("h"))
-    found = found.select(F.col("h.item").alias(group), F.col("h.count").alias("_n"))
-    span = 1 << 30
-    wanted = 50 * pieces
-    sampled = df.join(F.broadcast(found), group).filter(
-        F.pmod(F.xxhash64(*order), F.lit(span)) < F.lit(float(wanted) * span) / F.col("_n")
+    hot = hot_keys(df, group, share)
+    if not hot.rows:
+        return df.withColumn("_piece", F.lit(0)), []
+    key, span = F.struct(*order), 1 << 30
+    size = F.coalesce(*[F.when(F.col(group) == item, F.lit(n)) for item, n in hot.rows.items()])
+    sampled = df.filter(hot.holds(F.col(group))).filter(
+        F.pmod(F.xxhash64(*order), F.lit(span)) < F.lit(50.0 * pieces * span) / size
     )
     ordered = sampled.groupBy(group).agg(F.array_sort(F.collect_list(key)).alias("s"))
-    cuts = ordered.select(
-        group,
-        F.transform(
-            F.sequence(F.lit(1), F.lit(pieces - 1)),
-            lambda i: F.get("s", F.floor(i * F.size("s") / pieces).cast("int")),
-        ).alias("_cuts"),
+    every = F.transform(
+        F.sequence(F.lit(1), F.lit(pieces - 1)),
+        lambda i: F.get("s", F.floor(i * F.size("s") / pieces).cast("int")),
     )
+    # One row per hot group.
+    cuts = materialize(ordered.select(group, F.array_distinct(every).alias("_cuts")), "cuts")
     cut = df.join(F.broadcast(cuts), group, "left")
-    passed = F.size(F.filter(F.array_distinct("_cuts"), lambda c: c <= key))
+    passed = F.size(F.filter("_cuts", lambda c: c <= key))
     out = cut.withColumn("_piece", F.when(F.col("_cuts").isNotNull(), passed).otherwise(0)).drop("_cuts")
-    return out, cuts.select(group)
+    return out, list(hot.rows)

@@ -9,6 +9,7 @@ from basketflow.config import TOP_K, Cutoffs
 from basketflow.operators.evaluate import eval_report
 from basketflow.operators.labels import truth_pairs
 from basketflow.plans.scoring import Model
+from basketflow.session import materialize
 
 
 def deployment_evaluation(
@@ -35,4 +36,5 @@ def deployment_evaluation(
         F.lit(model.name).alias("model_name"),
         F.lit(str(model.version)).alias("model_version"),
     )
-    return eval_report(predicted, pairs, k).withColumn("dataset", F.lit(dataset))
+    written = materialize(predicted, "candidate-predictions")
+    return eval_report(written, pairs, k).withColumn("dataset", F.lit(dataset))

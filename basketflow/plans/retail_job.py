@@ -12,12 +12,12 @@ from basketflow.sources.files import read_by_month, read_csv, with_surrogate_key
 from basketflow.sources.serving import ServingStore
 
 
-def ingest(spark: SparkSession, raw: dict[str, str], out: str, files_per_month: int = 1) -> dict[str, DataFrame]:
+def ingest(spark: SparkSession, raw: dict[str, str], out: str) -> dict[str, DataFrame]:
     """Articles, customers and purchases from CSV files to parquet; purchases get date columns and an id."""
     articles = write_table(read_csv(spark, raw["articles"], schemas.ARTICLES), f"{out}/articles")
     customers = write_table(read_csv(spark, raw["customers"], schemas.CUSTOMERS), f"{out}/customers")
     purchases = with_surrogate_key(with_date_features(read_csv(spark, raw["transactions"], schemas.TRANSACTIONS)))
-    write_by_month(purchases, f"{out}/transactions", files_per_month)
+    write_by_month(purchases, f"{out}/transactions")
     return {"articles": articles, "customers": customers, "transactions": read_by_month(spark, f"{out}/transactions")}
 
 

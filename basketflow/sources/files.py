@@ -38,37 +38,35 @@ def read_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.read.parquet(name) if "/" in name else spark.table(name)
 
 
-def write_table(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
+def write_table(
+    df: DataFrame, name: str, path: str | None = None, bucket_by: str | None = None, buckets: int = 0
+) -> DataFrame:
     """Replace a table, schema included, and read it back.
 
-    ``name`` is a catalog table or a parquet folder; ``path`` places a catalog table's files.
+    ``name`` is a catalog table or a parquet folder; ``path`` places a catalog table's files. A
+    catalog table bucketed by a key is joined and grouped on that key without a shuffle.
     """
-    writer = df.write.mode("overwrite")
     if "/" in name:
-        writer.parquet(name)
+        df.write.mode("overwrite").parquet(name)
+        return read_table(df.sparkSession, name)
+    if bucket_by:
+        # One task per bucket writes one file, instead of every task writing to every bucket.
+        writer = df.repartition(buckets, bucket_by).write.bucketBy(buckets, bucket_by).sortBy(bucket_by)
     else:
-        if path:
-            writer = writer.option("path", path)
-        writer.saveAsTable(name)
+        writer = df.write
+    if path:
+        writer = writer.option("path", path)
+    writer.mode("overwrite").saveAsTable(name)
     return read_table(df.sparkSession, name)
 
 
-def write_by_month(
-    transactions: DataFrame, path: str, files_per_month: int = 1, spread: str = "transaction_id"
-) -> None:
+def write_by_month(transactions: DataFrame, path: str) -> None:
     """Write purchases partitioned by ``year_month``.
 
-    ``files_per_month`` writers share each month: rows are dealt out by a hash of ``spread``, so a
-    month that holds a third of all rows does not end in one task.
+    Rebalancing gathers each month in few writers and splits a large month at the advisory
+    partition size, so neither many tiny files nor one task with a whole large month arise.
     """
-    dealt = transactions.withColumn("_writer", F.pmod(F.xxhash64(spread), F.lit(files_per_month)))
-    (
-        dealt.repartition("year_month", "_writer")
-        .drop("_writer")
-        .write.mode("overwrite")
-        .partitionBy("year_month")
-        .parquet(path)
-    )
+    transactions.hint("rebalance", "year_month").write.mode("overwrite").partitionBy("year_month").parquet(path)
 
 
 def read_by_month(

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketflow.config import ServingTable
+from basketflow.session import materialize
 from basketflow.sources.files import read_table
 from basketflow.sources.keyed import check_key
 
@@ -61,14 +62,15 @@ class ServingStore:
     ) -> str:
         """Copy ``source`` to the serving table ``target`` and return "published" or "skipped".
 
-        The key is checked before anything is replaced. An unknown policy counts as SNAPSHOT, as
+        The key is checked before anything is replaced; a computed source is written once for that
+        and copied from there. An unknown policy counts as SNAPSHOT, as
         every policy starts with a full copy; later refreshes are ``streaming.publish``.
         """
         keys = primary_key or ["id"]
         database, table = self._place(target)
         if skip_if_exists and self.exists(target):
             return "skipped"
-        df = read_table(self.spark, source) if isinstance(source, str) else source
+        df = read_table(self.spark, source) if isinstance(source, str) else materialize(source, table)
         check_key(df, keys)
         if create_database:
             self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}` LOCATION '{self.root}/{database}'")

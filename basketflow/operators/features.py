@@ -62,7 +62,9 @@ ARTICLE_FEATURES = [
 ]
 
 
-def _pair_windows(transactions: DataFrame, reference: dt.date | str, windows: tuple[int, ...]) -> DataFrame:
+def pair_windows(
+    transactions: DataFrame, reference: dt.date | str, windows: tuple[int, ...] = WINDOWS
+) -> DataFrame:
     """Per (customer, article): counts and sums of every window, in one scan.
 
     Both hot customers and hot articles are spread over their partners here; the next level only
@@ -87,11 +89,12 @@ def _pair_windows(transactions: DataFrame, reference: dt.date | str, windows: tu
 
 
 def customer_windows(
-    transactions: DataFrame, reference: dt.date | str, windows: tuple[int, ...] = WINDOWS
+    transactions: DataFrame, reference: dt.date | str, windows: tuple[int, ...] = WINDOWS, paired: bool = False
 ) -> DataFrame:
     """Counts, spend, distinct items and mean price per customer for each window and for all time.
 
     As in ``days_ago <= n``, rows after the reference date fall into every window; filter first.
+    ``paired`` tells that ``transactions`` already is the outcome of ``pair_windows``.
     """
     aggs: list[Column] = []
     for w in windows:
@@ -101,22 +104,19 @@ def customer_windows(
             F.count(F.when((F.col(f"n_{w}") > 0) & F.col("article_id").isNotNull(), 1)).alias(f"unique_items_{w}d"),
             ratio(F.sum(f"sum_{w}"), F.sum(f"priced_{w}")).alias(f"avg_price_{w}d"),
         ]
-    return (
-        _pair_windows(transactions, reference, windows)
-        .groupBy("customer_id")
-        .agg(
-            *aggs,
-            F.sum("n").alias("purchases_lifetime"),
-            F.sum("sum").alias("total_spent_lifetime"),
-            F.count("article_id").alias("unique_items_lifetime"),
-            F.min("first").alias("first_purchase_date"),
-            F.max("last").alias("last_purchase_date"),
-        )
+    pairs = transactions if paired else pair_windows(transactions, reference, windows)
+    return pairs.groupBy("customer_id").agg(
+        *aggs,
+        F.sum("n").alias("purchases_lifetime"),
+        F.sum("sum").alias("total_spent_lifetime"),
+        F.count("article_id").alias("unique_items_lifetime"),
+        F.min("first").alias("first_purchase_date"),
+        F.max("last").alias("last_purchase_date"),
     )
 
 
 def article_windows(
-    transactions: DataFrame, reference: dt.date | str, windows: tuple[int, ...] = WINDOWS
+    transactions: DataFrame, reference: dt.date | str, windows: tuple[int, ...] = WINDOWS, paired: bool = False
 ) -> DataFrame:
     aggs: list[Column] = []
     for w in windows:
@@ -125,16 +125,13 @@ def article_windows(
             F.count(F.when((F.col(f"n_{w}") > 0) & F.col("customer_id").isNotNull(), 1)).alias(f"unique_customers_{w}d"),
             ratio(F.sum(f"sum_{w}"), F.sum(f"priced_{w}")).alias(f"avg_price_{w}d"),
         ]
-    return (
-        _pair_windows(transactions, reference, windows)
-        .groupBy("article_id")
-        .agg(
-            *aggs,
-            F.sum("n").alias("popularity_lifetime"),
-            F.count("customer_id").alias("unique_customers_lifetime"),
-            F.min("first").alias("first_sale_date"),
-            F.max("last").alias("last_sale_date"),
-        )
+    pairs = transactions if paired else pair_windows(transactions, reference, windows)
+    return pairs.groupBy("article_id").agg(
+        *aggs,
+        F.sum("n").alias("popularity_lifetime"),
+        F.count("customer_id").alias("unique_customers_lifetime"),
+        F.min("first").alias("first_sale_date"),
+        F.max("last").alias("last_sale_date"),
     )
 
 
@@ -172,8 +169,11 @@ def customer_features(transactions: DataFrame, customers: DataFrame, reference:
     return _complete_customers(customers, customer_windows(transactions, reference), reference)
 
 
-def article_features(transactions: DataFrame, articles: DataFrame, reference: dt.date | str) -> DataFrame:
-    joined = articles.join(article_windows(transactions, reference), "article_id", "left").withColumn(
+def article_features(
+    transactions: DataFrame, articles: DataFrame, reference: dt.date | str, paired: bool = False
+) -> DataFrame:
+    measured = article_windows(transactions, reference, paired=paired)
+    joined = articles.join(measured, "article_id", "left").withColumn(
         "days_since_last_sale", days_before(reference, F.col("last_sale_date"))
     )
     numeric = _numeric(["popularity", "unique_customers", "avg_price"], WINDOWS) + [
@@ -185,8 +185,10 @@ def article_features(transactions: DataFrame, articles: DataFrame, reference: dt
     return zero_filled(joined, numeric).withColumn("popularity_trend", F.coalesce(trend, F.lit(0.0)))
 
 
-def article_feature_set(transactions: DataFrame, articles: DataFrame, reference: dt.date | str) -> DataFrame:
-    return article_features(transactions, articles, reference).select(*ARTICLE_FEATURES)
+def article_feature_set(
+    transactions: DataFrame, articles: DataFrame, reference: dt.date | str, paired: bool = False
+) -> DataFrame:
+    return article_features(transactions, articles, reference, paired).select(*ARTICLE_FEATURES)
 
 
 def rfm_base(transactions: DataFrame, reference: dt.date | str) -> DataFrame:
@@ -219,12 +221,14 @@ def rfm_scores(transactions: DataFrame, reference: dt.date | str, buckets: int =
     return with_rfm_scores(rfm_base(transactions, reference), buckets)
 
 
-def customer_feature_set(transactions: DataFrame, customers: DataFrame, reference: dt.date | str) -> DataFrame:
+def customer_feature_set(
+    transactions: DataFrame, customers: DataFrame, reference: dt.date | str, paired: bool = False
+) -> DataFrame:
     """Windowed features, age group and RFM scores of every customer.
 
     Purchases are read once: the scores rank columns of the already aggregated features.
     """
-    measured = materialize(customer_windows(transactions, reference), "customer-windows")
+    measured = materialize(customer_windows(transactions, reference, paired=paired), "customer-windows")
     base = measured.select(
         "customer_id",
         days_before(reference, F.col("last_purchase_date")).alias("recency_days"),

@@ -95,7 +95,10 @@ def feature_summary(df: DataFrame, columns: list[str], accuracy: int = 10_000) -
 
 
 def feature_histogram(df: DataFrame, column: str, bins: int = 50) -> DataFrame:
-    """Equal-width bins between minimum and maximum, the upper edge in the last bin; empty bins show 0."""
+    """Equal-width bins between minimum and maximum, the upper edge in the last bin; empty bins show 0.
+
+    Reads ``df`` twice, for the edges and for the counts: pass a written table.
+    """
     value = F.col(column).cast("double")
     present = df.select(value.alias("v")).filter("v is not null")
     lo, hi = F.min("v"), F.max("v")

@@ -3,12 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from basketflow.config import BlendWeights
 from basketflow.operators import recommend
+from basketflow.plans import models
 from basketflow.registry.common import E_CUTS, Inputs
-from basketflow.session import materialize
 
 WEIGHTS = BlendWeights()
 
@@ -21,24 +20,13 @@ def segment_lists(x: Inputs) -> DataFrame:
     return recommend.segment_top_n(x.e_train, x.segments, E_CUTS.train)
 
 
+def fitted(x: Inputs) -> dict[str, DataFrame]:
+    return models.fit(x.e_train, x.segments, E_CUTS.train)
+
+
 def base_predictions(x: Inputs) -> dict[str, DataFrame]:
-    """Predictions of the base models; each model is fitted once and read from its written table."""
-    best = materialize(recommend.top_popular(popularity(x)), "popularity-model")
-    by_age = materialize(segment_lists(x), "age-rules-model")
-    followers = materialize(recommend.transitions(x.e_train), "next-item-model")
-    return {
-        "popularity": recommend.popularity_predict(x.customers, best),
-        "age_rules": recommend.age_rules_predict(x.segments, by_age),
-        "next_item": recommend.next_item_recommend(x.e_train, followers),
-    }
+    return models.predict(fitted(x), x.segments, x.e_train)
 
 
 def all_predictions(x: Inputs) -> DataFrame:
-    """Base models and ensemble in one written table with model_name."""
-    models = base_predictions(x)
-    models["ensemble"] = recommend.ensemble_blend(models, WEIGHTS)
-    out = None
-    for name, df in models.items():
-        named = df.select("customer_id", "predicted_articles", F.lit(name).alias("model_name"))
-        out = named if out is None else out.unionByName(named)
-    return materialize(out, "predictions")
+    return models.predict_with_ensemble(fitted(x), x.segments, x.e_train, WEIGHTS)

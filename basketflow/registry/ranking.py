@@ -16,7 +16,6 @@ from basketflow.plans import evaluation, propensity, scoring
 from basketflow.registry import models
 from basketflow.registry.common import E_CUTS, MODELS, Inputs, as_text, query, r4, rounded, sql, truth_sql
 from basketflow.registry.rows import ARTICLE_CODES, CUSTOMER_CODES
-from basketflow.session import materialize
 
 _VAL = truth_sql("2024-01-15", "2024-01-22")
 _TEST = truth_sql("2024-01-22", "2024-01-29")
@@ -129,12 +128,11 @@ def model_comparison(x: Inputs) -> DataFrame:
     return found.withColumns({"map": r4("map", 6), "gain_pct": F.coalesce(r4("gain_pct"), F.lit(0.0))})
 
 
-def _age_model(x: Inputs, version: str = "2", alias: str | None = "Champion") -> scoring.Model:
-    ranked = models.segment_lists(x)
+def _age_model(ranked: DataFrame) -> scoring.Model:
     return scoring.Model(
         "age_rules",
-        version,
-        alias,
+        "2",
+        "Champion",
         lambda customers: recommend.age_rules_predict(customers, ranked, keep_empty=True),
         ("customer_id", "age_group"),
     )
@@ -157,13 +155,13 @@ seen AS (
     ),
 )
 def deployment_evaluation(x: Inputs) -> DataFrame:
-    report = evaluation.deployment_evaluation(_age_model(x), x.e, x.segments, E_CUTS, "test")
+    report = evaluation.deployment_evaluation(_age_model(models.segment_lists(x)), x.e, x.segments, E_CUTS, "test")
     return report.withColumns({c: r4(c, 6) for c in ("map_at_12", "map_at_5", "catalog_coverage")})
 
 
 def _scored(x: Inputs) -> tuple[DataFrame, DataFrame]:
-    popularity = materialize(models.popularity(x), "popularity-model")
-    followers = materialize(recommend.transitions(x.e_train), "next-item-model")
+    fitted = models.fitted(x)
+    popularity, followers = fitted["popularity"], fitted["next_item"]
     known = x.e_train.select("customer_id", "article_id", "t_dat", "transaction_id")
 
     def next_items(customers: DataFrame) -> DataFrame:
@@ -173,7 +171,7 @@ def _scored(x: Inputs) -> tuple[DataFrame, DataFrame]:
     registered = [
         scoring.Model("popularity", "1", None, lambda c: recommend.popularity_predict(c, popularity, 5)),
         scoring.Model("popularity", "3", "champion", lambda c: recommend.popularity_predict(c, popularity)),
-        _age_model(x),
+        _age_model(fitted["age_rules"]),
         scoring.Model("next_item", "1", "Champion", next_items),
         scoring.Model("purchase_propensity", "1", "Challenger", lambda c: c),
         scoring.Model("broken", "7", "Champion", lambda c: c.select("no_such_column")),

@@ -23,6 +23,7 @@ from basketflow.registry.common import (
     rounded,
     sql,
 )
+from basketflow.session import materialize
 
 _ARTICLE = ", ".join(gold.ARTICLE_COLUMNS)
 
@@ -66,7 +67,7 @@ _PERIODS = {"daily": "date", "weekly": "date_trunc('week', date)", "monthly": "d
 
 @query("time_series_rollup", sql(DAILY, select=" UNION ALL ".join(_ROLL.format(name=n, key=k) for n, k in _PERIODS.items())))
 def time_series_rollup(x: Inputs) -> DataFrame:
-    daily = gold.time_series_daily(x.t)
+    daily = materialize(gold.time_series_daily(x.t), "daily")
     parts = [
         dashboard.time_series_rollup(daily, g, "1996-01-10", "2001-06-20").withColumn("granularity", F.lit(g)) for g in _PERIODS
     ]
@@ -344,8 +345,9 @@ binned AS (SELECT least(CAST(floor((purchases_lifetime - lo) / w) AS INTEGER), 4
     ),
 )
 def feature_histogram(x: Inputs) -> DataFrame:
-    table = features.customer_features(x.t_train, x.customers, T_CUTS.train)
-    return rounded(profile.feature_histogram(table, "purchases_lifetime"), "bin_start", "bin_end")
+    table = features.customer_features(x.t_train, x.customers, T_CUTS.train).select("purchases_lifetime")
+    written = materialize(table, "histogram-input")
+    return rounded(profile.feature_histogram(written, "purchases_lifetime"), "bin_start", "bin_end")
 
 
 @query(

@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 from basketflow.config import PairSampling
 from basketflow.functions import bands, encoding
 from basketflow.operators import dashboard, features, filters, gold, labels, pairs, profile, recommend, sequences
+from basketflow.plans import feature_job
 from basketflow.registry.common import T_CUTS
 from basketflow.registry.rows import _candidates
+from basketflow.session import scratch_path
 
 
 def test_band_edges(spark):
@@ -193,3 +195,14 @@ def test_enrichment_of_one_customer_is_newest_first(spark, x):
         assert [(r["model_name"], r["position"], r["article_id"]) for r in out] == [("new", 0, "3"), ("new", 1, "zz"), ("old", 0, "1"), ("old", 1, "2")]
         assert out[1]["name"] == "Unknown Item (zz)" and out[1]["category"] == "Unknown"
         assert out[1]["image_path"] == "/volume/images/000/0000000000.jpg"
+
+
+def test_feature_job_equals_the_separate_features(spark, x):
+    tables = {"transactions": x.t, "customers": x.customers, "articles": x.articles}
+    built = feature_job.build_features(tables, T_CUTS.train, scratch_path(spark, "feature-job"))
+    alone = features.article_feature_set(x.t_train, x.articles, T_CUTS.train)
+    few = ["article_id", "popularity_30d", "unique_customers_lifetime", "days_since_last_sale"]
+    assert {tuple(r) for r in built["article_features"].select(few).collect()} == {tuple(r) for r in alone.select(few).collect()}
+    alone = features.customer_feature_set(x.t_train, x.customers, T_CUTS.train)
+    few = ["customer_id", "purchases_30d", "unique_items_lifetime", "rfm_score"]
+    assert {tuple(r) for r in built["customer_features"].select(few).collect()} == {tuple(r) for r in alone.select(few).collect()}

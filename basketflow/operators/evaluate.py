@@ -67,10 +67,11 @@ def eval_report(predictions: DataFrame, pairs: DataFrame, k: int = TOP_K) -> Dat
     )
     bought = pairs.agg(F.count_distinct("article_id").alias("n")).scalar()
     coverage = F.when(F.col("bought") > 0, F.coalesce("recommended", F.lit(0)) / F.col("bought")).otherwise(0.0)
-    joined = sizes.join(scores, by, "left").join(recommended, by, "left").withColumn("bought", bought)
-    return joined.select(
-        *by, *[f"map_at_{x}" for x in ks], coverage.alias("catalog_coverage"), "num_customers"
-    )
+    maps = [f"map_at_{x}" for x in ks]
+    parts = sizes.unionByName(scores.drop("num_evaluated"), True).unionByName(recommended, True)
+    # Each part has at most one row per model; gathering them needs no join, also without a model column.
+    merged = parts.groupBy(*by).agg(*[F.max(c).alias(c) for c in ("num_customers", "recommended", *maps)])
+    return merged.withColumn("bought", bought).select(*by, *maps, coverage.alias("catalog_coverage"), "num_customers")
 
 
 def model_comparison(predictions: DataFrame, pairs: DataFrame, ensemble: str, k: int = TOP_K) -> DataFrame:

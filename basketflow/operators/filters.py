@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 
 from basketflow.functions.bands import UNKNOWN
 from basketflow.functions.dates import as_date
+from basketflow.operators.ordering import rows_between
 from basketflow.operators.skew import lookup_join
 
 ALL = "ALL"
+SHALLOW_ROWS = 100_000
 
 
 def between_dates(
@@ -49,9 +51,18 @@ def rows_with_ids(df: DataFrame, ids: DataFrame, key: str, max_bytes: int | None
     return lookup_join(df, ids.select(key).distinct(), key, "left_semi", max_bytes=max_bytes)
 
 
-def page_of(df: DataFrame, order: list[Column], page: int, page_size: int) -> DataFrame:
-    """One page; ``order`` must end in a unique key, or pages may overlap."""
-    return df.orderBy(*order).offset((page - 1) * page_size).limit(page_size)
+def page_of(
+    df: DataFrame, order: list[Column], page: int, page_size: int, shallow: int = SHALLOW_ROWS
+) -> DataFrame:
+    """One page; ``order`` must end in a unique key, or pages may overlap.
+
+    Pages that end within the first ``shallow`` rows are a top-k. Deeper ones are cut out of a
+    distributed sort, because a top-k would gather all rows before the page in one task.
+    """
+    offset = (page - 1) * page_size
+    if offset + page_size <= shallow:
+        return df.orderBy(*order).offset(offset).limit(page_size)
+    return rows_between(df, order, offset, page_size)
 
 
 def page_counts(df: DataFrame, page_size: int) -> DataFrame:

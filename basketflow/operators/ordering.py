@@ -61,6 +61,18 @@ def with_ntiles(df: DataFrame, buckets: int, orders: dict[str, list[Column]]) ->
     return placed.withColumns(tiles).drop(*marks)
 
 
+def rows_between(df: DataFrame, keys: list[Column], start: int, count: int) -> DataFrame:
+    """Rows ``start`` … ``start + count - 1`` (from 0) in ``keys`` order, however deep ``start`` lies."""
+    placed = _with_positions(df, {"_at": keys})
+    wanted, before = F.lit(False), 0
+    for part, rows in _partition_counts(placed, ["_at"])["_at"]:
+        first, last = max(start - before, 0), min(start + count - before, rows) - 1
+        if first <= last:
+            wanted = wanted | F.col("_at").between((part << _ROW_BITS) + first, (part << _ROW_BITS) + last)
+        before += rows
+    return placed.filter(wanted).orderBy("_at").drop("_at")
+
+
 def with_row_index(df: DataFrame, keys: list[Column], name: str, start: int = 1) -> DataFrame:
     """Add the dense global row number in ``keys`` order, counted from ``start``."""
     placed = _with_positions(df, {"_at": keys})

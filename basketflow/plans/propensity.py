@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.ml.classification import LogisticRegression
+from pyspark.ml import Estimator, Model
+from pyspark.ml.classification import LogisticRegression, MultilayerPerceptronClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
@@ -12,8 +13,21 @@ from basketflow.functions.encoding import FEATURES
 from basketflow.operators.pairs import standardize
 from basketflow.session import materialize
 
-# Candidate settings; the best on the validation pairs is kept.
-REGULARIZATION = (0.0, 0.01, 0.1)
+# Layer widths of the network, inputs to classes.
+LAYERS = [8, 256, 128, 64, 2]
+
+
+def logistic(regularization: float, max_iter: int = 50) -> LogisticRegression:
+    return LogisticRegression(maxIter=max_iter, regParam=regularization)
+
+
+def network(max_iter: int, seed: int = 42) -> MultilayerPerceptronClassifier:
+    """The layered network; fits with several ``max_iter`` stand for early stopping."""
+    return MultilayerPerceptronClassifier(layers=LAYERS, maxIter=max_iter, seed=seed)
+
+
+def default_candidates() -> dict[str, Estimator]:
+    return {f"logistic {r}": logistic(r) for r in (0.0, 0.01, 0.1)}
 
 
 def score(model, pairs: DataFrame) -> DataFrame:
@@ -35,26 +49,26 @@ def quality(scored: DataFrame) -> DataFrame:
     )
 
 
-def train_propensity(train: DataFrame, val: DataFrame, max_iter: int = 50):
-    """Fit every candidate on the standardised training pairs; return the best model and all scores.
+def train_propensity(
+    train: DataFrame, val: DataFrame, candidates: dict[str, Estimator] | None = None
+) -> tuple[Model, DataFrame]:
+    """Fit every candidate on the standardised training pairs; return the best by log loss, and all scores.
 
-    Gradients are summed on the executors, so only the eight coefficients reach the driver.
+    Gradients are summed on the executors, so only coefficients reach the driver.
     """
     fixed = materialize(train, "propensity-train")
     assemble = VectorAssembler(inputCols=FEATURES, outputCol="features")
     columns = [*FEATURES, "label"]
-    fit_on = assemble.transform(standardize(fixed, fixed).select(*columns)).select("features", "label")
+    fit_on = materialize(standardize(fixed, fixed).select(*columns), "propensity-fit")
     check_on = materialize(standardize(fixed, val).select(*columns), "propensity-val")
-    check_on = assemble.transform(check_on)
-    best, scores = None, []
-    for reg in REGULARIZATION:
-        model = LogisticRegression(maxIter=max_iter, regParam=reg).fit(fit_on)
-        row = quality(score(model, check_on)).first()
-        scores.append((reg, row["accuracy"], row["log_loss"], row["num_pairs"]))
-        if best is None or row["log_loss"] < best[1]:
-            best = (model, row["log_loss"], reg)
+    fitted, scores = {}, []
+    for name, estimator in (candidates or default_candidates()).items():
+        fitted[name] = estimator.fit(assemble.transform(fit_on).select("features", "label"))
+        row = quality(score(fitted[name], assemble.transform(check_on))).first()
+        scores.append((name, row["accuracy"], row["log_loss"], row["num_pairs"]))
+    best = min(scores, key=lambda s: s[2])[0]
     report = train.sparkSession.createDataFrame(
-        [(*s, s[0] == best[2]) for s in scores],
-        "reg_param double, accuracy double, log_loss double, num_pairs long, is_best boolean",
+        [(*s, s[0] == best) for s in scores],
+        "candidate string, accuracy double, log_loss double, num_pairs long, is_best boolean",
     )
-    return best[0], report
+    return fitted[best], report

@@ -85,17 +85,17 @@ def submission_csv(x: Inputs) -> DataFrame:
 @query(
     "feature_table",
     sql(
-        select="""SELECT customer_id, count(*) FILTER (t_dat >= DATE '2001-06-01') AS purchases_30d,
-        count(*) AS purchases_lifetime, round(sum(price) + 1e-9, 4) AS total_spent_lifetime
-        FROM t WHERE t_dat <= DATE '2001-07-01' AND customer_id IN (SELECT customer_id FROM customers WHERE age >= 30) GROUP BY 1"""
+        select="""SELECT c.customer_id, count(transaction_id) FILTER (t_dat >= DATE '2001-06-01') AS purchases_30d,
+        count(transaction_id) AS purchases_lifetime, round(coalesce(sum(price), 0) + 1e-9, 4) AS total_spent_lifetime
+        FROM customers c LEFT JOIN t ON t.customer_id = c.customer_id AND t_dat <= DATE '2001-07-01' GROUP BY 1"""
     ),
 )
 def feature_table(x: Inputs) -> DataFrame:
     wide = features.customer_windows(x.t_train, "2001-07-01")
     table = keyed.write_feature_table(wide, scratch_path(x.spark, "features"), ["customer_id"])
-    wanted = x.customers.filter("age >= 30").select("customer_id")
-    found = keyed.lookup_features(wanted, table, ["customer_id"]).filter("purchases_lifetime is not null")
-    return found.select("customer_id", "purchases_30d", "purchases_lifetime", r4("total_spent_lifetime").alias("total_spent_lifetime"))
+    columns = ["purchases_30d", "purchases_lifetime", "total_spent_lifetime"]
+    found = keyed.lookup_features(x.customers.select("customer_id"), table, ["customer_id"])
+    return rounded(features.zero_filled(found.select("customer_id", *columns), columns), "total_spent_lifetime")
 
 
 def _store(x: Inputs) -> ServingStore:

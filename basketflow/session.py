@@ -36,7 +36,7 @@ def scratch_dir(spark: SparkSession) -> str:
     with its machine.
     """
     sc = spark.sparkContext
-    named = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
+    named = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if named:
         return named.rstrip("/")
     if not sc.master.startswith("local"):

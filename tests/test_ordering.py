@@ -4,7 +4,8 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from basketflow.operators.ordering import with_ntiles, with_row_index
+from basketflow.operators.filters import page_of
+from basketflow.operators.ordering import rows_between, with_ntiles, with_row_index
 
 
 def heavy_ties(spark, n):
@@ -32,3 +33,14 @@ def test_row_index_does_not_depend_on_partitions(spark, parts):
 
 def test_row_index_of_nothing(spark):
     assert with_row_index(heavy_ties(spark, 0), [F.col("v"), F.col("key")], "i").count() == 0
+
+
+@pytest.mark.parametrize(("start", "count"), [(0, 3), (5, 400), (398, 10), (499, 5), (700, 5)])
+def test_deep_pages(spark, start, count):
+    df = heavy_ties(spark, 500)
+    order = [F.col("v").desc(), F.col("key")]
+    expected = [r["key"] for r in df.orderBy(*order).collect()][start : start + count]
+    assert [r["key"] for r in rows_between(df, order, start, count).collect()] == expected
+    page = start // count + 1
+    shallow, deep = (page_of(df, order, page, count, limit) for limit in (10**6, 0))
+    assert [r["key"] for r in shallow.collect()] == [r["key"] for r in deep.collect()]

@@ -7,8 +7,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from basketflow.config import ServingTable
+from basketflow.functions import encoding
+from basketflow.operators import evaluate, pairs
 from basketflow.operators.filters import between_dates
-from basketflow.plans import retail_job, scoring
+from basketflow.plans import propensity, retail_job, scoring
 from basketflow.session import materialize, scratch_path
 from basketflow.sources import files, keyed, schemas
 from basketflow.sources.namespace import Namespace, ensure_namespace
@@ -206,3 +208,23 @@ def test_submission_in_one_file(spark, tmp_path):
 def test_materialized_rows_keep_their_schema(spark):
     df = spark.createDataFrame([], "a long, b array<string>")
     assert materialize(df, "empty").schema == df.schema and materialize(df, "empty").count() == 0
+
+
+def test_network_and_logistic_compete(x):
+    coded = pairs.training_pairs(x.e, encoding.encode_customers(x.customers), encoding.encode_articles(x.articles))
+    candidates = {"logistic": propensity.logistic(0.01, 10), "network": propensity.network(3)}
+    model, report = propensity.train_propensity(coded, coded, candidates)
+    rows = {r["candidate"]: r for r in report.collect()}
+    assert set(rows) == set(candidates) and sum(r["is_best"] for r in rows.values()) == 1
+    best = min(rows.values(), key=lambda r: r["log_loss"])
+    assert best["is_best"] and 0.5 < best["accuracy"] <= 1 and best["num_pairs"] == coded.count()
+
+
+def test_report_without_model_names(spark):
+    predicted = spark.createDataFrame([("a", [1, 2]), ("b", [3])], "customer_id string, predicted_articles array<long>")
+    bought = spark.createDataFrame([("a", 2, 1), ("c", 9, 4)], "customer_id string, article_id long, copies long")
+    report = evaluate.eval_report(predicted, bought).collect()
+    assert len(report) == 1
+    assert (report[0]["map_at_12"], report[0]["catalog_coverage"], report[0]["num_customers"]) == (0.5, 1.5, 2)
+    nobody = evaluate.eval_report(predicted, bought.filter("customer_id = 'c'")).first()
+    assert nobody["map_at_12"] is None and nobody["num_customers"] == 2

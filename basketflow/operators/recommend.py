@@ -11,7 +11,7 @@ from basketflow.config import DECAY, RECENT_DAYS, TOP_K, BlendWeights
 from basketflow.functions import lists
 from basketflow.functions.dates import as_date, days_before
 from basketflow.operators.filters import known_segment
-from basketflow.operators.skew import lookup_join, with_pieces
+from basketflow.operators.skew import HOT_ROWS, lookup_join, with_pieces
 
 Reference = dt.date | str | None
 
@@ -202,37 +202,38 @@ def age_rules_predict(
     return out.filter(F.size("predicted_articles") > 0)
 
 
-def next_pairs(transactions: DataFrame, share: float = 0.02, pieces: int = 200) -> DataFrame:
+def next_pairs(transactions: DataFrame, limit: int = HOT_ROWS) -> DataFrame:
     """Each purchase with the customer's next one: (article_id, next_article).
 
     A hot customer's history is cut into consecutive pieces. The last purchase of a piece is
     followed by the first of the next piece, taken from a table of one row per piece.
     """
-    order = ["t_dat", "transaction_id"]
+    order, piece = ["t_dat", "transaction_id"], ["customer_id", "_day", "_slot"]
     slim = transactions.select("customer_id", "article_id", *order)
-    cut, hot = with_pieces(slim, "customer_id", order, share, pieces)
-    in_piece = Window.partitionBy("customer_id", "_piece").orderBy(*order)
-    followed = cut.withColumn("next_article", F.lead("article_id").over(in_piece))
-    if not hot:
+    cut, hot = with_pieces(slim, "customer_id", *order, limit)
+    followed = cut.withColumn("next_article", F.lead("article_id").over(Window.partitionBy(*piece).orderBy(*order)))
+    if hot is None:
         return followed.select("article_id", "next_article").filter("next_article is not null")
     heads = (
-        cut.filter(F.col("customer_id").isin(hot))
-        .groupBy("customer_id", "_piece")
+        cut.join(F.broadcast(hot), "customer_id", "left_semi")
+        .groupBy(*piece)
         .agg(F.min_by("article_id", F.struct(*order)).alias("head"))
     )
-    after = Window.partitionBy("customer_id").orderBy("_piece")
+    # One row per day or slot of a hot customer.
+    after = Window.partitionBy("customer_id").orderBy("_day", "_slot")
     following = heads.withColumn("following", F.lead("head").over(after)).drop("head")
+    # The window has already gathered the pieces, so only the small side is shuffled here.
     return (
-        followed.join(F.broadcast(following), ["customer_id", "_piece"], "left")
+        followed.join(following, piece, "left")
         .select("article_id", F.coalesce("next_article", "following").alias("next_article"))
         .filter("next_article is not null")
     )
 
 
-def transitions(transactions: DataFrame, top_n: int = TOP_K, share: float = 0.02, pieces: int = 200) -> DataFrame:
+def transitions(transactions: DataFrame, top_n: int = TOP_K, limit: int = HOT_ROWS) -> DataFrame:
     """The ``top_n`` articles most often bought right after each article."""
     counts = (
-        next_pairs(transactions, share, pieces)
+        next_pairs(transactions, limit)
         .groupBy("article_id", "next_article")
         .agg(F.count(F.lit(1)).alias("times"))
     )

@@ -3,16 +3,16 @@
 from __future__ import annotations
 
 import re
-from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketflow.session import materialize
 
-HOT_SHARE = 0.02
-SALTS = 64
-PIECES = 200
+# Rows of one key that a single task takes without trouble. Keys with more are split.
+HOT_ROWS = 10_000_000
+SAMPLES_PER_CUT = 50
 _UNITS = {"": 1, "b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30}
 
 
@@ -33,35 +33,21 @@ def small_enough(df: DataFrame, max_bytes: int | None = None) -> bool:
     return planned_bytes(df) <= limit
 
 
-@dataclass(frozen=True)
-class HotKeys:
-    """Keys that each hold more than a given share of a table's rows, and their estimated row counts."""
+def hot_keys(df: DataFrame, keys: list[str], limit: int = HOT_ROWS) -> DataFrame:
+    """Keys with more than ``limit`` rows and the number of ``parts`` of that size they make.
 
-    rows: dict
-    nulls: bool
-
-    def __bool__(self) -> bool:
-        return bool(self.rows) or self.nulls
-
-    def holds(self, key: Column) -> Column:
-        hot = key.isin(*self.rows) if self.rows else F.lit(False)
-        return F.coalesce(hot, F.lit(False))
+    Counts are combined before the shuffle, so finding a hot key does not suffer from it. The
+    written table has at most ``rows / limit`` entries, which is what may be broadcast.
+    """
+    counts = df.groupBy(*[F.col(k).alias(f"_hot_{k}") for k in keys]).agg(F.count(F.lit(1)).alias("_n"))
+    parts = F.ceil(F.col("_n") / limit).cast("int").alias("_parts")
+    return materialize(counts.filter(F.col("_n") > limit).select("*", parts), "hot-keys")
 
 
-def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> HotKeys:
-    """The hot keys of one column, found in one pass with a mergeable sketch of fixed size.
-
-    No key is shuffled and at most ``2 / share`` of them reach the driver. Callers use the answer
-    for the placement of rows only, never for results, so an estimate is enough.
-    """
-    items = int(2 / share)
-    sketch = F.expr(f"approx_top_k(`{key}`, {items}, {items * 50})")
-    found = df.agg(
-        sketch.alias("top"), F.count(F.lit(1)).alias("n"), F.count(F.when(F.col(key).isNull(), 1)).alias("nulls")
-    ).first()
-    limit = share * found["n"]
-    rows = {r["item"]: r["count"] for r in found["top"] or [] if r["item"] is not None and r["count"] > limit}
-    return HotKeys(rows, found["nulls"] > limit)
+def with_parts(df: DataFrame, hot: DataFrame, keys: list[str]) -> DataFrame:
+    """Add ``_n`` and ``_parts`` of hot keys to their rows, null elsewhere; a missing key can be hot too."""
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_hot_{k}")) for k in keys])
+    return df.join(F.broadcast(hot), same, "left").drop(*[f"_hot_{k}" for k in keys])
 
 
 def lookup_join(
@@ -72,56 +58,78 @@ def lookup_join(
     spread: list[str] | None = None,
     max_bytes: int | None = None,
     hot_from: DataFrame | None = None,
-    share: float = HOT_SHARE,
-    salts: int = SALTS,
+    limit: int = HOT_ROWS,
 ) -> DataFrame:
     """Join rows to a table that is unique on ``on``.
 
     A lookup side whose planned size is within the broadcast limit is broadcast. Beyond it both
-    sides are shuffled, and rows of a hot key are dealt out over ``salts`` copies of its one lookup
-    row; rows without a key match nothing and are dealt out as well. ``spread`` names columns that
-    differ between rows of the same key (default: all others). The salt is a hash of the row, so a
-    retried task deals its rows the same way. ``hot_from`` names a cheaper table to look for hot
-    keys in, when ``rows`` is the outcome of an aggregate.
+    sides are shuffled, and the rows of a key with more than ``limit`` rows are dealt out over as
+    many copies of its one lookup row as it has parts. ``spread`` names columns that differ between
+    rows of the same key (default: all others). The part is a hash of the row, so a retried task
+    deals its rows the same way. ``hot_from`` names a cheaper table to count keys in, when ``rows``
+    is the outcome of an aggregate.
     """
     if small_enough(lookup, max_bytes):
         return rows.join(F.broadcast(lookup), on, how)
-    hot = hot_keys(rows if hot_from is None else hot_from, on, share)
-    if not hot:
+    hot = hot_keys(rows if hot_from is None else hot_from, [on], limit)
+    if hot.isEmpty():
         return rows.join(lookup, on, how)
-    key = F.col(on)
-    dealt = F.pmod(F.xxhash64(*(spread or [c for c in rows.columns if c != on])), F.lit(salts)).cast("int")
-    left = rows.withColumn("_salt", F.when(hot.holds(key) | key.isNull(), dealt).otherwise(0))
-    copies = F.when(hot.holds(key), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    right = lookup.withColumn("_salt", F.explode(copies))
+    row_hash = F.xxhash64(*(spread or [c for c in rows.columns if c != on]))
+    dealt = F.coalesce(F.pmod(row_hash, F.col("_parts")).cast("int"), F.lit(0))
+    left = with_parts(rows, hot, [on]).withColumn("_salt", dealt).drop("_n", "_parts")
+    last = F.coalesce("_parts", F.lit(1)) - 1
+    right = with_parts(lookup, hot, [on]).withColumn("_salt", F.explode(F.sequence(F.lit(0), last))).drop("_n", "_parts")
     return left.join(right, [on, "_salt"], how).drop("_salt")
 
 
-def with_pieces(
-    df: DataFrame, group: str, order: list[str], share: float = HOT_SHARE, pieces: int = PIECES
-) -> tuple[DataFrame, list]:
-    """Cut hot groups into consecutive pieces along ``order``.
+def _cut_points(rows: DataFrame, hot_days: DataFrame, keys: list[str], tie: str) -> DataFrame:
+    """Per hot day, values of ``tie`` that cut it into its parts, in blocks of about equal number.
 
-    Adds ``_piece``: 0 for ordinary groups, 0, 1, 2, … for a hot group, rising with ``order``. Cut
-    points come from a hash sample of the hot group, some ``50 * pieces`` rows. Also returns the hot
-    groups, so that callers can stitch the pieces of just these.
+    They come from a hash sample of some ``SAMPLES_PER_CUT`` rows per part.
     """
-    hot = hot_keys(df, group, share)
-    if not hot.rows:
-        return df.withColumn("_piece", F.lit(0)), []
-    key, span = F.struct(*order), 1 << 30
-    size = F.coalesce(*[F.when(F.col(group) == item, F.lit(n)) for item, n in hot.rows.items()])
-    sampled = df.filter(hot.holds(F.col(group))).filter(
-        F.pmod(F.xxhash64(*order), F.lit(span)) < F.lit(50.0 * pieces * span) / size
-    )
-    ordered = sampled.groupBy(group).agg(F.array_sort(F.collect_list(key)).alias("s"))
+    span = 1 << 30
+    chance = F.col("_parts") * SAMPLES_PER_CUT / F.col("_n")
+    sampled = with_parts(rows, hot_days, keys).filter(F.pmod(F.xxhash64(tie), F.lit(span)) < chance * span)
+    ordered = sampled.groupBy(*keys, "_parts").agg(F.array_sort(F.collect_list(tie)).alias("s"))
     every = F.transform(
-        F.sequence(F.lit(1), F.lit(pieces - 1)),
-        lambda i: F.get("s", F.floor(i * F.size("s") / pieces).cast("int")),
+        F.sequence(F.lit(1), F.col("_parts") - 1),
+        lambda i: F.get("s", F.floor(i * F.size("s") / F.col("_parts")).cast("int")),
+    )
+    block = F.ceil(F.sqrt("_parts")).cast("int").alias("_block")
+    blocks = F.transform(
+        F.sequence(F.lit(0), F.floor((F.size("c") - 1) / F.col("_block")).cast("int")),
+        lambda b: F.slice("c", b * F.col("_block") + 1, F.col("_block")),
+    )
+    return ordered.select(*keys, F.array_distinct(every).alias("c"), block).select(*keys, "_block", blocks.alias("_cuts"))
+
+
+def with_pieces(
+    df: DataFrame, group: str, day: str, tie: str, limit: int = HOT_ROWS
+) -> tuple[DataFrame, DataFrame | None]:
+    """Cut the histories of groups with more than ``limit`` rows into consecutive pieces along (``day``, ``tie``).
+
+    Adds ``_day`` and ``_slot``, which together number the pieces of a group in order: null and 0 for
+    ordinary groups, which stay whole; the day and 0 for hot groups; and slots 0, 1, 2, … within a
+    day that itself has more than ``limit`` rows. Also returns the hot groups, or None, so that
+    callers can stitch the pieces of just these.
+    """
+    no_day = F.lit(None).cast(df.schema[day].dataType)
+    hot = hot_keys(df, [group], limit)
+    if hot.isEmpty():
+        return df.withColumns({"_day": no_day, "_slot": F.lit(0)}), None
+    groups = hot.select(F.col(f"_hot_{group}").alias(group))
+    out = with_parts(df, hot, [group]).withColumn("_day", F.when(F.col("_parts").isNotNull(), F.col(day))).drop("_n", "_parts")
+    inside = df.join(F.broadcast(groups), group, "left_semi")
+    hot_days = hot_keys(inside, [group, day], limit)
+    if hot_days.isEmpty():
+        return out.withColumn("_slot", F.lit(0)), groups
+    cuts = materialize(_cut_points(inside, hot_days, [group, day], tie), "cuts")
+    # A row is compared with the first value of each block, then within one block.
+    placed = out.join(F.broadcast(cuts), [group, day], "left")
+    started = F.size(F.filter("_cuts", lambda b: b[0] <= F.col(tie)))
+    within = F.size(F.filter(F.get("_cuts", F.col("_started") - 1), lambda c: c <= F.col(tie)))
+    slot = F.when(F.col("_started") > 0, (F.col("_started") - 1) * F.col("_block") + within).otherwise(0)
+    return (
+        placed.withColumn("_started", started).withColumn("_slot", slot).drop("_cuts", "_started", "_block"),
+        groups,
     )
-    # One row per hot group.
-    cuts = materialize(ordered.select(group, F.array_distinct(every).alias("_cuts")), "cuts")
-    cut = df.join(F.broadcast(cuts), group, "left")
-    passed = F.size(F.filter("_cuts", lambda c: c <= key))
-    out = cut.withColumn("_piece", F.when(F.col("_cuts").isNotNull(), passed).otherwise(0)).drop("_cuts")
-    return out, list(hot.rows)

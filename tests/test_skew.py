@@ -33,23 +33,37 @@ def lookup(spark):
 
 
 def test_hot_keys(skewed):
-    hot = hot_keys(skewed, "k")
-    assert set(hot.rows) == {"hot"} and hot.nulls
-    assert not hot_keys(skewed.filter("k <> 'hot'"), "k")
+    hot = {r["_hot_k"]: (r["_n"], r["_parts"]) for r in hot_keys(skewed, ["k"], 300).collect()}
+    assert hot == {"hot": (2000, 7), None: (400, 2)}
+    assert hot_keys(skewed.filter("k <> 'hot'"), ["k"], 300).isEmpty()
+    assert hot_keys(skewed, ["k"]).isEmpty()
 
 
+@pytest.mark.parametrize("limit", [40, 10**6])
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-def test_salted_join(skewed, lookup, how):
+def test_join_beyond_the_broadcast_limit(skewed, lookup, how, limit):
     expected = skewed.join(lookup, "k", how)
-    salted = lookup_join(skewed, lookup, "k", how, spread=["n"], max_bytes=0)
-    assert "_salt" in salted._jdf.queryExecution().optimizedPlan().toString()
+    salted = lookup_join(skewed, lookup, "k", how, spread=["n"], max_bytes=0, limit=limit)
+    assert ("_salt" in salted._jdf.queryExecution().optimizedPlan().toString()) == (limit == 40)
     assert rows_of(salted) == rows_of(expected)
 
 
-def test_salt_spreads_the_hot_key(skewed, lookup):
-    salted = lookup_join(skewed, lookup, "k", "inner", spread=["n"], max_bytes=0, salts=16)
-    plan = salted._jdf.queryExecution().optimizedPlan().toString()
-    assert "CartesianProduct" not in plan and salted.filter("k = 'hot'").count() == 2000
+def test_hot_rows_are_dealt_out(spark, skewed, lookup):
+    """Rows per task of the join: the 2,000 rows of the hot key do not meet in one."""
+    settings = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+
+        def largest(joined):
+            return joined.groupBy(F.spark_partition_id().alias("p")).count().agg(F.max("count")).first()[0]
+
+        assert largest(skewed.join(lookup, "k")) > 2000
+        assert largest(lookup_join(skewed, lookup, "k", spread=["n"], limit=40)) < 1000
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
 
 
 def test_lookup_is_broadcast_only_if_known_to_be_small(skewed, lookup):
@@ -60,19 +74,30 @@ def test_lookup_is_broadcast_only_if_known_to_be_small(skewed, lookup):
     assert "BroadcastHashJoin" in plan
 
 
-def test_pieces_follow_the_order(spark):
+def pieces_of(cut):
+    """First and last order key and size of each piece of the hot group, in piece order."""
+    key = F.struct("d", "o")
+    bounds = cut.filter("g = 'hot'").groupBy("_day", "_slot").agg(
+        F.min(key).alias("lo"), F.max(key).alias("hi"), F.count("*").alias("n")
+    )
+    return bounds.orderBy("_day", "_slot").collect()
+
+
+@pytest.mark.parametrize(("days", "expected"), [(100, 100), (1, 9), (3, 9)])
+def test_pieces_follow_the_order(spark, days, expected):
     df = spark.range(5000).select(
         F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("c"), (F.col("id") % 900).cast("string"))).alias("g"),
-        F.col("id").alias("o"),
+        (F.pmod(F.xxhash64("id"), F.lit(days))).alias("d"),
+        F.pmod(F.col("id") * 7919, F.lit(5000)).alias("o"),
     )
-    cut, hot = with_pieces(df, "g", ["o"], pieces=10)
-    assert hot == ["hot"]
-    sizes = {r["_piece"]: (r["lo"], r["hi"], r["n"]) for r in cut.filter("g = 'hot'").groupBy("_piece").agg(
-        F.min("o").alias("lo"), F.max("o").alias("hi"), F.count("*").alias("n")).collect()}
-    assert len(sizes) == 10 and max(n for _, _, n in sizes.values()) < 500
-    bounds = [sizes[i][:2] for i in sorted(sizes)]
-    assert all(a[1] < b[0] for a, b in zip(bounds, bounds[1:], strict=False))
-    assert cut.filter("g <> 'hot' and _piece <> 0").count() == 0
+    cut, hot = with_pieces(df, "g", "d", "o", limit=200)
+    found = pieces_of(cut)
+    assert [r["g"] for r in hot.collect()] == ["hot"] and len(found) == expected and cut.count() == 5000
+    assert max(r["n"] for r in found) < 350
+    assert all(a["hi"] < b["lo"] for a, b in zip(found, found[1:], strict=False))
+    assert cut.filter("g <> 'hot' and (_slot <> 0 or _day is not null)").count() == 0
+    whole, nothing = with_pieces(df, "g", "d", "o")
+    assert nothing is None and whole.filter("_slot <> 0 or _day is not null").count() == 0
 
 
 @pytest.fixture(scope="module")
@@ -87,10 +112,13 @@ def busy(spark):
     )
 
 
-def test_next_pairs_with_a_hot_customer(busy):
+@pytest.mark.parametrize("limit", [30, 400, 10**6])
+@pytest.mark.parametrize("days", [29, 1, 3])
+def test_next_pairs_with_a_hot_customer(busy, days, limit):
+    few = busy.withColumn("t_dat", F.expr(f"date_add(date'2024-01-01', cast(transaction_id % {days} as int))"))
     order = Window.partitionBy("customer_id").orderBy("t_dat", "transaction_id")
-    expected = busy.select("article_id", F.lead("article_id").over(order).alias("next_article")).filter("next_article is not null")
-    assert rows_of(recommend.next_pairs(busy, pieces=25)) == rows_of(expected)
+    expected = few.select("article_id", F.lead("article_id").over(order).alias("next_article")).filter("next_article is not null")
+    assert rows_of(recommend.next_pairs(few, limit=limit)) == rows_of(expected)
 
 
 def test_next_items_beyond_the_broadcast_limit(busy):

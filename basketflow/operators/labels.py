@@ -118,6 +118,11 @@ def pairs_from_lists(labels: DataFrame) -> DataFrame:
     )
 
 
+def without_purchases(customers: DataFrame, buyers: DataFrame) -> DataFrame:
+    """Customers that do not occur among the buyers; repeated buyers are combined before the shuffle."""
+    return customers.select("customer_id").join(buyers.select("customer_id").distinct(), "customer_id", "left_anti")
+
+
 def window_coverage(customers: DataFrame, buyers: DataFrame) -> DataFrame:
     """Customers in total, with and without purchases in a window, and the share in percent."""
     flagged = customers.select("customer_id").join(

@@ -101,7 +101,9 @@ def negatives(
     index = _article_numbers(articles)
     size = index.agg(F.count(F.lit(1)).alias("n")).scalar()
     wanted = sampled.groupBy("customer_id").agg(F.round(F.count(F.lit(1)) * ratio).cast("long").alias("wanted"))
-    of_interest = bought.select(*PAIR).join(wanted.select("customer_id"), "customer_id", "left_semi")
+    of_interest = lookup_join(
+        bought.select(*PAIR), wanted.select("customer_id"), "customer_id", "left_semi", spread=["article_id"]
+    )
     numbered = lookup_join(of_interest, index, "article_id", spread=["customer_id"], hot_from=bought)
     ascending = Window.partitionBy("customer_id").orderBy("at")
     gaps = numbered.select(

@@ -25,9 +25,8 @@ def deployment_evaluation(
     Truth customers without features keep null features. Article ids are compared as longs on both
     sides, whatever the model returns.
     """
-    pairs = truth_pairs(transactions, *cutoffs.truth_window(dataset)).withColumn(
-        "article_id", F.col("article_id").cast("long")
-    )
+    bought = truth_pairs(transactions, *cutoffs.truth_window(dataset))
+    pairs = materialize(bought.withColumn("article_id", F.col("article_id").cast("long")), "truth")
     features = customer_features.select(*model.columns)
     known = pairs.select("customer_id").distinct().join(features, "customer_id", "left")
     predicted = model.predict(known).select(

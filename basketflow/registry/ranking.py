@@ -16,13 +16,14 @@ from basketflow.plans import evaluation, propensity, scoring
 from basketflow.registry import models
 from basketflow.registry.common import E_CUTS, MODELS, Inputs, as_text, query, r4, rounded, sql, truth_sql
 from basketflow.registry.rows import ARTICLE_CODES, CUSTOMER_CODES
+from basketflow.session import materialize
 
 _VAL = truth_sql("2024-01-15", "2024-01-22")
 _TEST = truth_sql("2024-01-22", "2024-01-29")
 
 
 def _truth(x: Inputs, which: str = "val") -> DataFrame:
-    return labels.truth_pairs(x.e, *E_CUTS.truth_window(which))
+    return materialize(labels.truth_pairs(x.e, *E_CUTS.truth_window(which)), "truth")
 
 
 @query("decayed_popularity", sql(MODELS, select="SELECT article_id, round(popularity_score + 1e-9, 6) AS popularity_score, purchase_count FROM pop"))

@@ -235,8 +235,7 @@ def join_left_outer(x: Inputs) -> DataFrame:
     ),
 )
 def join_anti(x: Inputs) -> DataFrame:
-    buyers = labels.truth_pairs(x.t, *T_CUTS.truth_window("val"))
-    return x.customers.select("customer_id").join(buyers, "customer_id", "left_anti")
+    return labels.without_purchases(x.customers, labels.truth_pairs(x.t, *T_CUTS.truth_window("val")))
 
 
 CANDIDATES = f"""

@@ -61,11 +61,16 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 def order_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fixture T: one purchase per order line, dated by its order."""
     lines = table(spark, sf_dir, "lineitem")
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    parts = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
-    return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
+    # What depends on the order alone is computed once per order, before the join.
+    orders = table(spark, sf_dir, "orders").select(
+        "o_orderkey",
         F.col("o_orderdate").cast("date").alias("t_dat"),
         customer_key(F.col("o_custkey")).alias("customer_id"),
+    )
+    parts = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+    return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
+        "t_dat",
+        "customer_id",
         F.col("l_partkey").alias("article_id"),
         F.col("l_extendedprice").alias("price"),
         (1 + F.col("l_suppkey") % 2).cast("int").alias("sales_channel_id"),

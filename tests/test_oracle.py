@@ -3,11 +3,11 @@
 import pytest
 
 import __spark_entry__ as entry
+from basketflow.registry import ORACLE as SQL
+from basketflow.registry import QUERIES
 from tests.conftest import SMALL
 from tests.oracle import compare, connect, type_differences
 
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
-
 
 @pytest.fixture(scope="module")
 def con():

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from basketflow.llm import decontaminate
+from basketflow.llm import decontaminate, language_id, secrets, token_counts
 
 QUERIES = {
     "op1_decontaminate": decontaminate.op1_decontaminate,
+    "op4_secrets": secrets.op4_secrets,
+    "op5_token_counts": token_counts.op5_token_counts,
+    "op9_language_id": language_id.op9_language_id,
 }
 
 ORACLE = {

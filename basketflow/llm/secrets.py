@@ -210,9 +210,13 @@ def _joined(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["stop"])), ",")
 
 
+def _count(kind: str) -> Column:
+    return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+
+
 def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_secrets(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    count = [F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in BASE]
+    count = [_count(kind).alias(f"n_{kind}") for kind in BASE]
     base = F.filter("spans", lambda s: s["kind"].isin(*BASE))
     return found.select(
         "doc.doc_id", *count, F.sha2(_joined(base), 256).alias("base_sha256"), _joined(F.col("spans")).alias("spans")

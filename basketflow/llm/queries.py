@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from basketflow.llm import decontaminate, language_id, secrets, token_counts
+from basketflow.llm import decontaminate, language_id, secrets, simhash, token_counts
 
 QUERIES = {
     "op1_decontaminate": decontaminate.op1_decontaminate,
     "op4_secrets": secrets.op4_secrets,
     "op5_token_counts": token_counts.op5_token_counts,
+    "op7_simhash": simhash.op7_simhash,
     "op9_language_id": language_id.op9_language_id,
 }
 

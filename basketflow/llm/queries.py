@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from basketflow.llm import decontaminate, language_id, secrets, simhash, token_counts
+from basketflow.llm import decontaminate, language_id, mixing, secrets, simhash, token_counts
 
 QUERIES = {
     "op1_decontaminate": decontaminate.op1_decontaminate,
     "op4_secrets": secrets.op4_secrets,
     "op5_token_counts": token_counts.op5_token_counts,
     "op7_simhash": simhash.op7_simhash,
+    "op8_mix": mixing.op8_mix,
     "op9_language_id": language_id.op9_language_id,
 }
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from basketflow.llm import decontaminate, language_id, mixing, secrets, simhash, token_counts
+from basketflow.llm import decontaminate, embedding_dedup, language_id, mixing, secrets, simhash, token_counts
 
 QUERIES = {
     "op1_decontaminate": decontaminate.op1_decontaminate,
@@ -11,6 +11,7 @@ QUERIES = {
     "op7_simhash": simhash.op7_simhash,
     "op8_mix": mixing.op8_mix,
     "op9_language_id": language_id.op9_language_id,
+    "op10_embedding_dedup": embedding_dedup.op10_embedding_dedup,
 }
 
 ORACLE = {

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from basketflow.llm import decontaminate, embedding_dedup, language_id, mixing, secrets, simhash, token_counts
+from basketflow.llm import decontaminate, embedding_dedup, language_id, mixing, secrets, simhash, token_counts, warc
 
 QUERIES = {
     "op1_decontaminate": decontaminate.op1_decontaminate,
+    "op2_warc": warc.op2_warc,
     "op4_secrets": secrets.op4_secrets,
     "op5_token_counts": token_counts.op5_token_counts,
     "op7_simhash": simhash.op7_simhash,
@@ -16,4 +17,5 @@ QUERIES = {
 
 ORACLE = {
     "op1_decontaminate": decontaminate.SQL,
+    "op2_warc": warc.SQL,
 }

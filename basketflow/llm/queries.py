@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from basketflow.llm import decontaminate, embedding_dedup, language_id, mixing, secrets, simhash, token_counts, warc
+from basketflow.llm import decontaminate, embedding_dedup, language_id, mixing, quality, secrets, simhash, token_counts, warc
 
 QUERIES = {
     "op1_decontaminate": decontaminate.op1_decontaminate,
     "op2_warc": warc.op2_warc,
+    "op3_quality": quality.op3_quality,
     "op4_secrets": secrets.op4_secrets,
     "op5_token_counts": token_counts.op5_token_counts,
     "op7_simhash": simhash.op7_simhash,

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from basketflow.llm import decontaminate, embedding_dedup, language_id, mixing, quality, secrets, simhash, token_counts, warc
+from basketflow.llm import decontaminate, embedding_dedup, html_extract, language_id, mixing, quality, secrets, simhash, token_counts, warc
 
 QUERIES = {
     "op1_decontaminate": decontaminate.op1_decontaminate,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_quality": quality.op3_quality,
     "op4_secrets": secrets.op4_secrets,
     "op5_token_counts": token_counts.op5_token_counts,
+    "op6_html_extract": html_extract.op6_html_extract,
     "op7_simhash": simhash.op7_simhash,
     "op8_mix": mixing.op8_mix,
     "op9_language_id": language_id.op9_language_id,

@@ -46,8 +46,10 @@ class BlendWeights:
 
 @dataclass(frozen=True)
 class PairSampling:
+    """``max_samples`` bounds the positives a model is fitted on; None, for checking it, takes all."""
+
     negative_ratio: float = 2.0
-    max_samples: int = 100_000
+    max_samples: int | None = 100_000
     seed: int = 42
     customer_fraction: float = 0.3
     article_fraction: float = 0.3

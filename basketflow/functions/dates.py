@@ -8,6 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+PURCHASE_DAY, MONTH = "t_dat", "year_month"
+
+
 def as_date(value: Column | dt.date | str) -> Column:
     """A date column from a column, a date or an ISO string."""
     if isinstance(value, Column):
@@ -20,6 +23,22 @@ def days_before(reference: Column | dt.date | str, day: Column) -> Column:
     return F.datediff(as_date(reference), day)
 
 
+def in_months(
+    df: DataFrame, column: str, start: Column | dt.date | str | None = None, end: Column | dt.date | str | None = None
+) -> Column:
+    """The same bounds on ``year_month``, by which purchases are stored, so that other months aren't read.
+
+    True where the table has no such column, or the date is not the purchase date.
+    """
+    out = F.lit(True)
+    if column == PURCHASE_DAY and MONTH in df.columns:
+        if start is not None:
+            out = out & (F.col(MONTH) >= F.date_format(as_date(start), "yyyy-MM"))
+        if end is not None:
+            out = out & (F.col(MONTH) <= F.date_format(as_date(end), "yyyy-MM"))
+    return out
+
+
 def with_date_features(transactions: DataFrame, day: str = "t_dat") -> DataFrame:
     """year, month, day, dayofweek (1 = Sunday), ISO week and year_month."""
     d = F.col(day)

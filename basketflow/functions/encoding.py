@@ -12,6 +12,7 @@ PRODUCT_GROUP_CODES = {
     "Shoes": 3,
     "Accessories": 4,
 }
+# The model's inputs in order.
 FEATURES = [
     "age",
     "is_subscribed",

@@ -15,6 +15,7 @@ from basketflow.operators.filters import (
     equals_unless_all,
     page_counts,
     page_of,
+    rows_with_ids,
 )
 from basketflow.operators.gold import period_sales
 from basketflow.operators.skew import lookup_join
@@ -127,7 +128,7 @@ def product_explorer(
         F.coalesce("total_revenue", F.lit(0.0)).alias("total_revenue"),
         F.coalesce("unique_customers", F.lit(0).cast("long")).alias("unique_customers"),
     )
-    order = [F.col("num_transactions").desc(), F.col("article_id")]
+    order = [(F.col("num_transactions"), True), (F.col("article_id"), False)]
     return page_of(rows, order, page, page_size), page_counts(listed, page_size)
 
 
@@ -146,10 +147,12 @@ def transaction_lookup(
     end: Day = None,
     page: int = 1,
     page_size: int = 20,
+    known_articles: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """Purchases with article names, newest first, one page and the total counts.
 
-    Every predicate is applied to its own table, before the join.
+    Every predicate is applied to its own table, before the join. ``known_articles`` says that each
+    purchase's article is listed: then the counts need no join unless articles are chosen.
     """
     bought = between_dates(transactions.filter(contains_text(customer, "customer_id")), "t_dat", start, end)
     listed = articles.filter(equals_unless_all({"product_group_name": category, "department_name": department}))
@@ -165,8 +168,11 @@ def transaction_lookup(
         "department_name",
         "transaction_id",
     )
-    order = [F.col("t_dat").desc(), F.col("transaction_id")]
-    return page_of(rows, order, page, page_size), page_counts(rows, page_size)
+    order = [(F.col("t_dat"), True), (F.col("transaction_id"), False)]
+    # Whether a purchase is listed needs the ids of the chosen articles only, or no join at all.
+    restricted = any(choice not in (None, ALL) for choice in (category, department))
+    counted = rows_with_ids(bought, listed, "article_id") if restricted or not known_articles else bought
+    return page_of(rows, order, page, page_size), page_counts(counted, page_size)
 
 
 def customer_list(
@@ -175,7 +181,7 @@ def customer_list(
     rows = demographics.filter(contains_text(search, "customer_id")).select(
         "customer_id", "age_bin", "club_member_status", "fashion_news_frequency", "total_spent", "num_purchases"
     )
-    order = [F.round("total_spent", 4).desc(), F.col("customer_id")]
+    order = [(F.round("total_spent", 4), True), (F.col("customer_id"), False)]
     return page_of(rows, order, page, page_size), page_counts(rows, page_size)
 
 

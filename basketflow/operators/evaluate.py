@@ -9,6 +9,10 @@ from basketflow.config import SECOND_K, TOP_K
 from basketflow.functions.lists import precision_from_ranks
 
 
+# Digits at which scores of models are compared.
+SCORE_DIGITS = 9
+
+
 def _models_of(predictions: DataFrame) -> list[str]:
     return [c for c in ("model_name", "model_version") if c in predictions.columns]
 
@@ -75,8 +79,12 @@ def eval_report(predictions: DataFrame, pairs: DataFrame, k: int = TOP_K) -> Dat
 
 
 def model_comparison(predictions: DataFrame, pairs: DataFrame, ensemble: str, k: int = TOP_K) -> DataFrame:
-    """Models by MAP, the best flagged, and what the ensemble gains over the best base model."""
-    scores = map_at_k(predictions, pairs, (k,)).select("model_name", F.col(f"map_at_{k}").alias("map"))
+    """Models by MAP, the best flagged, and what the ensemble gains over the best base model.
+
+    Scores are rounded before they are compared, so the order of a floating sum flags no model.
+    """
+    rounded = F.round(f"map_at_{k}", SCORE_DIGITS).alias("map")
+    scores = map_at_k(predictions, pairs, (k,)).select("model_name", rounded)
     best_base = F.max(F.when(F.col("model_name") != ensemble, F.col("map")))
     # Windows without a partition: one row per model, a handful in all.
     everything = Window.partitionBy()

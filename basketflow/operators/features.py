@@ -14,6 +14,7 @@ from basketflow.operators.ordering import with_ntiles
 from basketflow.operators.skew import lookup_join
 from basketflow.session import materialize
 
+# Windows and columns of the published feature tables.
 WINDOWS = (7, 30)
 CUSTOMER_FEATURES = [
     "customer_id",
@@ -204,14 +205,14 @@ def with_rfm_scores(base: DataFrame, buckets: int = 5) -> DataFrame:
 
     Spend is compared at four decimals, so that the order of a floating sum cannot decide a rank.
     """
-    tie = F.col("customer_id")
+    tie = (F.col("customer_id"), False)
     scored = with_ntiles(
         base,
         buckets,
         {
-            "recency_score": [F.col("recency_days").asc(), tie],
-            "frequency_score": [F.col("frequency").desc(), tie],
-            "monetary_score": [F.round("monetary_value", 4).desc(), tie],
+            "recency_score": [(F.col("recency_days"), False), tie],
+            "frequency_score": [(F.col("frequency"), True), tie],
+            "monetary_score": [(F.round("monetary_value", 4), True), tie],
         },
     )
     return scored.withColumn("rfm_score", F.concat("recency_score", "frequency_score", "monetary_score"))

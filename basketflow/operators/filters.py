@@ -9,22 +9,22 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from basketflow.functions.bands import UNKNOWN
-from basketflow.functions.dates import as_date
-from basketflow.operators.ordering import rows_between
+from basketflow.functions.dates import as_date, in_months
+from basketflow.operators.selection import Order, before, keys_at, sorting
 from basketflow.operators.skew import lookup_join
+from basketflow.session import materialize
 
 ALL = "ALL"
-SHALLOW_ROWS = 100_000
 
 
 def between_dates(
-    df: DataFrame, column: str, start: dt.date | str | None = None, end: dt.date | str | None = None
+    df: DataFrame, column: str, start: dt.date | str | Column | None = None, end: dt.date | str | Column | None = None
 ) -> DataFrame:
-    """Both ends inclusive; a missing end is open."""
+    """Both ends inclusive; a missing end is open. Purchases by month are read in the months between only."""
     if start is not None:
-        df = df.filter(F.col(column) >= as_date(start))
+        df = df.filter((F.col(column) >= as_date(start)) & in_months(df, column, start=start))
     if end is not None:
-        df = df.filter(F.col(column) <= as_date(end))
+        df = df.filter((F.col(column) <= as_date(end)) & in_months(df, column, end=end))
     return df
 
 
@@ -51,18 +51,21 @@ def rows_with_ids(df: DataFrame, ids: DataFrame, key: str, max_bytes: int | None
     return lookup_join(df, ids.select(key).distinct(), key, "left_semi", max_bytes=max_bytes)
 
 
-def page_of(
-    df: DataFrame, order: list[Column], page: int, page_size: int, shallow: int = SHALLOW_ROWS
-) -> DataFrame:
+def page_of(df: DataFrame, order: Order, page: int, page_size: int) -> DataFrame:
     """One page; ``order`` must end in a unique key, or pages may overlap.
 
-    Pages that end within the first ``shallow`` rows are a top-k. Deeper ones are cut out of a
-    distributed sort, because a top-k would gather all rows before the page in one task.
+    The key of the page's first row is found without sorting, from a written table of the keys; the
+    page is the first rows from that key on, however deep it lies.
     """
-    offset = (page - 1) * page_size
-    if offset + page_size <= shallow:
-        return df.orderBy(*order).offset(offset).limit(page_size)
-    return rows_between(df, order, offset, page_size)
+    rows = df
+    if page > 1:
+        place = (page - 1) * page_size
+        names = [f"_o{i}" for i in range(len(order))]
+        keys = materialize(df.select(*[c.alias(n) for n, (c, _) in zip(names, order, strict=True)]), "page-keys")
+        by = [(F.col(n), descending) for n, (_, descending) in zip(names, order, strict=True)]
+        first = keys_at(keys, by, [place]).get(place)
+        rows = df.filter(F.lit(False)) if first is None else df.filter(~before(order, first))
+    return rows.orderBy(*sorting(order)).limit(page_size)
 
 
 def page_counts(df: DataFrame, page_size: int) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from basketflow.functions.bands import UNKNOWN, age_bin
 from basketflow.operators.skew import lookup_join
 
+# Article columns of the published summary.
 ARTICLE_COLUMNS = [
     "product_code",
     "prod_name",

@@ -8,10 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from basketflow.config import Cutoffs
-from basketflow.functions.dates import as_date
-from basketflow.operators.skew import lookup_join
-
-LIST_PART = 10_000
+from basketflow.functions.dates import PURCHASE_DAY, as_date, in_months
+from basketflow.operators.filters import between_dates
 
 
 def temporal_split(transactions: DataFrame, cutoffs: Cutoffs) -> dict[str, DataFrame]:
@@ -19,9 +17,9 @@ def temporal_split(transactions: DataFrame, cutoffs: Cutoffs) -> dict[str, DataF
     day = F.col("t_dat")
     train, val, test = (as_date(d) for d in (cutoffs.train, cutoffs.val, cutoffs.test))
     return {
-        "train": transactions.filter(day <= train),
-        "val": transactions.filter((day > train) & (day <= val)),
-        "test": transactions.filter(day <= test),
+        "train": between_dates(transactions, PURCHASE_DAY, end=train),
+        "val": between_dates(transactions, PURCHASE_DAY, train, val).filter(day > train),
+        "test": between_dates(transactions, PURCHASE_DAY, end=test),
     }
 
 
@@ -34,7 +32,7 @@ def split_summary(transactions: DataFrame, cutoffs: Cutoffs) -> DataFrame:
     day = F.col("t_dat")
     train, val, test = (as_date(d) for d in (cutoffs.train, cutoffs.val, cutoffs.test))
     member_of = {"train": day <= train, "val": (day > train) & (day <= val), "test": day <= test}
-    known = transactions.filter(day <= F.greatest(val, test))
+    known = transactions.filter((day <= F.greatest(val, test)) & in_months(transactions, PURCHASE_DAY, end=F.greatest(val, test)))
     per_customer, totals, per_article, articles = [], [], [], []
     for split, member in member_of.items():
         n, first, last, bought = f"n_{split}", f"first_{split}", f"last_{split}", f"bought_{split}"
@@ -69,52 +67,24 @@ def split_summary(transactions: DataFrame, cutoffs: Cutoffs) -> DataFrame:
 def truth_pairs(transactions: DataFrame, after: dt.date | str, until: dt.date | str) -> DataFrame:
     """Purchases in ``(after, until]`` as (customer_id, article_id, copies).
 
-    The form evaluation works on: a customer with very many purchases stays spread over articles.
+    The written form of the truth, and the one evaluation works on: a customer with very many
+    purchases stays spread over articles.
     """
-    window = transactions.filter((F.col("t_dat") > as_date(after)) & (F.col("t_dat") <= as_date(until)))
+    window = between_dates(transactions, PURCHASE_DAY, after, until).filter(F.col(PURCHASE_DAY) > as_date(after))
     return window.groupBy("customer_id", "article_id").agg(F.count(F.lit(1)).alias("copies"))
 
 
-def truth_pairs_between(transactions: DataFrame, start: dt.date | str, end: dt.date | str) -> DataFrame:
-    """The same with both ends inclusive."""
-    window = transactions.filter(F.col("t_dat").between(as_date(start), as_date(end)))
-    return window.groupBy("customer_id", "article_id").agg(F.count(F.lit(1)).alias("copies"))
-
+def ground_truth_labels(pairs: DataFrame) -> DataFrame:
+    """One row per customer: the purchased articles as a list, repeats kept, and their number.
 
-def ground_truth_labels(pairs: DataFrame, part_size: int = LIST_PART, max_bytes: int | None = None) -> DataFrame:
-    """Purchased articles per customer as a list, repeats kept, and the number of purchases.
-
-    A list of up to ``part_size`` purchases is one row (``list_part`` 0). Longer ones continue in
-    further rows of about that size, so no row grows with a customer's activity and nothing is cut.
+    For readers that want lists. A row grows with the customer's purchases, so jobs keep the pairs.
     """
-    totals = pairs.groupBy("customer_id").agg(F.sum("copies").alias("num_purchases"))
-    known = lookup_join(pairs, totals, "customer_id", spread=["article_id"], max_bytes=max_bytes)
-    last_slice = F.floor((F.col("copies") - 1) / part_size)
-    sliced = known.withColumn("slice", F.explode(F.sequence(F.lit(0).cast("long"), last_slice))).withColumn(
-        "times", F.least(F.lit(part_size).cast("long"), F.col("copies") - F.col("slice") * part_size).cast("int")
-    )
-    parts = F.ceil(F.col("num_purchases") / part_size)
-    placed = sliced.withColumn("list_part", F.pmod(F.xxhash64("article_id", "slice"), parts))
-    return (
-        placed.groupBy("customer_id", "list_part", "num_purchases")
-        .agg(F.array_sort(F.collect_list(F.struct("article_id", "times"))).alias("bought"))
-        .select(
-            "customer_id",
-            "list_part",
-            F.flatten(F.transform("bought", lambda b: F.array_repeat(b["article_id"], b["times"]))).alias(
-                "actual_articles"
-            ),
-            "num_purchases",
-        )
-    )
-
-
-def pairs_from_lists(labels: DataFrame) -> DataFrame:
-    """(customer_id, article_id, copies) from label lists, in one or several parts."""
+    bought = F.array_sort(F.collect_list(F.struct("article_id", F.col("copies").cast("int").alias("times"))))
+    repeated = F.transform("bought", lambda b: F.array_repeat(b["article_id"], b["times"]))
     return (
-        labels.select("customer_id", F.explode("actual_articles").alias("article_id"))
-        .groupBy("customer_id", "article_id")
-        .agg(F.count(F.lit(1)).alias("copies"))
+        pairs.groupBy("customer_id")
+        .agg(bought.alias("bought"), F.sum("copies").alias("num_purchases"))
+        .select("customer_id", F.flatten(repeated).alias("actual_articles"), "num_purchases")
     )
 
 

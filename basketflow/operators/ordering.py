@@ -1,6 +1,6 @@
 """Exact global ranks without a single-task window.
 
-A global sort range-partitions the rows. ``monotonically_increasing_id`` after it holds partition
+Buckets need the keys at which they begin only (``selection``). For row numbers, a global sort range-partitions the rows. ``monotonically_increasing_id`` after it holds partition
 number and row number, so the rank of a row is the rows in earlier partitions plus its row number.
 Only one count per partition reaches the driver. Sort keys must be unique: then the ranges are
 balanced however often a leading value repeats, and ranks are the same on every run.
@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from basketflow.operators.selection import Order, before, keys_at
 from basketflow.session import materialize
 
 _ROW_BITS = 33
@@ -31,46 +32,25 @@ def _partition_counts(placed: DataFrame, names: list[str]) -> dict[str, list[tup
     return {n: sorted((r["part"], r["count"]) for r in counted if r["name"] == n) for n in names}
 
 
-def _bucket_starts(counts: list[tuple[int, int]], buckets: int) -> list[int]:
-    """Positions at which buckets 2, 3, … begin, under the ntile rule: larger buckets come first."""
-    total = sum(rows for _, rows in counts)
-    size, larger = divmod(total, buckets)
-    starts = [b * size + min(b, larger) for b in range(1, buckets)]
-    positions, before = [], 0
-    for part, rows in counts:
-        positions += [(part << _ROW_BITS) + s - before for s in starts if before <= s < before + rows]
-        before += rows
-    return positions
-
+def with_ntiles(df: DataFrame, buckets: int, orders: dict[str, Order]) -> DataFrame:
+    """Add ``ntile(buckets)`` over the whole table for each named order, which must end in a unique key.
 
-def with_ntiles(df: DataFrame, buckets: int, orders: dict[str, list[Column]]) -> DataFrame:
-    """Add ``ntile(buckets)`` over the whole table for each named order.
-
-    All orders share one materialized table. A bucket number is the count of bucket starts at or
-    before the row's position: a handful of literals, no join and no window.
+    Nothing is sorted: the keys at which buckets begin are found by selection in the written table,
+    and a bucket number is the count of such keys at or before the row's own. Of unequal buckets the
+    larger ones come first.
     """
-    marks = {f"_{name}": keys for name, keys in orders.items()}
-    placed = _with_positions(df, marks)
-    counts = _partition_counts(placed, list(marks))
+    table = materialize(df, "ranked")
+    size, larger = divmod(table.count(), buckets)
+    starts = [b * size + min(b, larger) for b in range(1, buckets)]
     tiles = {}
-    for name in orders:
+    for name, order in orders.items():
         tile = F.lit(1)
-        for start in _bucket_starts(counts[f"_{name}"], buckets):
-            tile = tile + (F.col(f"_{name}") >= F.lit(start)).cast("int")
+        found = keys_at(table, order, starts)
+        for start in starts:
+            if start in found:
+                tile = tile + (~before(order, found[start])).cast("int")
         tiles[name] = tile
-    return placed.withColumns(tiles).drop(*marks)
-
-
-def rows_between(df: DataFrame, keys: list[Column], start: int, count: int) -> DataFrame:
-    """Rows ``start`` … ``start + count - 1`` (from 0) in ``keys`` order, however deep ``start`` lies."""
-    placed = _with_positions(df, {"_at": keys})
-    wanted, before = F.lit(False), 0
-    for part, rows in _partition_counts(placed, ["_at"])["_at"]:
-        first, last = max(start - before, 0), min(start + count - before, rows) - 1
-        if first <= last:
-            wanted = wanted | F.col("_at").between((part << _ROW_BITS) + first, (part << _ROW_BITS) + last)
-        before += rows
-    return placed.filter(wanted).orderBy("_at").drop("_at")
+    return table.withColumns(tiles)
 
 
 def with_row_index(df: DataFrame, keys: list[Column], name: str, start: int = 1) -> DataFrame:

@@ -21,12 +21,15 @@ def distinct_pairs(transactions: DataFrame) -> DataFrame:
 
 
 def capped_sample(
-    df: DataFrame, keys: list[str], max_rows: int, seed: int = 42, hasher: Hasher = fast_hash
+    df: DataFrame, keys: list[str], max_rows: int | None, seed: int = 42, hasher: Hasher = fast_hash
 ) -> DataFrame:
     """All rows, or a Bernoulli sample of about ``max_rows`` if there are more.
 
     A row stays or goes by the hash of its keys, so the sample does not depend on partitioning.
+    Without ``max_rows`` all rows stay: only what a model is fitted on may be sampled.
     """
+    if max_rows is None:
+        return df
     total = df.agg(F.count(F.lit(1)).alias("n")).scalar()
     share = F.least(F.lit(1.0), F.lit(float(max_rows)) / F.greatest(total, F.lit(1)))
     return df.filter(keep_fraction(share, *[F.col(k) for k in keys], seed=seed, hasher=hasher))
@@ -135,9 +138,9 @@ def training_pairs(
     sampling: PairSampling = PairSampling(),
     hasher: Hasher = fast_hash,
 ) -> DataFrame:
-    """Positives (capped), their negatives, and the encoded features of both sides."""
+    """Positives (sampled), their negatives, and the encoded features of both sides."""
     bought = materialize(distinct_pairs(transactions), "bought-pairs")
-    sampled = materialize(capped_sample(bought, PAIR, sampling.max_samples, sampling.seed, hasher), "positives")
+    sampled = capped_sample(bought, PAIR, sampling.max_samples, sampling.seed, hasher)
     drawn = negatives(sampled, bought, article_codes, sampling.negative_ratio, sampling.seed, hasher)
     labelled = sampled.unionByName(materialize(drawn, "negatives").withColumn("label", F.lit(0)))
     with_customer = lookup_join(labelled, customer_codes, "customer_id", spread=["article_id"])

@@ -8,6 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from basketflow.operators.selection import quantiles
+from basketflow.session import materialize
+
 
 def _long_form(one_row: DataFrame, name: str, rows: list[tuple[str, list[Column]]], columns: list[str]) -> DataFrame:
     """Turn the single row of a global aggregate into one row per entry."""
@@ -60,38 +63,37 @@ def feature_stats(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     return _long_form(df.agg(*aggs), "feature", rows, ["mean", "std", "min", "max"])
 
 
-def feature_summary(df: DataFrame, columns: list[str], accuracy: int = 10_000) -> DataFrame:
+QUARTILES = [0.25, 0.5, 0.75]
+
+
+def feature_summary(df: DataFrame, columns: list[str], approximate: bool = False, accuracy: int = 10_000) -> DataFrame:
     """Count, mean, deviation, minimum, quartiles and maximum of chosen columns.
 
-    Quartiles come from mergeable sketches of bounded size, exact while a column holds fewer values
-    than ``accuracy`` and within ``rows / accuracy`` ranks beyond.
+    Quartiles are exact at any size: the value of rank ceil(share * count), found by selection in a
+    written copy of the columns. ``approximate`` takes them from mergeable sketches instead, within
+    ``rows / accuracy`` ranks, in the one pass of the other figures.
     """
-    aggs = []
+    table = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
+    table = table if approximate else materialize(table, "summarised")
+    aggs, quartiles = [], {}
     for i, c in enumerate(columns):
-        value = F.col(c).cast("double")
         aggs += [
-            F.count(value).alias(f"_count{i}"),
-            F.mean(value).alias(f"_mean{i}"),
-            F.stddev(value).alias(f"_std{i}"),
-            F.min(value).alias(f"_min{i}"),
-            F.percentile_approx(value, [0.25, 0.5, 0.75], accuracy).alias(f"_q{i}"),
-            F.max(value).alias(f"_max{i}"),
+            F.count(c).alias(f"_count{i}"),
+            F.mean(c).alias(f"_mean{i}"),
+            F.stddev(c).alias(f"_std{i}"),
+            F.min(c).alias(f"_min{i}"),
+            F.max(c).alias(f"_max{i}"),
         ]
+        if approximate:
+            aggs.append(F.percentile_approx(c, QUARTILES, accuracy).alias(f"_q{i}"))
+            quartiles[c] = [F.get(f"_q{i}", j) for j in range(len(QUARTILES))]
+        else:
+            quartiles[c] = [F.lit(v).cast("double") for v in quantiles(table, c, QUARTILES)]
     rows = [
-        (
-            c,
-            [
-                F.col(f"_count{i}"),
-                F.col(f"_mean{i}"),
-                F.col(f"_std{i}"),
-                F.col(f"_min{i}"),
-                *[F.get(f"_q{i}", j) for j in range(3)],
-                F.col(f"_max{i}"),
-            ],
-        )
+        (c, [F.col(f"_count{i}"), F.col(f"_mean{i}"), F.col(f"_std{i}"), F.col(f"_min{i}"), *quartiles[c], F.col(f"_max{i}")])
         for i, c in enumerate(columns)
     ]
-    return _long_form(df.agg(*aggs), "feature", rows, ["count", "mean", "std", "min", "p25", "p50", "p75", "max"])
+    return _long_form(table.agg(*aggs), "feature", rows, ["count", "mean", "std", "min", "p25", "p50", "p75", "max"])
 
 
 def feature_histogram(df: DataFrame, column: str, bins: int = 50) -> DataFrame:

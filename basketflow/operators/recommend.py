@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from basketflow.config import DECAY, RECENT_DAYS, TOP_K, BlendWeights
 from basketflow.functions import lists
-from basketflow.functions.dates import as_date, days_before
-from basketflow.operators.filters import known_segment
+from basketflow.functions.dates import PURCHASE_DAY, as_date, days_before
+from basketflow.operators.filters import between_dates, known_segment
 from basketflow.operators.skew import HOT_ROWS, lookup_join, with_pieces
 
 Reference = dt.date | str | None
@@ -26,8 +26,8 @@ def _reference(transactions: DataFrame, reference: Reference) -> Column:
 def recent(transactions: DataFrame, reference: Reference, n_days: int, open_end: bool = False) -> DataFrame:
     """Purchases from ``n_days`` before the reference date up to it; ``open_end`` keeps later ones too."""
     ref = _reference(transactions, reference)
-    out = transactions.filter(F.col("t_dat") >= F.date_sub(ref, n_days))
-    return out if open_end or reference is None else out.filter(F.col("t_dat") <= ref)
+    until = None if open_end or reference is None else ref
+    return between_dates(transactions, PURCHASE_DAY, F.date_sub(ref, n_days), until)
 
 
 def popular_items(
@@ -89,10 +89,14 @@ def top_popular(popularity: DataFrame, top_n: int = TOP_K) -> DataFrame:
 
 
 def popular_details(popularity: DataFrame, articles: DataFrame, top_n: int = 50) -> DataFrame:
-    """The best articles with their names; the articles are reduced to those before the join."""
+    """The best articles with their names; the articles are reduced to those before the join.
+
+    What is broadcast has at most ``top_n`` rows on either way; the catalogue is never shuffled.
+    """
     top = top_popular(popularity, top_n)
     names = articles.select("article_id", "product_type_name", "product_group_name", "colour_group_name")
-    return names.join(F.broadcast(top), "article_id", "right").select(
+    named = names.join(F.broadcast(top.select("article_id")), "article_id", "left_semi")
+    return top.join(F.broadcast(named), "article_id", "left").select(
         "article_id",
         "product_type_name",
         "product_group_name",
@@ -186,11 +190,7 @@ def age_rules_predict(
     """
     per_segment = ranked_lists(ranked, segment)
     members = segments.select("customer_id", segment)
-    if segment == "age_group":
-        # One row per age band: seven at most.
-        out = members.join(F.broadcast(per_segment), segment, "left")
-    else:
-        out = lookup_join(members, per_segment, segment, "left", spread=["customer_id"], max_bytes=max_bytes)
+    out = lookup_join(members, per_segment, segment, "left", spread=["customer_id"], max_bytes=max_bytes)
     out = out.select("customer_id", segment, "predicted_articles")
     if fallback is not None:
         in_order = F.array_sort(F.collect_list(F.struct("rank", "article_id")))
@@ -205,11 +205,11 @@ def age_rules_predict(
 def next_pairs(transactions: DataFrame, limit: int = HOT_ROWS) -> DataFrame:
     """Each purchase with the customer's next one: (article_id, next_article).
 
-    A hot customer's history is cut into consecutive pieces. The last purchase of a piece is
+    Purchases without a customer have no next one. A hot customer's history is cut into consecutive pieces. The last purchase of a piece is
     followed by the first of the next piece, taken from a table of one row per piece.
     """
     order, piece = ["t_dat", "transaction_id"], ["customer_id", "_day", "_slot"]
-    slim = transactions.select("customer_id", "article_id", *order)
+    slim = transactions.select("customer_id", "article_id", *order).filter(F.col("customer_id").isNotNull())
     cut, hot = with_pieces(slim, "customer_id", *order, limit)
     followed = cut.withColumn("next_article", F.lead("article_id").over(Window.partitionBy(*piece).orderBy(*order)))
     if hot is None:
@@ -245,7 +245,7 @@ def next_item_recommend(
     transactions: DataFrame, followers: DataFrame, max_bytes: int | None = None
 ) -> DataFrame:
     """For each customer, what usually follows their last purchase; ``[]`` if nothing ever did."""
-    last = transactions.groupBy("customer_id").agg(
+    last = transactions.filter(F.col("customer_id").isNotNull()).groupBy("customer_id").agg(
         F.max_by("article_id", F.struct("t_dat", "transaction_id")).alias("article_id")
     )
     by_article = ranked_lists(

@@ -119,13 +119,15 @@ def with_pieces(
         return df.withColumns({"_day": no_day, "_slot": F.lit(0)}), None
     groups = hot.select(F.col(f"_hot_{group}").alias(group))
     out = with_parts(df, hot, [group]).withColumn("_day", F.when(F.col("_parts").isNotNull(), F.col(day))).drop("_n", "_parts")
-    inside = df.join(F.broadcast(groups), group, "left_semi")
+    named = groups.select(F.col(group).alias("_group"))
+    inside = df.join(F.broadcast(named), F.col(group).eqNullSafe(F.col("_group")), "left_semi")
     hot_days = hot_keys(inside, [group, day], limit)
     if hot_days.isEmpty():
         return out.withColumn("_slot", F.lit(0)), groups
     cuts = materialize(_cut_points(inside, hot_days, [group, day], tie), "cuts")
     # A row is compared with the first value of each block, then within one block.
-    placed = out.join(F.broadcast(cuts), [group, day], "left")
+    same = F.col(group).eqNullSafe(F.col("_group")) & F.col(day).eqNullSafe(F.col("_of"))
+    placed = out.join(F.broadcast(cuts.withColumnsRenamed({group: "_group", day: "_of"})), same, "left").drop("_group", "_of")
     started = F.size(F.filter("_cuts", lambda b: b[0] <= F.col(tie)))
     within = F.size(F.filter(F.get("_cuts", F.col("_started") - 1), lambda c: c <= F.col(tie)))
     slot = F.when(F.col("_started") > 0, (F.col("_started") - 1) * F.col("_block") + within).otherwise(0)

@@ -26,8 +26,11 @@ def network(max_iter: int, seed: int = 42) -> MultilayerPerceptronClassifier:
     return MultilayerPerceptronClassifier(layers=LAYERS, maxIter=max_iter, seed=seed)
 
 
+REGULARIZATION = {f"logistic {r}": r for r in (0.0, 0.01, 0.1)}
+
+
 def default_candidates() -> dict[str, Estimator]:
-    return {f"logistic {r}": logistic(r) for r in (0.0, 0.01, 0.1)}
+    return {name: logistic(r) for name, r in REGULARIZATION.items()}
 
 
 def score(model, pairs: DataFrame) -> DataFrame:
@@ -49,6 +52,15 @@ def quality(scored: DataFrame) -> DataFrame:
     )
 
 
+def fixed_score(pairs: DataFrame, coefficients: dict[str, float], intercept: float = 0.0) -> DataFrame:
+    """Standardised pairs with ``p`` and ``prediction`` of given coefficients: scoring without fitting."""
+    z = F.lit(float(intercept))
+    for name, value in coefficients.items():
+        z = z + F.col(name) * F.lit(float(value))
+    out = pairs.withColumn("p", 1.0 / (1.0 + F.exp(-z)))
+    return out.withColumn("prediction", (F.col("p") > 0.5).cast("double"))
+
+
 def train_propensity(
     train: DataFrame, val: DataFrame, candidates: dict[str, Estimator] | None = None
 ) -> tuple[Model, DataFrame]:

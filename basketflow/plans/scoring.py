@@ -9,7 +9,9 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketflow.session import materialize
+from basketflow.session import materialize, scratch_scope
+from basketflow.sources.files import write_table
+from basketflow.sources.serving import ServingStore
 
 _STATUS = (
     "model_name string, model_version string, model_alias string, status string, reason string, num_predictions long"
@@ -60,7 +62,7 @@ def batch_scoring(
     for name in dict.fromkeys(m.name for m in models):
         model = champion(models, name, alias)
         if model is None:
-            status.append((name, None, None, "SKIPPED", f"No {alias} alias", 0))
+            status.append((name, None, None, "SKIPPED", f"no version is marked {alias}", 0))
             continue
         try:
             scored = (
@@ -78,9 +80,35 @@ def batch_scoring(
             )
             written = materialize(scored, f"scored-{name}")
             done.append(written)
-            status.append((name, model.version, alias, "SUCCESS", "Completed", written.count()))
+            status.append((name, model.version, alias, "SUCCESS", "scored", written.count()))
         except Exception as error:  # noqa: BLE001 - the status row carries the reason
             status.append((name, model.version, alias, "FAILED", str(error).splitlines()[0], 0))
     if not done:
         raise RuntimeError(f"no model was scored; is any version marked {alias}?")
     return predictions_union(done), customers.sparkSession.createDataFrame(status, _STATUS)
+
+
+PREDICTION_KEY = ["customer_id", "model_name"]
+
+
+def scoring_job(
+    customers: DataFrame,
+    models: list[Model],
+    batch_id: str,
+    timestamp: str,
+    out: str,
+    store: ServingStore,
+    target: str,
+    alias: str = "Champion",
+) -> tuple[DataFrame, DataFrame]:
+    """Score with all champions, write one table, serve it by customer and model; table and status.
+
+    What the models write on the way is deleted at the end; the served snapshot is checked for its
+    key before it replaces the last one.
+    """
+    with scratch_scope(customers.sparkSession, "scoring"):
+        predictions, status = batch_scoring(customers, models, batch_id, timestamp, alias)
+        written = write_table(predictions, f"{out}/predictions")
+        status = write_table(status, f"{out}/status")
+    store.publish(written, target, PREDICTION_KEY, skip_if_exists=False)
+    return written, status

@@ -21,12 +21,12 @@ def segment_lists(x: Inputs) -> DataFrame:
 
 
 def fitted(x: Inputs) -> dict[str, DataFrame]:
-    return models.fit(x.e_train, x.segments, E_CUTS.train)
+    return models.fit(x.e, x.segments, E_CUTS.train)
 
 
 def base_predictions(x: Inputs) -> dict[str, DataFrame]:
-    return models.predict(fitted(x), x.segments, x.e_train)
+    return models.predict(fitted(x), x.segments, x.e, E_CUTS.train)
 
 
 def all_predictions(x: Inputs) -> DataFrame:
-    return models.predict_with_ensemble(fitted(x), x.segments, x.e_train, WEIGHTS)
+    return models.predict_with_ensemble(fitted(x), x.segments, x.e, E_CUTS.train, WEIGHTS)

@@ -23,6 +23,7 @@ from basketflow.registry.common import (
     rounded,
     sql,
 )
+from basketflow.sources import schemas
 from basketflow.session import materialize
 
 _ARTICLE = ", ".join(gold.ARTICLE_COLUMNS)
@@ -240,8 +241,7 @@ def article_features(x: Inputs) -> DataFrame:
 @query(
     "ground_truth_labels",
     sql(
-        select="""SELECT customer_id, CAST(0 AS BIGINT) AS list_part,
-        string_agg(CAST(article_id AS VARCHAR), ' ' ORDER BY article_id) AS actual_articles, count(*) AS num_purchases
+        select="""SELECT customer_id, string_agg(CAST(article_id AS VARCHAR), ' ' ORDER BY article_id) AS actual_articles, count(*) AS num_purchases
         FROM t WHERE t_dat > DATE '2001-07-15' AND t_dat <= DATE '2001-07-22' GROUP BY 1"""
     ),
 )
@@ -262,19 +262,15 @@ def global_profile(x: Inputs) -> DataFrame:
 
 
 _QUALITY = {
-    "articles": [
-        "article_id product_code prod_name product_type_no product_type_name product_group_name colour_group_code colour_group_name"
-        " department_name index_group_name section_no section_name garment_group_no garment_group_name detail_desc"
-    ],
-    "customers": ["customer_id age FN Active club_member_status fashion_news_frequency"],
-    "t": ["t_dat customer_id article_id price sales_channel_id transaction_id"],
+    "articles": schemas.ARTICLES.fieldNames(),
+    "customers": schemas.CUSTOMERS.fieldNames(),
+    "t": [*schemas.TRANSACTIONS.fieldNames(), "transaction_id"],
 }
 
 
 def _quality_sql() -> str:
     parts = []
-    for table, (names,) in _QUALITY.items():
-        columns = names.split()
+    for table, columns in _QUALITY.items():
         parts += [
             f"SELECT '{table}' AS table_name, '{c}' AS column_name, count(*) AS row_count, CAST({len(columns)} AS INTEGER) AS column_count, "
             f"count(*) - count({c}) AS null_count FROM {table}"
@@ -506,7 +502,7 @@ def product_explorer(x: Inputs) -> DataFrame:
 )
 def transaction_lookup(x: Inputs) -> DataFrame:
     page, counts = dashboard.transaction_lookup(
-        x.t, x.articles, "00001", "Accessories", "ALL", "1996-01-01", "2001-07-01", page=2
+        x.t, x.articles, "00001", "Accessories", "ALL", "1996-01-01", "2001-07-01", page=2, known_articles=True
     )
     return _with_counts(page, counts)
 

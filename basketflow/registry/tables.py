@@ -63,13 +63,21 @@ def partitioned_write(x: Inputs) -> DataFrame:
     )
 
 
-@query("surrogate_key", sql(select="SELECT count(*) AS num_rows, count(*) AS num_keys, CAST(0 AS BIGINT) AS num_missing FROM t"))
+_KEYED = "t_dat, customer_id, article_id, sales_channel_id"
+
+
+@query(
+    "surrogate_key",
+    sql(
+        select=f"""SELECT *, md5(concat_ws('|', t_dat, customer_id, article_id, sales_channel_id)) || '-' ||
+        row_number() OVER (PARTITION BY {_KEYED}) AS row_key FROM (SELECT {_KEYED} FROM t)"""
+    ),
+)
 def surrogate_key(x: Inputs) -> DataFrame:
-    return files.with_surrogate_key(x.t, "row_key").agg(
-        F.count(F.lit(1)).alias("num_rows"),
-        F.count_distinct("row_key").alias("num_keys"),
-        F.count(F.when(F.col("row_key").isNull(), 1)).alias("num_missing"),
-    )
+    """The ids themselves, of purchases without their price: several of them are equal."""
+    columns = _KEYED.split(", ")
+    rows = x.t.select(columns)
+    return files.with_surrogate_key(rows, "row_key", F.concat_ws("|", *[F.col(c).cast("string") for c in columns]))
 
 
 @query(

@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _OWN_SCRATCH: dict[str, str] = {}
+_SCOPES: list[str] = []
 
 
 def build_session(app: str, master: str | None = None, shuffle_partitions: int | None = None) -> SparkSession:
@@ -45,8 +48,56 @@ def scratch_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A path nobody else writes to."""
-    return f"{scratch_dir(spark)}/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
+    """A path nobody else writes to, inside the innermost open scope."""
+    top = _SCOPES[-1] if _SCOPES else f"{scratch_dir(spark)}/{spark.sparkContext.applicationId}"
+    return f"{top}/{label}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession, label: str = "scope") -> Iterator[str]:
+    """A folder for the scratch tables written inside the block, deleted with them at its end.
+
+    Frames built inside must be written elsewhere, or be done with, before it closes.
+    """
+    path = scratch_path(spark, label)
+    _SCOPES.append(path)
+    try:
+        yield path
+    finally:
+        _SCOPES.remove(path)
+        delete_folder(spark, path)
+
+
+def _files(spark: SparkSession, path: str):
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    store, place = _files(spark, path)
+    store.delete(place, True)
+
+
+def list_folder(spark: SparkSession, path: str) -> list[str]:
+    """Names inside a folder, none if it is not there."""
+    store, place = _files(spark, path)
+    return sorted(f.getPath().getName() for f in store.listStatus(place)) if store.exists(place) else []
+
+
+def replace_folder(spark: SparkSession, staged: str, target: str) -> None:
+    """Put a finished folder in another's place: two renames, and the old one is deleted last."""
+    store, new = _files(spark, staged)
+    _, place = _files(spark, target)
+    _, old = _files(spark, f"{target}.old-{uuid.uuid4().hex}")
+    had = store.exists(place)
+    if had and not store.rename(place, old):
+        raise OSError(f"could not move {target} aside")
+    if not store.rename(new, place):
+        if had:
+            store.rename(old, place)
+        raise OSError(f"could not put {staged} in place of {target}")
+    if had:
+        store.delete(old, True)
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:

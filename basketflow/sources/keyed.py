@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketflow.sources.files import write_table
+from basketflow.operators.skew import lookup_join
+from basketflow.session import delete_folder, replace_folder, scratch_dir
+from basketflow.sources.files import read_table, write_version
 
 
 class KeyViolation(ValueError):
@@ -30,12 +33,30 @@ def check_key(df: DataFrame, keys: list[str]) -> None:
 
 
 def write_feature_table(df: DataFrame, name: str, keys: list[str], path: str | None = None) -> DataFrame:
-    """Create or replace a feature table; the key is checked on the written rows, before any reader."""
-    written = write_table(df, name, path)
-    check_key(written, keys)
-    return written
+    """Create or replace a feature table whose key is checked before any reader sees it.
+
+    The rows are written once, beside the table; only if they have the key they take its place. After
+    a ``KeyViolation`` the old table is as it was.
+    """
+    spark = df.sparkSession
+    if "/" not in name:
+        return write_version(df, name, path or f"{scratch_dir(spark)}/tables/{name}", lambda rows: check_key(rows, keys))
+    staged = f"{name.rstrip('/')}.staged-{uuid.uuid4().hex}"
+    try:
+        df.write.parquet(staged)
+        check_key(spark.read.parquet(staged), keys)
+        replace_folder(spark, staged, name.rstrip("/"))
+    finally:
+        delete_folder(spark, staged)
+    spark.catalog.refreshByPath(name)
+    return read_table(spark, name)
 
 
 def lookup_features(keys_df: DataFrame, features: DataFrame, keys: list[str]) -> DataFrame:
-    """Feature columns for the given keys; keys without features keep nulls."""
+    """Feature columns for the given keys; keys without features keep nulls.
+
+    A single key may repeat without limit: hot keys are dealt out.
+    """
+    if len(keys) == 1:
+        return lookup_join(keys_df, features, keys[0], "left")
     return keys_df.join(features, keys, "left")

@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketflow.config import ServingTable
-from basketflow.session import materialize
-from basketflow.sources.files import read_table
+from basketflow.session import delete_folder
+from basketflow.sources.files import read_table, write_version
 from basketflow.sources.keyed import check_key
 
 POLICIES = ("SNAPSHOT", "TRIGGERED", "CONTINUOUS")
@@ -62,19 +62,20 @@ class ServingStore:
     ) -> str:
         """Copy ``source`` to the serving table ``target`` and return "published" or "skipped".
 
-        The key is checked before anything is replaced; a computed source is written once for that
-        and copied from there. An unknown policy counts as SNAPSHOT, as
-        every policy starts with a full copy; later refreshes are ``streaming.publish``.
+        The snapshot is written once, into a folder of its own, and its key is checked there; then the
+        table is pointed at it. After a ``KeyViolation`` the old snapshot is still served. An unknown
+        policy counts as SNAPSHOT, as every policy starts with a full copy; a TRIGGERED or CONTINUOUS
+        table goes on with ``streaming.publish.refresh_serving``.
         """
         keys = primary_key or ["id"]
         database, table = self._place(target)
         if skip_if_exists and self.exists(target):
             return "skipped"
-        df = read_table(self.spark, source) if isinstance(source, str) else materialize(source, table)
-        check_key(df, keys)
+        df = read_table(self.spark, source) if isinstance(source, str) else source
         if create_database:
             self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}` LOCATION '{self.root}/{database}'")
-        df.write.mode("overwrite").saveAsTable(f"{database}.{table}")
+        folder = f"{self.root}/{database}/{table}"
+        write_version(df, f"`{database}`.`{table}`", folder, lambda rows: check_key(rows, keys))
         kept = policy.upper() if policy.upper() in POLICIES else POLICIES[0]
         origin = source if isinstance(source, str) else ""
         self.spark.sql(
@@ -126,7 +127,9 @@ class ServingStore:
         """Remove a serving table; False if there was none."""
         if not self.exists(target):
             return False
-        self.spark.sql(f"DROP TABLE {'.'.join(f'`{p}`' for p in self._place(target))}")
+        database, table = self._place(target)
+        self.spark.sql(f"DROP TABLE `{database}`.`{table}`")
+        delete_folder(self.spark, f"{self.root}/{database}/{table}")
         return True
 
 

@@ -2,18 +2,29 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-BATCH = "refresh"
+from basketflow.session import delete_folder, list_folder, replace_folder
+from basketflow.sources.serving import ServingStore
+
+BATCH, SNAPSHOT = "refresh", "snapshot"
+# Batches that may wait to be merged; reads cost the snapshot and at most so many batches.
+COMPACT_EVERY = 8
 
 
 def latest_per_key(df: DataFrame, keys: list[str], version: list[str]) -> DataFrame:
-    """The row with the highest version per key, combined before the shuffle; no sort, no window."""
+    """The row with the highest version per key, combined before the shuffle; no sort, no window.
+
+    Rows of equal version are told apart by a hash of their values, so the choice is the same on
+    every run.
+    """
     values = [c for c in df.columns if c not in keys]
-    newest = F.max_by(F.struct(*values), F.struct(*version)).alias("row")
+    newest = F.max_by(F.struct(*values), F.struct(*version, F.xxhash64(*values))).alias("row")
     return df.groupBy(*keys).agg(newest).select(*keys, "row.*")
 
 
@@ -28,12 +39,13 @@ def start_refresh(
     policy: str = "TRIGGERED",
     interval: str = "15 seconds",
     files_per_batch: int | None = None,
+    compact_every: int = COMPACT_EVERY,
 ) -> StreamingQuery:
     """Feed new files of ``source`` into ``target``; TRIGGERED stops when it has caught up.
 
     Each micro-batch reduces its rows to the latest per key and replaces the folder of its own batch
-    number, so a batch that is replayed after a failure does not count twice. Cost follows the new
-    rows, not the size of the table.
+    number, so a batch that is replayed after a failure does not count twice. Every
+    ``compact_every`` batches are merged into the snapshot, one row per key.
     """
     reader = spark.readStream.schema(schema)
     if files_per_batch:
@@ -41,7 +53,12 @@ def start_refresh(
     rows = reader.parquet(source)
 
     def write(batch: DataFrame, number: int) -> None:
-        latest_per_key(batch, keys, version).write.mode("overwrite").parquet(f"{target}/{BATCH}={number:012d}")
+        done, waiting = _parts(spark, target)
+        if number <= done:
+            return
+        latest_per_key(batch, keys, version).write.mode("overwrite").parquet(_folder(target, BATCH, number))
+        if len({*waiting, number}) >= compact_every:
+            compact(spark, target, schema, keys, version)
 
     writer = rows.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     if policy.upper() == "CONTINUOUS":
@@ -49,10 +66,54 @@ def start_refresh(
     return writer.trigger(availableNow=True).start()
 
 
+def _folder(target: str, kind: str, number: int) -> str:
+    return f"{target}/{kind}-{number:012d}"
+
+
+def _parts(spark: SparkSession, target: str) -> tuple[int, list[int]]:
+    """The last batch inside the snapshot (-1 without one), and the batches after it."""
+    found = [re.fullmatch(rf"({BATCH}|{SNAPSHOT})-(\d+)", name) for name in list_folder(spark, target)]
+    numbers = {kind: [int(m[2]) for m in found if m and m[1] == kind] for kind in (BATCH, SNAPSHOT)}
+    done = max(numbers[SNAPSHOT], default=-1)
+    return done, sorted(n for n in numbers[BATCH] if n > done)
+
+
 def refreshed(spark: SparkSession, target: str, schema: T.StructType, keys: list[str], version: list[str]) -> DataFrame:
-    """Current state of a refreshed table: the latest row per key over its batches.
+    """Current state of a refreshed table, one row per key: the snapshot and the batches after it."""
+    done, waiting = _parts(spark, target)
+    folders = [_folder(target, BATCH, n) for n in waiting]
+    if done >= 0:
+        if not folders:
+            return spark.read.schema(schema).parquet(_folder(target, SNAPSHOT, done))
+        folders.append(_folder(target, SNAPSHOT, done))
+    if not folders:
+        return spark.createDataFrame([], schema)
+    return latest_per_key(spark.read.schema(schema).parquet(*folders), keys, version).select(*schema.fieldNames())
+
 
-    Publish it as a snapshot from time to time and go on in a new folder, so that reads stay short.
+def compact(spark: SparkSession, target: str, schema: T.StructType, keys: list[str], version: list[str]) -> bool:
+    """Merge the waiting batches into the snapshot; whether there were any.
+
+    The new snapshot appears whole, by a rename, under the number of its last batch. Only then the
+    batches and the snapshot before the last are deleted; readers of the last one can finish.
     """
-    rows = spark.read.schema(schema).option("basePath", target).parquet(target)
-    return latest_per_key(rows.select(*schema.fieldNames()), keys, version)
+    done, waiting = _parts(spark, target)
+    if not waiting:
+        return False
+    staged = f"{target}/staged-{waiting[-1]:012d}"
+    refreshed(spark, target, schema, keys, version).write.mode("overwrite").parquet(staged)
+    replace_folder(spark, staged, _folder(target, SNAPSHOT, waiting[-1]))
+    for name in list_folder(spark, target):
+        m = re.fullmatch(rf"({BATCH}|{SNAPSHOT})-(\d+)", name)
+        if m and (int(m[2]) <= waiting[-1] if m[1] == BATCH else int(m[2]) < done):
+            delete_folder(spark, f"{target}/{name}")
+    return True
+
+
+def refresh_serving(
+    store: ServingStore, name: str, target: str, schema: T.StructType, keys: list[str], version: list[str], policy: str = "TRIGGERED"
+) -> str:
+    """Serve the current state of a refreshed table under ``name``, with its key checked."""
+    compact(store.spark, target, schema, keys, version)
+    state = refreshed(store.spark, target, schema, keys, version)
+    return store.publish(state, name, keys, skip_if_exists=False, policy=policy)

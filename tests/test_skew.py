@@ -129,17 +129,39 @@ def test_next_items_beyond_the_broadcast_limit(busy):
     assert rows_of(small.select("customer_id", text.alias("l"))) == rows_of(large.select("customer_id", text.alias("l")))
 
 
-def test_long_label_lists_continue_in_parts(busy):
-    pairs = labels.truth_pairs(busy, "2023-12-31", "2024-01-31")
+def test_labels_have_one_row_per_customer(busy):
+    found = labels.ground_truth_labels(labels.truth_pairs(busy, "2023-12-31", "2024-01-31"))
     whole = busy.groupBy("customer_id").agg(F.sort_array(F.collect_list("article_id")).alias("l"), F.count("*").alias("n"))
-    parts = labels.ground_truth_labels(pairs, part_size=20, max_bytes=0)
-    assert parts.filter(F.size("actual_articles") > 120).count() == 0
-    assert parts.filter("customer_id = 'bot'").count() > 30
-    joined = {}
-    for r in parts.collect():
-        joined.setdefault((r["customer_id"], r["num_purchases"]), []).extend(r["actual_articles"])
-    assert {k: sorted(v) for k, v in joined.items()} == {(r["customer_id"], r["n"]): r["l"] for r in whole.collect()}
-    assert rows_of(labels.pairs_from_lists(parts)) == rows_of(pairs)
+    rows = {r["customer_id"]: (r["actual_articles"], r["num_purchases"]) for r in found.collect()}
+    assert rows == {r["customer_id"]: (r["l"], r["n"]) for r in whole.collect()}
+
+
+@pytest.mark.parametrize("limit", [30, 10**6])
+def test_next_pairs_without_a_customer(busy, limit):
+    """Half of the sales are anonymous: the largest key of all, and no history."""
+    some = busy.withColumn("customer_id", F.when(F.col("transaction_id") % 2 == 0, F.col("customer_id")))
+    order = Window.partitionBy("customer_id").orderBy("t_dat", "transaction_id")
+    known = some.filter("customer_id is not null")
+    expected = known.select("article_id", F.lead("article_id").over(order).alias("next_article")).filter("next_article is not null")
+    assert rows_of(recommend.next_pairs(some, limit=limit)) == rows_of(expected)
+    assert recommend.next_item_recommend(some, recommend.transitions(some)).filter("customer_id is null").count() == 0
+
+
+@pytest.mark.parametrize("limit", [30, 10**6])
+def test_pieces_of_a_missing_group(busy, limit):
+    some = busy.withColumn("customer_id", F.when(F.col("transaction_id") % 2 == 0, F.col("customer_id")))
+    cut, _ = with_pieces(some, "customer_id", "t_dat", "transaction_id", limit)
+    assert cut.count() == some.count()
+    if limit == 30:
+        assert cut.filter("customer_id is null").groupBy("_day", "_slot").count().filter("count > 75").count() == 0
+
+
+def test_other_models_do_not_change_with_the_limits(spark, busy):
+    customers = busy.select("customer_id").distinct().withColumn("age_group", F.when(F.length("customer_id") > 2, "55+").otherwise("18-24"))
+    ranked = recommend.segment_top_n(busy, customers, "2024-01-29", 30)
+    text = F.concat_ws(" ", "predicted_articles").alias("l")
+    small, large = (recommend.age_rules_predict(customers, ranked, max_bytes=b).select("customer_id", text) for b in (None, 0))
+    assert rows_of(small) == rows_of(large)
 
 
 def test_segments_beyond_the_broadcast_limit(spark, busy):

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketflow.llm.common import annotate, components, table, utf8
+from basketflow.llm.common import annotate, components, table, utf8, whole_row
 from basketflow.session import materialize
 
 BITS = 64
@@ -200,10 +200,9 @@ def _components(prints: DataFrame, limit: int) -> DataFrame:
     return materialize(named.join(least, "root").select("print", "root", "component_id"), "print-components")
 
 
-def _one_of(rows: DataFrame, group: str, whole: str) -> DataFrame:
-    """One row of each group, the least by a hash of its values."""
-    chosen = rows.groupBy(group).agg(F.min_by(whole, F.xxhash64(whole)).alias(whole))
-    return chosen.select(f"{whole}.*")
+def _one_of(rows: DataFrame, group: str) -> DataFrame:
+    """The ``doc`` of one row of each group, the least by a hash of its values."""
+    return rows.groupBy(group).agg(F.min_by("doc", F.xxhash64("doc")).alias("doc")).select("doc")
 
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", limit: int = MAX_BITS) -> DataFrame:
@@ -212,22 +211,24 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", limit:
     Rows of the same id are one document: if it stays, one of its rows does, the least by a hash of
     the values. Of a group in which no row has an id one row stays, too.
     """
-    whole, own_id = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.col(f"`{doc_id}`")
+    own_id = F.col(f"`{doc_id}`")
     rows = docs.select(own_id.alias("doc_id"), F.col(f"`{text}`").alias("text"))
     prints = materialize(with_fingerprints(rows).select("doc.doc_id", "print"), "prints")
     names = _components(prints, limit)
     found = prints.join(names, "print").filter("doc_id = component_id")
-    kept = materialize(found.groupBy(F.col("doc_id").alias("_kept")).count(), "kept-documents")
-    stay = docs.join(kept, own_id == F.col("_kept"), "left_semi")
+    kept = materialize(found.groupBy(F.col("doc_id").alias("id")).count(), "kept-documents")
+    whole = docs.select(own_id.alias("id"), whole_row(docs).alias("doc"))
+    stay = whole.join(kept, "id", "left_semi")
     repeated = kept.filter("count > 1")
     if not repeated.isEmpty():
-        several = stay.join(repeated, own_id == F.col("_kept"), "left_semi").select(own_id.alias("id"), whole)
-        stay = stay.join(repeated, own_id == F.col("_kept"), "left_anti").unionByName(_one_of(several, "id", "doc"))
+        several = stay.join(repeated, "id", "left_semi")
+        stay = stay.join(repeated, "id", "left_anti").select("doc").unionByName(_one_of(several, "id"))
+    stay = stay.select("doc")
     unnamed = names.filter("component_id is null")
     if not unnamed.isEmpty():
         without = with_fingerprints(docs.filter(own_id.isNull()), text).join(unnamed, "print")
-        stay = stay.unionByName(_one_of(without.select("root", "doc"), "root", "doc"))
-    return stay
+        stay = stay.unionByName(_one_of(without, "root"))
+    return stay.select("doc.*")
 
 
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

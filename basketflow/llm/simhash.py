@@ -218,7 +218,8 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", limit:
     found = prints.join(names, "print").filter("doc_id = component_id")
     kept = materialize(found.groupBy(F.col("doc_id").alias("id")).count(), "kept-documents")
     whole = docs.select(own_id.alias("id"), whole_row(docs).alias("doc"))
-    stay = whole.join(kept, "id", "left_semi")
+    # The kept ids grow with the documents: they are merged at every size, never broadcast.
+    stay = whole.join(kept.hint("merge"), "id", "left_semi")
     repeated = kept.filter("count > 1")
     if not repeated.isEmpty():
         several = stay.join(repeated, "id", "left_semi")

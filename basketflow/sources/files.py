@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 from collections.abc import Callable
+from urllib.parse import urlsplit
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -93,7 +94,7 @@ def write_version(df: DataFrame, name: str, folder: str, check: Callable[[DataFr
         spark.sql(f"DROP TABLE IF EXISTS {name}")
         spark.catalog.createTable(name, path, "parquet")
     spark.catalog.refreshTable(name)
-    if old and old.rstrip("/").startswith(folder.rstrip("/")):
+    if old and urlsplit(old).path.startswith(urlsplit(folder).path.rstrip("/") + "/"):
         delete_folder(spark, old)
     return spark.table(name)
 
@@ -131,8 +132,9 @@ def read_by_month(
 
 
 def row_text(df: DataFrame) -> Column:
-    """The values of a row as one text; a missing value differs from any text."""
-    return F.concat_ws("|", *[F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("-")) for c in df.columns])
+    """The values of a row as one text, each behind its length: rows that differ differ in it."""
+    texts = [F.col(c).cast("string") for c in df.columns]
+    return F.concat_ws("|", *[F.coalesce(F.concat(F.length(t), F.lit(":"), t), F.lit("-")) for t in texts])
 
 
 def with_surrogate_key(df: DataFrame, name: str = "transaction_id", text: Column | None = None) -> DataFrame:

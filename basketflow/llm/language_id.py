@@ -67,9 +67,9 @@ def count_contexts(rows: DataFrame, lang: str, text: str, row_id: str, train_byt
     The sample takes rows with a chance that makes about ``train_bytes`` in all, the same for each
     language; languages with less text are taken whole.
     """
-    labelled = rows.select(
-        F.col(lang).alias("lang"), utf8(text).alias("body"), heavy_hash(F.col(row_id).cast("string")).alias("mark")
-    ).filter(F.col("lang").isNotNull() & (F.octet_length("body") > 0))
+    # The text is part of the mark: rows without an id are drawn one by one, too.
+    mark = heavy_hash(F.col(row_id).cast("string"), F.col(text))
+    labelled = rows.select(F.col(lang).alias("lang"), utf8(text).alias("body"), mark.alias("mark")).filter(F.col("lang").isNotNull() & (F.octet_length("body") > 0))
     sizes = labelled.groupBy("lang").agg(F.sum(F.octet_length("body")).alias("size"))
     share = train_bytes / max(1, sizes.count())
     chance = sizes.select(F.col("lang").alias("of"), (F.lit(share) / F.col("size") * F.lit(float(1 << 62))).alias("below"))

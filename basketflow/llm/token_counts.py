@@ -70,6 +70,7 @@ class Tokenizer:
         self.added = [t["content"] for t in file["added_tokens"]]
         strings = {bytes(symbols[c] for c in t): i for t, i in vocab.items() if all(c in symbols for c in t)}
         lengths = self.merge(list(strings))
+        self._counter: Counter | None = None
         # Whole tokens by the text they stand for; pieces of characters never are a pre-token.
         self.whole = {
             text: 1
@@ -77,6 +78,12 @@ class Tokenizer:
             if n == 1 and (text := s.decode("utf-8", "ignore")).encode() == s
         }
 
+    def counter(self) -> Counter:
+        """A counter over this tokenizer that lives as long as it does."""
+        if self._counter is None:
+            self._counter = Counter(self)
+        return self._counter
+
     def _ranks(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         key = left << 20 | right
         at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
@@ -169,7 +176,8 @@ def count_tokens(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(Tokenizer(path))
 
     def make():
-        count = Counter(shared.value)
+        # What one task has merged serves the next ones of the same worker.
+        count = shared.value.counter()
         return lambda texts: [[len(t) for t in texts], count(texts)]
 
     return annotate(docs, utf8(text), "n_bytes long, n_tokens long", make)

@@ -17,7 +17,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from basketflow.session import materialize
 
 # Texts that a task works on at a time; one longer text is worked on alone.
-SHARD_BYTES = 4 << 20
+SHARD_BYTES = 2 << 20
 
 # Takes the texts of a shard as UTF-8, gives the values of each result field.
 Handler = Callable[[list[bytes]], list[list]]
@@ -41,7 +41,7 @@ def utf8(column: str) -> Column:
 
 def shards(column: pa.Array, limit: int = SHARD_BYTES) -> Iterator[tuple[int, int]]:
     """Consecutive row ranges of at most ``limit`` bytes, or of one row."""
-    sizes = np.concatenate([[0], np.cumsum(pc.binary_length(column).to_numpy(zero_copy_only=False).astype(np.int64))])
+    sizes = np.concatenate([[0], np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64))])
     start = 0
     while start < len(column):
         stop = max(start + 1, int(np.searchsorted(sizes, sizes[start] + limit, "right")) - 1)
@@ -49,23 +49,34 @@ def shards(column: pa.Array, limit: int = SHARD_BYTES) -> Iterator[tuple[int, in
         start = stop
 
 
-def annotate(rows: DataFrame, body: Column, fields: str, make: Callable[[], Handler]) -> DataFrame:
+def annotate(
+    rows: DataFrame, text: str, fields: str, make: Callable[[], Handler], keep: list[str] | None = None
+) -> DataFrame:
     """Add ``fields`` to ``rows``, computed from whole texts by Arrow batches, without a shuffle.
 
-    The result has a struct column ``doc`` with the given columns, followed by the fields. ``make``
-    runs once in each task and returns the handler of its shards.
+    The result has a struct column ``doc`` with the columns in ``keep`` (by default all), followed by
+    the fields. ``make`` runs once in each task and returns the handler of its shards. A missing text
+    counts as empty. Each text is sent once, and sent back only if it is kept.
     """
-    sent = rows.select(whole_row(rows).alias("doc"), body.alias("body"))
+    keep = rows.columns if keep is None else keep
+    used = [c for c in rows.columns if c in keep or c == text]
+    doc = F.struct(*[F.col(f"`{c}`") for c in used])
+    sent = rows.select(doc.alias("doc"))
+    kept = T.StructType([f for f in sent.schema["doc"].dataType.fields if f.name in keep])
     added = T.StructType.fromDDL(fields)
-    schema = T.StructType([sent.schema["doc"], *added.fields])
+    schema = T.StructType([T.StructField("doc", kept, False), *added.fields])
     types = [f.type for f in to_arrow_schema(added)]
+    at, others = used.index(text), [i for i, c in enumerate(used) if c in keep]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         handle = make()
         for batch in batches:
-            docs, bodies = batch.column("doc"), batch.column("body")
+            docs = batch.column("doc")
+            bodies = docs.field(at).cast(pa.binary())
+            if len(others) < len(used):
+                docs = pa.StructArray.from_arrays([docs.field(i) for i in others], names=[used[i] for i in others])
             for start, stop in shards(bodies):
-                values = handle(bodies.slice(start, stop - start).to_pylist())
+                values = handle([t or b"" for t in bodies.slice(start, stop - start).to_pylist()])
                 arrays = [v if isinstance(v, pa.Array) else pa.array(v, t) for v, t in zip(values, types, strict=True)]
                 yield pa.RecordBatch.from_arrays([docs.slice(start, stop - start), *arrays], schema.names)
 

@@ -185,8 +185,9 @@ def find_matches(
     item_text: str = "text",
     window: int = WINDOW,
     block_bytes: int = BLOCK_BYTES,
+    keep: list[str] | None = None,
 ) -> DataFrame:
-    """What each document shares with the test items: ``doc`` (its columns) and the match columns.
+    """What each document shares with the test items: ``doc`` (its columns, or those in ``keep``) and matches.
 
     ``n_words``; ``spans``, the merged ranges of words inside occurrences of a window; ``items``, the
     item ids, sorted as strings; ``matches``, the longest match of each such item and where it is. A
@@ -197,33 +198,31 @@ def find_matches(
     has no words; an item without words matches nothing; an item without id hits words but is not
     listed; equal item rows count once; an empty table on either side gives no matches.
     """
-    out = docs
-    sc = docs.sparkSession.sparkContext
-    for number, block in enumerate(_blocks(benchmark, item_id, item_text, block_bytes)):
+    out, sc = docs, docs.sparkSession.sparkContext
+    makers = []
+    for block in _blocks(benchmark, item_id, item_text, block_bytes):
         tests = sc.broadcast(TestSuffixes(block, window))
-
-        def make(tests=tests):
-            return lambda texts: find(texts, tests.value)
-
-        if number == 0:
-            out = annotate(docs, utf8(text), _FIELDS, make)
+        makers.append(lambda tests=tests: lambda texts: find(texts, tests.value))
+        if len(makers) == 1:
+            out = annotate(docs, text, _FIELDS, makers[0], keep)
             continue
-        before = materialize(out, "matches").select("doc", F.struct(*_FIELD_NAMES).alias("before"))
-        body = F.coalesce(F.col("doc").getField(text).cast("binary"), F.lit(b""))
-        now = annotate(before, body, _FIELDS, make)
+        if len(makers) == 2:
+            # Further blocks need the text again.
+            out = annotate(docs, text, _FIELDS, makers[0])
+        before = materialize(out, "matches").select(F.col("doc").getField(text).alias("body"), F.struct("*").alias("before"))
+        now = annotate(before, "body", _FIELDS, makers[-1], ["before"])
         out = now.select(
-            "doc.doc",
+            "doc.before.doc",
             "n_words",
             _union_spans(F.concat("doc.before.spans", "spans")).alias("spans"),
             F.array_sort(F.array_union("doc.before.items", "items")).alias("items"),
             F.concat("doc.before.matches", "matches").alias("matches"),
         )
+    if keep is not None and len(makers) > 1:
+        out = out.withColumn("doc", F.struct(*[F.col("doc").getField(c).alias(c) for c in keep]))
     return out
 
 
-_FIELD_NAMES = ["n_words", "spans", "items", "matches"]
-
-
 def _union_spans(spans):
     """Merged ranges, in order."""
     none = F.array().cast("array<struct<start: long, stop: long>>")
@@ -249,8 +248,8 @@ def remove_contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> Dat
 
 
 def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = find_matches(docs, table(spark, sf_dir, "benchmark"))
+    docs = table(spark, sf_dir, "documents")
+    found = find_matches(docs, table(spark, sf_dir, "benchmark"), keep=["doc_id"])
     return found.select(
         "doc.doc_id",
         "n_words",

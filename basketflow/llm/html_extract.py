@@ -362,8 +362,10 @@ def fit(pages: DataFrame, page_id: str = "page_id", html: str = "html", rows: in
         return {k: stored[k] for k in stored.files}
 
 
-def main_text(pages: DataFrame, weights: dict[str, np.ndarray], html: str = "html") -> DataFrame:
-    """``doc`` (the columns of a row) and ``text``, the main text of the whole page.
+def main_text(
+    pages: DataFrame, weights: dict[str, np.ndarray], html: str = "html", keep: list[str] | None = None
+) -> DataFrame:
+    """``doc`` (the columns of a row, or those in ``keep``) and ``text``, the main text of the whole page.
 
     A missing or empty page, and one without article text, has an empty text.
     """
@@ -372,10 +374,10 @@ def main_text(pages: DataFrame, weights: dict[str, np.ndarray], html: str = "htm
     def make():
         return lambda texts: [extract([t.decode("utf-8", "replace") for t in texts], shared.value)]
 
-    return annotate(pages, utf8(html), "text string", make)
+    return annotate(pages, html, "text string", make, keep)
 
 
 def op6_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
-    found = main_text(pages, fit(pages))
+    found = main_text(pages, fit(pages), keep=["page_id", "url"])
     return found.select("doc.page_id", "doc.url", "text", F.char_length("text").cast("long").alias("n_chars"))

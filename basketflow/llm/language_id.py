@@ -101,7 +101,7 @@ class ContextTrees:
         joined = np.frombuffer(b"".join(padded), np.uint8)
         ends = np.cumsum([len(t) for t in padded])
         gram = grams(joined)
-        at = self.state[gram >> 8].astype(np.int64) << 8 | (gram & 255)
+        at = self.state[gram >> 8].astype(np.uint32) << 8 | (gram & 255)
         # The three numbers before each text's first byte cross from one text into the next.
         starts = np.array([ends[i] - len(padded[i]) for i in full])
         stops = np.array([ends[i] - ORDER for i in full])
@@ -216,18 +216,19 @@ def train(
     return ContextTrees(list(rows))
 
 
-def predict(docs: DataFrame, trees: ContextTrees, text: str = "text") -> DataFrame:
-    """``doc`` (the columns of a row) with ``lang_pred`` and ``score``, the winner's share of 2^-length.
+def predict(docs: DataFrame, trees: ContextTrees, text: str = "text", keep: list[str] | None = None) -> DataFrame:
+    """``doc`` (the columns of a row, or those in ``keep``) with ``lang_pred`` and ``score``, the winner's share of 2^-length.
 
     A text that is missing, empty or without any letter, and every text if nothing was learned, is
     ``und`` with score 0. Equal lengths go to the first language by name.
     """
     shared = docs.sparkSession.sparkContext.broadcast(trees)
-    return annotate(docs, utf8(text), "lang_pred string, score double", lambda: lambda texts: identify(texts, shared.value))
+    fields = "lang_pred string, score double"
+    return annotate(docs, text, fields, lambda: lambda texts: identify(texts, shared.value), keep)
 
 
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     trees = train(docs.filter(~held_out("doc_id")))
-    found = predict(docs.select("doc_id", "text"), trees)
+    found = predict(docs, trees, keep=["doc_id"])
     return found.select("doc.doc_id", held_out("doc.doc_id").alias("held_out"), "lang_pred", "score")

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketflow.llm.common import annotate, heavy_hash, held_out, table, utf8
+from basketflow.llm.common import annotate, heavy_hash, held_out, table
 from basketflow.session import materialize
 
 FEATURE_BITS = 18
@@ -153,10 +153,10 @@ def train(
     share = min(1.0, rows / max(1, known.count()))
     # Bounded by ``rows``: some 30 bytes each.
     drawn = F.broadcast(known.filter(F.col("mark") < share * span))
-    texts = docs.select(F.col(doc_id).alias("own"), utf8(text).alias("body")).join(drawn, F.col("own") == F.col("of"))
+    texts = docs.select(F.col(doc_id).alias("own"), F.col(text).alias("body")).join(drawn, F.col("own") == F.col("of"))
     vectors = annotate(
-        texts.select("mark", "label", "body"), F.col("body"), "at array<int>, value array<float>",
-        lambda: lambda t: _examples(t, bits),
+        texts.select("mark", "label", "body"), "body", "at array<int>, value array<float>",
+        lambda: lambda t: _examples(t, bits), ["mark", "label"],
     ).select("doc.mark", "doc.label", "at", "value")
     vectors = materialize(vectors, "examples")
     total = vectors.agg(F.sum(F.size("at"))).first()[0] or 0
@@ -169,18 +169,20 @@ def train(
     return weights[:-1], float(weights[-1])
 
 
-def score(docs: DataFrame, weights: np.ndarray, bias: float, text: str = "text") -> DataFrame:
-    """``doc`` (the columns of a row) and ``score``, from 0 to 1, of each whole text.
+def score(
+    docs: DataFrame, weights: np.ndarray, bias: float, text: str = "text", keep: list[str] | None = None
+) -> DataFrame:
+    """``doc`` (the columns of a row, or those in ``keep``) and ``score``, from 0 to 1, of each whole text.
 
     A text without words (missing, empty, white space) scores as the bias alone.
     """
     shared = docs.sparkSession.sparkContext.broadcast((weights, bias))
-    return annotate(docs, utf8(text), "score double", lambda: lambda texts: [pa.array(scores(texts, *shared.value))])
+    return annotate(docs, text, "score double", lambda: lambda texts: [pa.array(scores(texts, *shared.value))], keep)
 
 
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = table(spark, sf_dir, "labels").filter(~held_out("doc_id"))
-    found = score(docs, *train(docs, labels, "quality"))
+    found = score(docs, *train(docs, labels, "quality"), keep=["doc_id"])
     predicted = F.when(F.col("score") >= THRESHOLD, 1).otherwise(0)
     return found.select("doc.doc_id", held_out("doc.doc_id").alias("held_out"), "score", predicted.alias("predicted"))

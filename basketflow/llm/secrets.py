@@ -20,7 +20,7 @@ import ahocorasick
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketflow.llm.common import annotate, table, utf8
+from basketflow.llm.common import annotate, table
 
 
 def _always(_: re.Match) -> bool:
@@ -156,8 +156,8 @@ def _redacted(text: bytes, spans: list[tuple[int, int, int]], mark: bytes) -> by
     return b"".join([*out, text[at:]])
 
 
-def find_secrets(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``doc`` (the columns of a row) and ``spans``: kind, start and stop of each secret, in code points.
+def find_secrets(docs: DataFrame, text: str = "text", keep: list[str] | None = None) -> DataFrame:
+    """``doc`` (the columns of a row, or those in ``keep``) and ``spans``: kind, start and stop of each secret, in code points.
 
     Base kinds are what their patterns find from left to right; the further kinds need a right
     checksum (access tokens of code hosts) or header (signed web tokens). Spans of different kinds
@@ -173,7 +173,7 @@ def find_secrets(docs: DataFrame, text: str = "text") -> DataFrame:
 
         return handle
 
-    return annotate(docs, utf8(text), "spans array<struct<kind: string, start: long, stop: long>>", make)
+    return annotate(docs, text, "spans array<struct<kind: string, start: long, stop: long>>", make, keep)
 
 
 def redact(docs: DataFrame, text: str = "text", length: str | None = "n_chars", mark: str = "[secret]") -> DataFrame:
@@ -193,7 +193,7 @@ def redact(docs: DataFrame, text: str = "text", length: str | None = "n_chars",
 
         return handle
 
-    found = annotate(docs, utf8(text), "clean string", make)
+    found = annotate(docs, text, "clean string", make)
     columns = []
     for name in docs.columns:
         column = F.col("doc").getField(name)
@@ -215,7 +215,7 @@ def _count(kind: str) -> Column:
 
 
 def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = find_secrets(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = find_secrets(table(spark, sf_dir, "documents"), keep=["doc_id"])
     count = [_count(kind).alias(f"n_{kind}") for kind in BASE]
     base = F.filter("spans", lambda s: s["kind"].isin(*BASE))
     return found.select(

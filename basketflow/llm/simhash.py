@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketflow.llm.common import annotate, components, table, utf8, whole_row
+from basketflow.llm.common import annotate, components, table, whole_row
 from basketflow.session import materialize
 
 BITS = 64
@@ -61,8 +61,10 @@ def fingerprints(texts: list[bytes], size: int = SHINGLE) -> np.ndarray:
     return out
 
 
-def with_fingerprints(docs: DataFrame, text: str = "text", size: int = SHINGLE) -> DataFrame:
-    """``doc`` (the columns of a row) with ``print``, the fingerprint as a signed number.
+def with_fingerprints(
+    docs: DataFrame, text: str = "text", size: int = SHINGLE, keep: list[str] | None = None
+) -> DataFrame:
+    """``doc`` (the columns of a row, or those in ``keep``) with ``print``, the fingerprint as a signed number.
 
     A text without words (missing, empty or white space) has fingerprint 0.
     """
@@ -70,7 +72,7 @@ def with_fingerprints(docs: DataFrame, text: str = "text", size: int = SHINGLE)
     def make():
         return lambda texts: [pa.array(fingerprints(texts, size).view(np.int64))]
 
-    return annotate(docs, utf8(text), "print long", make)
+    return annotate(docs, text, "print long", make, keep)
 
 
 def _tables(blocks: int) -> tuple[np.ndarray, np.ndarray]:
@@ -186,7 +188,7 @@ def near_duplicates(
     missing. Rows with the same id each give a row. An empty table gives no rows.
     """
     rows = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
-    prints = with_fingerprints(rows, "text", size).select("doc.doc_id", "print")
+    prints = with_fingerprints(rows, "text", size, ["doc_id"]).select("doc.doc_id", "print")
     prints = materialize(prints, "prints")
     return prints.join(_components(prints, limit), "print").select("doc_id", "print", "component_id")
 
@@ -213,7 +215,7 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", limit:
     """
     own_id = F.col(f"`{doc_id}`")
     rows = docs.select(own_id.alias("doc_id"), F.col(f"`{text}`").alias("text"))
-    prints = materialize(with_fingerprints(rows).select("doc.doc_id", "print"), "prints")
+    prints = materialize(with_fingerprints(rows, keep=["doc_id"]).select("doc.doc_id", "print"), "prints")
     names = _components(prints, limit)
     found = prints.join(names, "print").filter("doc_id = component_id")
     kept = materialize(found.groupBy(F.col("doc_id").alias("id")).count(), "kept-documents")

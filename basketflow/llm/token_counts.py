@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers.pre_tokenizers import ByteLevel
 
-from basketflow.llm.common import annotate, table, utf8
+from basketflow.llm.common import annotate, table
 
 LIMIT = 512
 # Counts of merged pre-tokens that a task remembers.
@@ -167,8 +167,8 @@ class Counter:
         return [n + sum(map(known.__getitem__, p)) for n, p in cut]
 
 
-def count_tokens(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
-    """``doc`` (the columns of a row) with ``n_bytes`` and ``n_tokens`` under the tokenizer file ``path``.
+def count_tokens(docs: DataFrame, path: str, text: str = "text", keep: list[str] | None = None) -> DataFrame:
+    """``doc`` (the columns of a row, or those in ``keep``) with ``n_bytes`` and ``n_tokens`` under the tokenizer file ``path``.
 
     Strings of added tokens count as one token each, wherever they stand. A missing or empty text has
     no token. The file is read on the driver; tasks get its tables.
@@ -180,12 +180,12 @@ def count_tokens(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
         count = shared.value.counter()
         return lambda texts: [[len(t) for t in texts], count(texts)]
 
-    return annotate(docs, utf8(text), "n_bytes long, n_tokens long", make)
+    return annotate(docs, text, "n_bytes long, n_tokens long", make, keep)
 
 
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = count_tokens(docs, str(public_tokenizers.path("byte_bpe_50k.json")))
+    path = str(public_tokenizers.path("byte_bpe_50k.json"))
+    found = count_tokens(table(spark, sf_dir, "documents"), path, keep=["doc_id"])
     return found.select("doc.doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > LIMIT).alias("over_limit"))

@@ -24,7 +24,7 @@ from basketflow.session import materialize, scratch_path
 
 # A writing task starts another archive beyond this size; a reading task gets this many bytes.
 ARCHIVE_BYTES = 256 << 20
-RANGE_BYTES = 16 << 20
+RANGE_BYTES = 32 << 20
 _READ = 1 << 20
 _STEP = 8 << 10
 _MAGIC = b"\x1f\x8b\x08"

@@ -77,6 +77,7 @@ def test_blocks_of_items_give_the_same(edge, items):
         return sorted(str((r["doc"], r["n_words"], r["spans"], r["items"])) for r in out.collect())
 
     assert rows(block_bytes=64) == rows()
+    assert rows(block_bytes=64, keep=["doc_id"]) == rows(keep=["doc_id"])
 
 
 def test_empty_tables(no_docs, edge, items):

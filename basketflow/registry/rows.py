@@ -36,7 +36,7 @@ def _mode_sql(mode: str, start: str | None, end: str | None) -> str:
     tests = [f"t_dat >= DATE '{start}'"] * bool(start) + [f"t_dat <= DATE '{end}'"] * bool(end)
     return (
         f"SELECT '{mode}' AS mode, count(*) AS num_rows, min(t_dat) AS first_date, max(t_dat) AS last_date, "
-        f"round(sum(price) + 1e-9, 4) AS revenue FROM t WHERE {' AND '.join(tests) or 'true'}"
+        f"round(CAST(sum(CAST(price AS DECIMAL(20, 4))) AS DOUBLE) + 1e-9, 4) AS revenue FROM t WHERE {' AND '.join(tests) or 'true'}"
     )
 
 
@@ -48,7 +48,8 @@ def date_range_filter(x: Inputs) -> DataFrame:
             F.count(F.lit(1)).alias("num_rows"),
             F.min("t_dat").alias("first_date"),
             F.max("t_dat").alias("last_date"),
-            r4(F.sum("price")).alias("revenue"),
+            # Summed as decimals: the order of a floating sum shows in the fourth decimal of large totals.
+            r4(F.sum(F.col("price").cast("decimal(20,4)")).cast("double")).alias("revenue"),
         )
         for mode, bounds in _MODES.items()
     ]

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from functools import reduce
 from pathlib import Path
 
 import numpy as np
@@ -19,6 +18,11 @@ from basketflow.session import materialize
 # Texts that a task works on at a time; one longer text is worked on alone.
 SHARD_BYTES = 2 << 20
 
+# Texts sent to Python at a time: several copies of a batch exist on either side, for every core. Left
+# alone where the session sets its own.
+BATCH_BYTES = 8 << 20
+_BATCH_BYTES, _BATCH_DEFAULT = "spark.sql.execution.arrow.maxBytesPerBatch", f"{64 << 20}b"
+
 # Takes the texts of a shard as UTF-8, gives the values of each result field.
 Handler = Callable[[list[bytes]], list[list]]
 
@@ -26,6 +30,8 @@ Handler = Callable[[list[bytes]], list[list]]
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     # Python workers import this package too, wherever the driver was started.
     spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parents[2]))
+    if spark.conf.get(_BATCH_BYTES, _BATCH_DEFAULT) == _BATCH_DEFAULT:
+        spark.conf.set(_BATCH_BYTES, f"{BATCH_BYTES}b")
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -128,7 +134,3 @@ def components(edges: DataFrame, label: str) -> DataFrame:
         onward = last.withColumnRenamed("node", "to")
         last = move.join(onward, "to", "left").select("node", F.coalesce("root", "to").alias("root"))
     return materialize(last, f"{label}-roots")
-
-
-def union_all(frames: list[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, frames)

@@ -20,4 +20,5 @@ QUERIES = {
 ORACLE = {
     "op1_decontaminate": decontaminate.SQL,
     "op2_warc": warc.SQL,
+    "op10_embedding_dedup": embedding_dedup.SQL,
 }

@@ -1,9 +1,10 @@
 """Exact global ranks without a single-task window.
 
-Buckets need the keys at which they begin only (``selection``). For row numbers, a global sort range-partitions the rows. ``monotonically_increasing_id`` after it holds partition
-number and row number, so the rank of a row is the rows in earlier partitions plus its row number.
-Only one count per partition reaches the driver. Sort keys must be unique: then the ranges are
-balanced however often a leading value repeats, and ranks are the same on every run.
+Buckets need the keys at which they begin only (``selection``). For row numbers, a global sort
+range-partitions the rows; ``monotonically_increasing_id`` after it holds partition number and row
+number, so the rank of a row is the rows in earlier partitions plus its row number. Only one count
+per partition reaches the driver. Sort keys must be unique: then the ranges are balanced however
+often a leading value repeats, and ranks are the same on every run.
 """
 
 from __future__ import annotations

@@ -19,7 +19,6 @@ from basketflow.registry.common import (
     Inputs,
     as_text,
     query,
-    r4,
     rounded,
     sql,
 )

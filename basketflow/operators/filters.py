@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from basketflow.functions.bands import UNKNOWN
 from basketflow.functions.dates import as_date, in_months
-from basketflow.operators.selection import Order, before, keys_at, sorting
+from basketflow.operators.selection import Order, before, few_keys, keys_at, sorting
 from basketflow.operators.skew import lookup_join
 from basketflow.session import materialize
 
@@ -54,16 +54,20 @@ def rows_with_ids(df: DataFrame, ids: DataFrame, key: str, max_bytes: int | None
 def page_of(df: DataFrame, order: Order, page: int, page_size: int) -> DataFrame:
     """One page; ``order`` must end in a unique key, or pages may overlap.
 
-    The key of the page's first row is found without sorting, from a written table of the keys; the
-    page is the first rows from that key on, however deep it lies.
+    The key of the page's first row is found without sorting the table: at once among few rows, else
+    from a written table of the keys. The page is the first rows from that key on, however deep it lies.
     """
     rows = df
     if page > 1:
         place = (page - 1) * page_size
-        names = [f"_o{i}" for i in range(len(order))]
-        keys = materialize(df.select(*[c.alias(n) for n, (c, _) in zip(names, order, strict=True)]), "page-keys")
-        by = [(F.col(n), descending) for n, (_, descending) in zip(names, order, strict=True)]
-        first = keys_at(keys, by, [place]).get(place)
+        few = few_keys(df, order)
+        if few is None:
+            names = [f"_o{i}" for i in range(len(order))]
+            keys = materialize(df.select(*[c.alias(n) for n, (c, _) in zip(names, order, strict=True)]), "page-keys")
+            by = [(F.col(n), descending) for n, (_, descending) in zip(names, order, strict=True)]
+            first = keys_at(keys, by, [place]).get(place)
+        else:
+            first = few[place] if place < len(few) else None
         rows = df.filter(F.lit(False)) if first is None else df.filter(~before(order, first))
     return rows.orderBy(*sorting(order)).limit(page_size)
 

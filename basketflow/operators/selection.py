@@ -56,6 +56,25 @@ class _Part:
     filters: list[Column] = field(default_factory=list)
 
 
+def _rank(value) -> tuple:
+    """Values in Spark's order: missing ones first, NaN after all numbers."""
+    if value is None:
+        return (0,)
+    return (2,) if value != value else (1, value)
+
+
+def few_keys(table: DataFrame, order: Order, sample_rows: int = SAMPLE_ROWS) -> list[tuple] | None:
+    """All keys in order if the table has at most ``sample_rows`` rows, else None; one job."""
+    names = [f"_k{i}" for i in range(len(order))]
+    some = table.select(*[c.alias(n) for n, (c, _) in zip(names, order, strict=True)]).limit(sample_rows + 1).collect()
+    if len(some) > sample_rows:
+        return None
+    rows = [tuple(r) for r in some]
+    for i, (_, descending) in reversed(list(enumerate(order))):
+        rows.sort(key=lambda r, i=i: _rank(r[i]), reverse=descending)
+    return rows
+
+
 def keys_at(table: DataFrame, order: Order, places: list[int], sample_rows: int = SAMPLE_ROWS) -> dict[int, tuple]:
     """The key of the row at each place, counted from 0; places beyond the table are left out.
 
@@ -64,6 +83,9 @@ def keys_at(table: DataFrame, order: Order, places: list[int], sample_rows: int
     names = [f"_k{i}" for i in range(len(order))]
     keys = table.select(*[c.alias(n) for n, (c, _) in zip(names, order, strict=True)])
     by = [(F.col(n), descending) for n, (_, descending) in zip(names, order, strict=True)]
+    few = few_keys(keys, by, sample_rows)
+    if few is not None:
+        return {p: few[p] for p in places if 0 <= p < len(few)}
     total = keys.count()
     todo, found, seed = [_Part(0, total, sorted({p for p in places if 0 <= p < total}))], {}, 0
     while todo:
@@ -120,7 +142,9 @@ def quantiles(table: DataFrame, column: str, shares: list[float], sample_rows: i
     Reads ``table`` several times: pass a written one.
     """
     present = table.select(column).filter(F.col(column).isNotNull())
-    n = present.count()
+    order = [(F.col(column), False)]
+    few = few_keys(present, order, sample_rows)
+    n = present.count() if few is None else len(few)
     places = [max(1, -int(-share * n // 1)) - 1 for share in shares]
-    found = keys_at(present, [(F.col(column), False)], places, sample_rows)
+    found = keys_at(present, order, places, sample_rows) if few is None else dict(enumerate(few))
     return [found[p][0] if p in found else None for p in places]

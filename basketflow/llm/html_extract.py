@@ -12,7 +12,9 @@ forms, comments and footers, with words of other pages.
 from __future__ import annotations
 
 import io
+import pickle
 from collections.abc import Iterator
+from dataclasses import dataclass
 from html import escape
 
 import numpy as np
@@ -22,12 +24,18 @@ from pyspark.sql import functions as F
 
 from basketflow.llm.common import annotate, heavy_hash, table, utf8
 from basketflow.llm.html_blocks import SIZE, Block, blocks, describe
+from basketflow.session import materialize
 
 HIDDEN = 24
-# Bounds of the training sample: expected pages by a hash of the id, and bytes and blocks of each.
+# Bounds of the training sample: pages that teach, first by a hash of id and page, and blocks of a
+# sequence, of which the sample holds as many as pages. Longer pages teach by parts of them.
 TRAIN_PAGES = 300
-TRAIN_PAGE_BYTES = 50_000
 TRAIN_BLOCKS = 120
+# Text that a page lends to the layouts, and of it one block.
+LENT_CHARS = 50_000
+LENT_BLOCK_CHARS = 2_000
+# First draw of pages for each that is wanted, and how much wider each further draw is.
+DRAW, WIDER = 2, 16
 LAYOUTS = 4
 PASSES = 6
 BATCH = 24
@@ -186,25 +194,75 @@ class _Layout:
         return f"<html><body>{self.wrap(self.pick(OUTER), ''.join(parts))}</body></html>"
 
 
+@dataclass
+class Lesson:
+    """What a page teaches: described parts with their labels, its article's title and texts, its other texts."""
+
+    parts: list[tuple[np.ndarray, np.ndarray]]
+    title: str
+    article: list[str]
+    others: list[str]
+
+    def size(self) -> int:
+        return sum(len(labels) for _, labels in self.parts)
+
+
+def _parts(labels: np.ndarray) -> list[tuple[int, int]]:
+    """A page of up to 120 blocks whole; of a longer one 60 at the start, the end and either end of the article."""
+    total, half = len(labels), TRAIN_BLOCKS // 2
+    if total <= TRAIN_BLOCKS:
+        return [(0, total)]
+    article = np.flatnonzero(labels)
+    starts = sorted({min(max(0, at - half // 2), total - half) for at in (0, int(article[0]), int(article[-1]), total)})
+    out: list[tuple[int, int]] = []
+    for start in starts:
+        if out and start <= out[-1][1] and start + half - out[-1][0] <= TRAIN_BLOCKS:
+            out[-1] = (out[-1][0], start + half)
+        else:
+            out.append((max(start, out[-1][1] if out else 0), start + half))
+    return out
+
+
+def _lent(texts: list[str], room: int) -> list[str]:
+    out = []
+    for text in texts:
+        if room <= 0:
+            break
+        out.append(text[: min(room, LENT_BLOCK_CHARS)])
+        room -= len(out[-1])
+    return out
+
+
+def lesson(html: str) -> Lesson | None:
+    """What a page of any length teaches, in bounded size; none without article text by its own elements."""
+    page = blocks(html)
+    labels = weak_labels(page)
+    if not labels.any():
+        return None
+    described, parts = describe(page), _parts(labels)
+    chosen = [i for start, stop in parts for i in range(start, stop)]
+    article = [page[i] for i in chosen if labels[i]]
+    head = article[0].path[-1].split(" ")[0] in ("h1", "h2")
+    title, rest = (article[0].text[:LENT_BLOCK_CHARS], article[1:]) if head else ("", article)
+    texts = _lent([b.text for b in rest[:TRAIN_BLOCKS]], LENT_CHARS)
+    others = _lent([page[i].text for i in chosen if not labels[i]], LENT_CHARS)
+    return Lesson([(described[a:b].copy(), labels[a:b].copy()) for a, b in parts], title, texts, others)
+
+
 def training_set(pages: list[str], layouts: int = LAYOUTS, seed: int = SEED) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Described blocks and labels: each page as it is, twice, and ``layouts`` times laid out anew.
+    """Described blocks and labels of the pages that teach."""
+    return examples([found for p in pages if (found := lesson(p))], layouts, seed)
 
-    Pages without article text by their own elements, or with too many blocks, only lend their words.
-    """
+
+def examples(lessons: list[Lesson], layouts: int = LAYOUTS, seed: int = SEED) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Described blocks and labels: the parts of each page as they are, twice, and its article ``layouts`` times laid out anew."""
     rng, out = np.random.default_rng(seed), []
-    cut = [blocks(p) for p in pages]
-    texts = [b.text for page in cut for b in page] or ["text"]
+    texts = [t for one in lessons for t in (one.title, *one.article, *one.others) if t] or ["text"]
     lay = _Layout(rng, texts)
-    for page in cut:
-        labels = weak_labels(page)
-        if not labels.any() or len(page) > TRAIN_BLOCKS:
-            continue
-        out += [(describe(page), labels)] * 2
-        article = [b for b, y in zip(page, labels, strict=True) if y]
-        head = bool(article) and article[0].path[-1].split(" ")[0] in ("h1", "h2")
-        title, rest = (article[0].text, article[1:]) if head else ("", article)
+    for one in lessons:
+        out += one.parts * 2
         for _ in range(layouts):
-            anew = blocks(lay.page(title, [b.text for b in rest]))
+            anew = blocks(lay.page(one.title, one.article))
             made = np.array([b.text.startswith(_MARK) for b in anew], np.float32)
             for b in anew:
                 b.text = b.text.replace(_MARK, "") or "-"
@@ -338,26 +396,61 @@ def extract(pages: list[str], w: dict[str, np.ndarray]) -> list[str]:
     return ["\n\n".join(b.text for b, p in zip(page, chance, strict=True) if p >= 0.5) for page, chance in zip(cut, chances, strict=True)]
 
 
+def _lessons(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """What each page that teaches anything teaches."""
+    for batch in batches:
+        for mark, body in zip(batch.column("mark").to_pylist(), batch.column("body"), strict=True):
+            found = lesson(body.as_py().decode("utf-8", "replace"))
+            if found:
+                stored = pa.array([pickle.dumps(found)], pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array([mark], pa.int64()), stored], ["mark", "lesson"])
+
+
 def _train_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    pages = [t.decode("utf-8", "replace") for batch in batches for t in batch.column("body").to_pylist()]
-    stored = io.BytesIO()
-    np.savez(stored, **train(training_set(pages)))
-    yield pa.RecordBatch.from_arrays([pa.array([stored.getvalue()], pa.binary())], ["weights"])
+    lessons, size, room = [], 0, TRAIN_PAGES * TRAIN_BLOCKS
+    for batch in batches:
+        for stored in batch.column("lesson").to_pylist():
+            if size < room:
+                lessons.append(pickle.loads(stored))
+                size += lessons[-1].size()
+    if lessons:
+        # Few pages are gone over more often, with other layouts each time.
+        times = max(1, min(TRAIN_PAGES // len(lessons), room // size))
+        stored = io.BytesIO()
+        np.savez(stored, **train(examples(lessons * times)))
+        yield pa.RecordBatch.from_arrays([pa.array([stored.getvalue()], pa.binary())], ["weights"])
+
+
+def _sample(marked: DataFrame, rows: int) -> DataFrame:
+    """What the first ``rows`` pages that teach, by their mark, teach.
+
+    Pages are drawn by their mark, too, and more of them, in the end all, until enough of them teach.
+    """
+    share = DRAW * rows / max(1, marked.count())
+    while True:
+        drawn = marked.filter(F.col("mark") < share * float(1 << 62)) if share < 1 else marked
+        taught = drawn.mapInArrow(_lessons, "mark long, lesson binary")
+        found = materialize(taught.orderBy("mark").limit(rows), "lessons")
+        if share >= 1 or found.count() >= rows:
+            return found
+        share *= WIDER
 
 
 def fit(pages: DataFrame, page_id: str = "page_id", html: str = "html", rows: int = TRAIN_PAGES) -> dict[str, np.ndarray]:
-    """Weights learned in one task from a hash sample of about ``rows`` pages of bounded length.
+    """Weights learned in one task from the first ``rows`` pages by a hash whose article is told by their elements.
 
-    The bound on a page's length holds for the sample alone. Without any page whose article can be
-    told by its elements, nothing is learned and the weights are those of the start.
+    All pages, of any length, are in the draw; long ones teach by parts of bounded size. A table with
+    pages of which none can teach is an error: its labels would be chance. Without any page the
+    weights are those of the start.
     """
-    some = pages.select(utf8(html).alias("body"), heavy_hash(F.col(page_id).cast("string"), F.col(html)).alias("mark"))
-    some = some.filter(F.octet_length("body").between(1, TRAIN_PAGE_BYTES))
-    share = min(1.0, rows / max(1, some.count()))
-    sample = some.filter(F.col("mark") < share * float(1 << 62)).repartition(1).sortWithinPartitions("mark")
+    marked = pages.select(utf8(html).alias("body"), heavy_hash(F.col(page_id).cast("string"), F.col(html)).alias("mark"))
+    marked = marked.filter(F.octet_length("body") > 0)
+    sample = _sample(marked, rows).repartition(1).sortWithinPartitions("mark")
     learned = sample.mapInArrow(_train_task, "weights binary").first()
     if learned is None:
-        return start_weights()
+        if marked.isEmpty():
+            return start_weights()
+        raise ValueError("no page has text in an article or main element: fit on pages that have, and pass the weights to main_text")
     with np.load(io.BytesIO(bytes(learned["weights"]))) as stored:
         return {k: stored[k] for k in stored.files}
 

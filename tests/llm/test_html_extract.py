@@ -106,3 +106,31 @@ def test_query(spark):
 def test_describe_is_whole():
     page = blocks("<p>a b</p><div>" + "word " * 1000 + "</div>")
     assert describe(page).shape == (2, H.SIZE) and describe([]).shape == (0, H.SIZE)
+
+
+def _page(i, element, paragraphs=3):
+    text = "".join(f"<p>Sentence {i} number {k} of a longer story, told in full.</p>" for k in range(paragraphs))
+    return f"<body><nav><a href=/>Home</a></nav><{element}>{text}</{element}><footer>Imprint {i}</footer></body>"
+
+
+def test_few_pages_that_teach_are_found(spark):
+    rows = [(i, _page(i, "article" if i % 500 == 7 else "div")) for i in range(3000)]
+    pages = spark.createDataFrame(rows, "page_id long, html string").repartition(4)
+    weights = H.fit(pages, rows=6)
+    got = H.extract([rows[7][1], rows[507][1]], weights)
+    assert [t.count("\n\n") for t in got] == [2, 2] and "Home" not in "".join(got) and "Imprint" not in "".join(got)
+
+
+def test_long_pages_teach(spark):
+    rows = [(i, _page(i, "main", 2000)) for i in range(12)]
+    assert all(len(html) > 50_000 for _, html in rows)
+    weights = H.fit(spark.createDataFrame(rows, "page_id long, html string"))
+    assert H.extract([rows[0][1]], weights)[0].count("\n\n") == 1999
+    found = H.lesson(rows[0][1])
+    assert found.size() <= 2 * H.TRAIN_BLOCKS and all(0 < len(y) <= H.TRAIN_BLOCKS for _, y in found.parts)
+
+
+def test_nothing_to_learn_from_is_an_error(spark):
+    pages = spark.createDataFrame([(i, _page(i, "div")) for i in range(5)], "page_id long, html string")
+    with pytest.raises(ValueError, match="article or main"):
+        H.fit(pages)

@@ -17,10 +17,25 @@ SIZE = PATH_SIZE + LEAF_SIZE + WORD_SIZE + PLAIN_SIZE
 # Fixed values of HTML: elements without content, of raw text, never shown, and inside a line.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes plaintext".split())
-HIDDEN = frozenset("head template noscript svg math object canvas audio video select datalist".split())
+HIDDEN = frozenset("head template noscript object canvas audio video select datalist".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rb rp rt ruby s samp"
-    " small span strike strong sub sup time tt u var wbr".split()
+    " small span strike strong sub sup time tt u var wbr"
+    " math maction menclose merror mfenced mfrac mi mlabeledtr mmultiscripts mn mo mover mpadded mphantom mprescripts"
+    " mroot mrow ms mspace msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder munderover none semantics".split()
+)
+# Raw text that is shown.
+SHOWN_RAW = frozenset("xmp plaintext".split())
+# What a head can hold; any other element and any text end it.
+IN_HEAD = frozenset("html head base basefont bgsound link meta title noscript noframes style script template".split())
+# Elements in a line whose text is not shown; inside them, those that show text, and never shown parts.
+FOREIGN = frozenset("svg annotation annotation-xml".split())
+FOREIGN_SHOWN = frozenset("text foreignobject".split())
+FOREIGN_HIDDEN = frozenset("defs symbol desc metadata clippath mask pattern marker".split()) | HIDDEN
+# Elements of a page that end a drawing they begin in.
+BREAKOUT = frozenset(
+    "b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta"
+    " nobr ol p pre ruby s small span strong strike sub sup table tt u ul var".split()
 )
 # Start tags: the open elements they end, and those beyond which they don't look.
 ENDS = {
@@ -62,10 +77,15 @@ class _Reader:
     parts: list[str] = field(default_factory=list)
     linked: int = 0
     hidden: int = 0
-
-    def text(self, piece: str) -> None:
-        if piece and not self.hidden:
-            piece = unescape(piece) if "&" in piece else piece
+    # Open elements of drawings: name, whether text is shown, whether it is in a part that never is, whether of a page.
+    foreign: list[tuple[str, bool, bool, bool]] = field(default_factory=list)
+    within: Counter = field(default_factory=Counter)
+
+    def text(self, piece: str, raw: bool = False) -> None:
+        if self.open and self.open[-1][0] == "head" and piece.strip(" \t\n\f\r"):
+            self._end_head()
+        if piece and not self.hidden and not (self.foreign and not self.foreign[-1][1]):
+            piece = unescape(piece) if "&" in piece and not raw else piece
             self.parts.append(piece)
             if "a" in self.inline:
                 self.linked += len(piece)
@@ -77,7 +97,53 @@ class _Reader:
                 self.blocks.append(Block(tuple(d for _, d in self.open[-DEPTH:]), text, min(self.linked, len(text))))
             self.parts, self.linked = [], 0
 
+    def _end_head(self) -> None:
+        self.cut()
+        while self.open and self.open[-1][0] == "head":
+            self._pop()
+
+    def raw(self, name: str, rest: str, text: str) -> None:
+        """An element of raw text."""
+        if name not in IN_HEAD and self.open and self.open[-1][0] == "head":
+            self._end_head()
+        if name in SHOWN_RAW:
+            self.start(name, rest)
+            self.text(text, raw=True)
+            self.close(name)
+
+    def _start_foreign(self, name: str, rest: str) -> None:
+        """An element in a drawing, or the drawing: in a line, whatever it is. Parts of a page in it are set off by spaces."""
+        _, shown, never, page = self.foreign[-1] if self.foreign else ("", False, False, False)
+        if page and (name not in INLINE or name == "br"):
+            self.text(" ")
+        if rest.endswith("/") and (not page or name in FOREIGN) or page and name in VOID:
+            return
+        never = never or name in FOREIGN_HIDDEN
+        shown = not never and (name in FOREIGN_SHOWN or shown and name not in FOREIGN)
+        self.foreign.append((name, shown, never, name == "foreignobject" or page and name not in FOREIGN))
+        self.within[name] += 1
+
+    def _close_foreign(self, name: str) -> bool:
+        """Whether an end tag is one of the drawing, or has no effect in it."""
+        if not self.within[name]:
+            return self.foreign[-1][3]
+        while self.within[name]:
+            last, _, _, page = self.foreign.pop()
+            self.within[last] -= 1
+            if page and last not in INLINE:
+                self.text(" ")
+            if last == name:
+                break
+        return True
+
     def start(self, name: str, rest: str) -> None:
+        if self.open and self.open[-1][0] == "head" and name not in IN_HEAD:
+            self._end_head()
+        if self.foreign and name in BREAKOUT and not self.foreign[-1][3]:
+            self._break_out()
+        if self.foreign or name in FOREIGN:
+            self._start_foreign(name, rest)
+            return
         if name == "br":
             self.text(" ")
         if name in VOID:
@@ -94,6 +160,10 @@ class _Reader:
         if name in HIDDEN:
             self.hidden += 1
 
+    def _break_out(self) -> None:
+        while self.foreign and not self.foreign[-1][3]:
+            self.within[self.foreign.pop()[0]] -= 1
+
     def _end_open(self, name: str) -> None:
         if self.open and self.open[-1][0] == "p":
             self._pop()
@@ -116,6 +186,14 @@ class _Reader:
             self.hidden -= 1
 
     def close(self, name: str) -> None:
+        if self.foreign:
+            if self._close_foreign(name):
+                return
+            # The end of an element around the drawing ends the drawing; any other has no effect.
+            if not self.opened[name] and name not in self.inline:
+                return
+            self.foreign.clear()
+            self.within.clear()
         if name in INLINE:
             for at in range(len(self.inline) - 1, -1, -1):
                 if self.inline[at] == name:
@@ -140,7 +218,8 @@ def blocks(html: str) -> list[Block]:
     """The blocks of a page in order. Text of a block has one space for any white space.
 
     Comments, scripts, styles, the head and other parts that are not shown give none. Unclosed
-    elements end where HTML ends them; a sign that begins no tag is text.
+    elements end where HTML ends them, the head at what it can't hold; a sign that begins no tag is
+    text. Formulas and the texts of drawings are part of the line they are in.
     """
     reader, at = _Reader(), 0
     while (sign := html.find("<", at)) >= 0:
@@ -165,8 +244,9 @@ def blocks(html: str) -> list[Block]:
         at = m.end() if isinstance(m, re.Match) else m[4]
         if close:
             reader.close(name)
-        elif name in RAW:
-            end = _end_tag(name).search(html, at)
+        elif name in RAW and not (reader.foreign and rest.endswith("/")):
+            end = _end_tag(name).search(html, at) if name != "plaintext" else None
+            reader.raw(name, rest, html[at : end.start() if end else len(html)])
             at = end.end() if end else len(html)
         else:
             reader.start(name, rest)

@@ -134,3 +134,33 @@ def test_nothing_to_learn_from_is_an_error(spark):
     pages = spark.createDataFrame([(i, _page(i, "div")) for i in range(5)], "page_id long, html string")
     with pytest.raises(ValueError, match="article or main"):
         H.fit(pages)
+
+
+@pytest.mark.parametrize(
+    ("html", "want"),
+    [
+        ("<html><head><meta charset=x><title>no</title><style>no</style><body><p>a</p>", ["a"]),
+        ("<head><link href=x><p>a<p>b", ["a", "b"]),
+        ("<head>\n <script>no</script> text<p>b", ["text", "b"]),
+        ("<head><noscript><img></noscript><template><p>no</p></template></head>a", ["a"]),
+        ("<head><textarea>no</textarea><p>a", ["a"]),
+        ("<p>so <math><msup><mi>x</mi><mn>2</mn></msup></math> is</p>", ["so x2 is"]),
+        ("<p>a <math><semantics><mi>x</mi><annotation>no</annotation></semantics></math> b</p>", ["a x b"]),
+        ("<p>a</p><xmp><b>1 &amp; 2</b></xmp><p>c", ["a", "<b>1 &amp; 2</b>", "c"]),
+        ("<p>a</p><plaintext><b>c</plaintext>", ["a", "<b>c</plaintext>"]),
+        ("<p>a <svg><title>no</title><desc>no</desc><path d='x'/>no<text x=1>in <tspan>it</tspan></text></svg> b</p>", ["a in it b"]),
+        ("<p>a <svg viewBox='0 0'><style/><g><path/></g></svg> b</p>", ["a b"]),
+        ("<p>a <svg/> b <svg><defs><text>no</text></defs></svg>c</p><p>d", ["a b c", "d"]),
+        ("<p>a <svg><foreignObject><div>b</div><p>c<br>d</p></foreignObject>no</svg> e</p>", ["a b c d e"]),
+        ("<div>a <svg><g><p>b</p></div>c", ["a", "b", "c"]),
+        ("<div>a <svg><g></i></div>c", ["a", "c"]),
+        ("<article><p>a <a href=x><svg><g></a> b</p></article>", ["a b"]),
+    ],
+)
+def test_all_that_is_shown_is_cut(html, want):
+    assert [b.text for b in blocks(html)] == want
+
+
+def test_hostile_drawings_take_linear_time():
+    for page in ("<svg><foreignObject>" * 50_000 + "</div>" * 50_000, "<svg>" + "<g>" * 50_000 + "</path>" * 50_000, "<head>" * 50_000 + "x"):
+        blocks(page)

@@ -23,8 +23,11 @@ from pyspark.sql import functions as F
 from basketflow.llm.common import annotate, heavy_hash, held_out, table, utf8
 
 ORDER = 3
-# Expected bytes of training text in all, shared evenly by the languages: a hash sample of whole rows.
+# Expected bytes of training text in all, shared evenly by the languages: a hash sample of rows. Rows
+# that are expected of a language at least, however long; a longer one than they allow lends pieces.
 TRAIN_BYTES = 16 << 20
+MIN_ROWS = 32
+PIECE_BYTES = 1024
 # Contexts that are tabled. The rarest ones of three, then of two bytes fall back to shorter ones.
 MAX_STATES = 8192
 TABLE_BYTES = 64 << 20
@@ -49,12 +52,25 @@ def grams(text: np.ndarray) -> np.ndarray:
     return wide[:-3] << 24 | wide[1:-2] << 16 | wide[2:-1] << 8 | wide[3:]
 
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def pieces(text: bytes, most: int) -> list[bytes]:
+    """A text, padded at its start, or evenly spaced pieces of it of about ``most`` bytes in all; not the padding's grams."""
+    if len(text) <= most:
+        return [_START + folded(text)]
+    count = max(1, most // PIECE_BYTES)
+    starts = [i * (len(text) - PIECE_BYTES) // max(1, count - 1) for i in range(count)]
+    # Bytes of a letter that is cut are left out.
+    cut = [text[at : at + PIECE_BYTES].decode("utf-8", "ignore").encode() for at in starts]
+    return [(_START if at == 0 else b"") + folded(piece) for at, piece in zip(starts, cut, strict=True)]
+
+
+def _count(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         langs = batch.column("lang").to_pylist()
         texts = batch.column("body").to_pylist()
         for lang in sorted(set(langs)):
-            own = [_START + folded(t) for name, t in zip(langs, texts, strict=True) if name == lang]
+            own = [p for name, t in zip(langs, texts, strict=True) if name == lang for p in pieces(t, most) if len(p) > ORDER]
+            if not own:
+                continue
             found, n = np.unique(np.concatenate([grams(np.frombuffer(t, np.uint8)) for t in own]), return_counts=True)
             names = pa.array([lang] * len(found), pa.string())
             counts = [pa.array(found.astype(np.int64)), pa.array(n.astype(np.int64))]
@@ -64,17 +80,23 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def count_contexts(rows: DataFrame, lang: str, text: str, row_id: str, train_bytes: int) -> DataFrame:
     """(lang, gram, n): the counts of four-byte sequences in a hash sample of the labelled rows.
 
-    The sample takes rows with a chance that makes about ``train_bytes`` in all, the same for each
-    language; languages with less text are taken whole.
+    Each language has the same share of ``train_bytes``, and of it each row lends at most one part in
+    32 (1 KB at least), a longer one by pieces from all over it: very long texts don't crowd out the
+    others. The sample takes rows with a chance that makes about the share, or 32 rows if that is
+    more, and in any case the row of the least mark; languages with less text are taken whole.
     """
     # The text is part of the mark: rows without an id are drawn one by one, too.
     mark = heavy_hash(F.col(row_id).cast("string"), F.col(text))
     labelled = rows.select(F.col(lang).alias("lang"), utf8(text).alias("body"), mark.alias("mark")).filter(F.col("lang").isNotNull() & (F.octet_length("body") > 0))
-    sizes = labelled.groupBy("lang").agg(F.sum(F.octet_length("body")).alias("size"))
-    share = train_bytes / max(1, sizes.count())
-    chance = sizes.select(F.col("lang").alias("of"), (F.lit(share) / F.col("size") * F.lit(float(1 << 62))).alias("below"))
-    sample = labelled.join(F.broadcast(chance), F.col("lang") == F.col("of")).filter("mark < below")
-    counted = sample.select("lang", "body").mapInArrow(_count, "lang string, gram long, n long")
+    share = train_bytes / max(1, labelled.select("lang").distinct().count())
+    most = max(PIECE_BYTES, int(share / MIN_ROWS))
+    lent = F.least(F.octet_length("body"), F.lit(most)).cast("long")
+    sizes = labelled.groupBy("lang").agg(F.sum(lent).alias("size"), F.count("*").alias("rows"), F.min("mark").alias("least"))
+    part = F.greatest(F.lit(share) / F.col("size"), F.lit(float(MIN_ROWS)) / F.col("rows"))
+    chance = sizes.select(F.col("lang").alias("of"), (part * F.lit(float(1 << 62))).alias("below"), "least")
+    drawn = (F.col("mark") < F.col("below")) | (F.col("mark") == F.col("least"))
+    sample = labelled.join(F.broadcast(chance), F.col("lang") == F.col("of")).filter(drawn)
+    counted = sample.select("lang", "body").mapInArrow(lambda b: _count(b, most), "lang string, gram long, n long")
     return counted.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 

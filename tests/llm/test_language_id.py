@@ -84,3 +84,29 @@ def test_edge_rows(edge, no_docs):
     assert L.predict(no_docs, trees).count() == 0
     nothing = L.train(no_docs)
     assert {(r["lang_pred"], r["score"]) for r in L.predict(edge, nothing).collect()} == {("und", 0.0)}
+
+
+def test_long_texts_do_not_crowd_out_the_others(spark):
+    small = [(i, "x", f"the quick dog number {i} ran over the hill") for i in range(40)]
+    huge = [(100, "x", "zzzq " * 400_000), (101, "y", "der hund und die katze " * 100_000), (102, "z", "le chien et le chat " * 100_000)]
+    rows = spark.createDataFrame(small + huge, "doc_id long, lang string, text string").repartition(4)
+    counted = L.count_contexts(rows, "lang", "text", "doc_id", 60_000).collect()
+    assert {r["lang"] for r in counted} == {"x", "y", "z"}
+    found = {(r["lang"], r["gram"].to_bytes(4, "big")): r["n"] for r in counted}
+    assert found["x", b"quic"] == 40
+    assert sum(n for (lang, _), n in found.items() if lang == "y") <= 1024
+    trees = L.train(rows, train_bytes=60_000)
+    assert L.identify([b"the quick dog ran", b"die katze und der hund", b"le chat et le chien"], trees)[0] == ["x", "y", "z"]
+
+
+def test_every_language_keeps_a_row(spark):
+    rows = spark.createDataFrame([(i, f"l{i % 200}", f"word{i} " * 3000) for i in range(400)], "doc_id long, lang string, text string")
+    assert len(L.train(rows, train_bytes=2000).langs) == 200
+
+
+def test_pieces_cover_a_long_text():
+    text = "é".encode() * 50_000 + b"the end"
+    got = L.pieces(text, 5000)
+    assert len(got) == 4 and got[0].startswith(L._START) and got[-1].endswith(b"the end")
+    assert all(len(p) <= 1027 and "\ufffd" not in p.decode() for p in got)
+    assert L.pieces(b"Abc", 5000) == [L._START + b"abc"]

@@ -249,6 +249,12 @@ def predict(docs: DataFrame, trees: ContextTrees, text: str = "text", keep: list
     return annotate(docs, text, fields, lambda: lambda texts: identify(texts, shared.value), keep)
 
 
+def with_letters(docs: DataFrame, text: str = "text") -> DataFrame:
+    """The rows whose text has a letter."""
+    marked = annotate(docs, text, "lettered boolean", lambda: lambda texts: [[has_letter(t) for t in texts]])
+    return marked.filter("lettered").select("doc.*")
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     trees = train(docs.filter(~held_out("doc_id")))

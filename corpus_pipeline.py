@@ -15,8 +15,14 @@ from basketflow.session import materialize
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without any letter go; the others get the language they are found to be in."""
+    """Texts without any letter go; the others get the language they are found to be in.
+
+    If no document outside the held-out fold has a language, nothing is learned: all of them keep
+    the ``lang`` they have.
+    """
     trees = language_id.train(docs.filter(~held_out("doc_id")))
+    if not trees.langs:
+        return language_id.with_letters(docs)
     found = language_id.predict(docs, trees).filter(F.col("lang_pred") != language_id.UNKNOWN)
     columns = [F.col("lang_pred") if c == "lang" else F.col("doc").getField(c) for c in docs.columns]
     return found.select(*[column.alias(c) for column, c in zip(columns, docs.columns, strict=True)])

@@ -47,3 +47,14 @@ def test_clean_documents_stay(spark):
     after = {r["doc_id"]: r["text"] for r in secrets.redact(docs).collect()}
     assert set(before) == set(after)
     assert all(after[i] == t for i, t in before.items() if not re.search(r"(?i)passw|secret|token|api_?key|AKIA|[0-9a-f]{16}", t or ""))
+
+
+def test_documents_stay_where_no_language_can_be_learned(spark):
+    folds = spark.range(50).select("id", corpus_pipeline.held_out("id").alias("out")).collect()
+    aside = next(r["id"] for r in folds if r["out"])
+    for labelled in (None, aside):
+        rows = [(i, "12 --" if i == 3 else f"some words {i}", "en" if i == labelled else None) for i in range(50)]
+        docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+        out = corpus_pipeline.language(spark, docs, SMALL)
+        assert out.columns == docs.columns
+        assert sorted(map(tuple, out.collect())) == sorted((r for r in rows if r[0] != 3), key=lambda r: r[0])

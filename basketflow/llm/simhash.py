@@ -210,23 +210,26 @@ def _one_of(rows: DataFrame, group: str) -> DataFrame:
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", limit: int = MAX_BITS) -> DataFrame:
     """The documents whose id names their group, with their columns: one of each group stays.
 
-    Rows of the same id are one document: if it stays, one of its rows does, the least by a hash of
-    the values. Of a group in which no row has an id one row stays, too.
+    Rows are judged one by one, also where an id repeats: of a group's rows with its name one stays,
+    the least by a hash of the values, and rows of that id in other groups are judged there. Of a
+    group in which no row has an id one row stays, too.
     """
     own_id = F.col(f"`{doc_id}`")
     rows = docs.select(own_id.alias("doc_id"), F.col(f"`{text}`").alias("text"))
     prints = materialize(with_fingerprints(rows, keep=["doc_id"]).select("doc.doc_id", "print"), "prints")
     names = _components(prints, limit)
-    found = prints.join(names, "print").filter("doc_id = component_id")
-    kept = materialize(found.groupBy(F.col("doc_id").alias("id")).count(), "kept-documents")
+    named = F.count_if(F.col("doc_id") == F.col("component_id"))
+    ids = prints.join(names, "print").groupBy(F.col("doc_id").alias("id")).agg(F.count("*").alias("count"), named.alias("named"))
+    kept = materialize(ids.filter("named > 0").select("id", "count"), "kept-documents")
     whole = docs.select(own_id.alias("id"), whole_row(docs).alias("doc"))
     # The kept ids grow with the documents: they are merged at every size, never broadcast.
-    stay = whole.join(kept.hint("merge"), "id", "left_semi")
+    stay = whole.join(kept.filter("count = 1").hint("merge"), "id", "left_semi").select("doc")
     repeated = kept.filter("count > 1")
     if not repeated.isEmpty():
-        several = stay.join(repeated, "id", "left_semi")
-        stay = stay.join(repeated, "id", "left_anti").select("doc").unionByName(_one_of(several, "id"))
-    stay = stay.select("doc")
+        several = whole.join(repeated, "id", "left_semi").select("doc.*")
+        found = with_fingerprints(several, text).join(names, "print")
+        found = found.filter(F.col("doc").getField(doc_id) == F.col("component_id"))
+        stay = stay.unionByName(_one_of(found, "root"))
     unnamed = names.filter("component_id is null")
     if not unnamed.isEmpty():
         without = with_fingerprints(docs.filter(own_id.isNull()), text).join(unnamed, "print")

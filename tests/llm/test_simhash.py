@@ -100,3 +100,14 @@ def test_components_of_chains_stars_and_rings(spark, n):
     for r in found:
         by_part.setdefault((r["node"] >= 1000) + (r["node"] >= 5000), set()).add(r["root"])
     assert all(len(v) == 1 for v in by_part.values())
+
+
+def test_an_id_with_several_texts(spark):
+    def text(seed):
+        return " ".join(random.Random(seed).choices([f"word{i}" for i in range(500)], k=200))
+
+    a, b, c, d = map(text, "abcd")
+    # 5 names two groups, of one of which it has two rows; 6 is in a group of its own and in that of 3.
+    rows = [(5, a, 1), (5, b, 2), (5, b, 3), (9, a, 4), (3, c, 5), (6, c, 6), (6, d, 7), (8, d, 8)]
+    kept = S.keep_one(spark.createDataFrame(rows, "doc_id long, text string, n int").repartition(3)).collect()
+    assert sorted((r["doc_id"], r["text"]) for r in kept) == sorted([(5, a), (5, b), (3, c), (6, d)])

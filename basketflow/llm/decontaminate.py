@@ -9,6 +9,7 @@ the array; that changes no result and keeps the array to some thousandths of the
 from __future__ import annotations
 
 from collections import defaultdict
+from collections.abc import Iterator
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -73,8 +74,13 @@ class TestSuffixes:
         np.minimum.at(self.least, self.flat[self.starts], self.lengths)
         heads = self.flat[self.starts[:, None] + np.arange(window)]
         beyond = np.arange(window) >= self.lengths[:, None]
-        self.low = keys(np.where(beyond, 0, heads))
-        self.high = keys(np.where(beyond, 0xFFFFFFFF, heads))
+        # Equal windows are searched for once: their keys and lengths, and the windows that are each.
+        self.low, one, kind = np.unique(keys(np.where(beyond, 0, heads)), return_index=True, return_inverse=True)
+        self.high = keys(np.where(beyond, 0xFFFFFFFF, heads)[one])
+        self.kind_length = self.lengths[one]
+        self.members = np.argsort(kind, kind="stable")
+        self.n_members = np.bincount(kind, minlength=len(one))
+        self.first_member = np.cumsum(self.n_members) - self.n_members
 
 
 def keys(ids: np.ndarray) -> np.ndarray:
@@ -86,8 +92,8 @@ def keys(ids: np.ndarray) -> np.ndarray:
 def search(texts: list[bytes], tests: TestSuffixes) -> tuple[np.ndarray, ...]:
     """All places where windows occur, found in the suffix array of these texts.
 
-    Gives the word numbers of the texts, the first word of each text, and the word and the window of
-    each occurrence.
+    Gives the word numbers of the texts, the first word of each text, and the word and the distinct
+    window of each occurrence: at most one for each length of a window at any word.
     """
     get = tests.vocabulary.get
     numbers, bounds = [], [0]
@@ -106,9 +112,19 @@ def search(texts: list[bytes], tests: TestSuffixes) -> tuple[np.ndarray, ...]:
     array, suffixes = begins[order], suffixes[order]
     low = np.searchsorted(suffixes, tests.low, "left")
     count = np.searchsorted(suffixes, tests.high, "right") - low
-    window = np.repeat(np.arange(len(count)), count)
-    inside = np.arange(len(window)) - np.repeat(np.cumsum(count) - count, count)
-    return ids, np.array(bounds), array[low[window] + inside], window
+    kind = np.repeat(np.arange(len(count)), count)
+    inside = np.arange(len(kind)) - np.repeat(np.cumsum(count) - count, count)
+    return ids, np.array(bounds), array[low[kind] + inside], kind
+
+
+def occurrences(tests: TestSuffixes, place: np.ndarray, kind: np.ndarray, step: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The places with each window that is found there, ``step`` of them at a time."""
+    stops = np.cumsum(tests.n_members[kind])
+    for start in range(0, int(stops[-1]) if len(stops) else 0, step):
+        number = np.arange(start, min(start + step, int(stops[-1])))
+        row = np.searchsorted(stops, number, "right")
+        inside = number - stops[row] + tests.n_members[kind[row]]
+        yield place[row], tests.members[tests.first_member[kind[row]] + inside]
 
 
 def longest(ids: np.ndarray, tests: TestSuffixes, place: np.ndarray, window: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -138,18 +154,23 @@ def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 def find(texts: list[bytes], tests: TestSuffixes) -> list[list]:
     """Per text: its words, the ranges of words that are hit, the items, their longest matches."""
-    ids, bounds, place, window = search(texts, tests)
+    ids, bounds, place, kind = search(texts, tests)
     spans: dict[int, set] = defaultdict(set)
     best: dict[int, dict] = defaultdict(dict)
     doc = np.searchsorted(bounds, place, "right") - 1
-    hit = np.unique(np.stack([doc, place - bounds[doc], tests.lengths[window]]), axis=1)
+    hit = np.unique(np.stack([doc, place - bounds[doc], tests.kind_length[kind]]), axis=1)
     for d, at, length in hit.T.tolist():
         spans[d].add((at, at + length))
-    for at in range(0, len(place), STEP):
-        where, which, length = longest(ids, tests, place[at : at + STEP], window[at : at + STEP])
+    for at, windows in occurrences(tests, place, kind, STEP):
+        where, which, length = longest(ids, tests, at, windows)
         owner = tests.owners[which]
         offset = tests.starts[which] - tests.item_start[owner]
         of = np.searchsorted(bounds, where, "right") - 1
+        # The best match of each item in each text of this step.
+        order = np.lexsort((offset, where, -length, owner, of))
+        of, owner, length, offset, where = (x[order] for x in (of, owner, length, offset, where))
+        best_of = np.append(True, (of[1:] != of[:-1]) | (owner[1:] != owner[:-1]))[: len(of)]
+        of, owner, length, offset, where = (x[best_of] for x in (of, owner, length, offset, where))
         for d, o, n, q, p in zip(*(x.tolist() for x in (of, owner, length, offset, where - bounds[of])), strict=True):
             name = tests.names[o]
             if name is not None and (name not in best[d] or (-n, p, q) < best[d][name]):

@@ -1,5 +1,6 @@
 import hashlib
 import re
+import tracemalloc
 
 import pytest
 from hypothesis import given, settings
@@ -87,3 +88,26 @@ def test_empty_tables(no_docs, edge, items):
 
 def test_digest_of_no_items():
     assert hashlib.sha256(b"").hexdigest().startswith("e3b0c442")
+
+
+def test_many_items_with_one_preamble_take_bounded_memory():
+    preamble = " ".join(f"p{i}" for i in range(10))
+    items = [(str(i), f"{preamble} item{i}".encode()) for i in range(1000)]
+    texts = [(f"{preamble} x " * 1500 + f"{preamble} item7").encode()]
+    tests = D.TestSuffixes(items)
+    tracemalloc.start()
+    _, spans, names, matches = D.find(texts, tests)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(names[0]) == 1000 and len(spans[0]) == 1501
+    best = {m["item_id"]: (m["n_words"], m["item_word"], m["doc_word"]) for m in matches[0]}
+    assert best["7"] == (11, 0, 16500) and best["8"] == (10, 0, 0)
+    assert peak < 100 << 20
+
+
+def test_steps_do_not_change_what_is_found(monkeypatch):
+    items = [("1", b"a b c d"), ("2", b"a b c"), ("3", b"b c"), ("4", b"a b c d"), (None, b"c d")]
+    texts = [b"a b c d a b c b c", b"", b"c d b c", b"a b c d e"]
+    whole = D.find(texts, D.TestSuffixes(items, 2))
+    monkeypatch.setattr(D, "STEP", 1)
+    assert D.find(texts, D.TestSuffixes(items, 2)) == whole

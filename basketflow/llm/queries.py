@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from basketflow.llm import decontaminate, embedding_dedup, html_extract, language_id, merkle, mixing, quality, secrets, simhash, token_counts, warc
+from basketflow.llm import conversation_repair, decontaminate, embedding_dedup, html_extract, language_id, merkle, mixing, packing, quality, secrets, simhash, token_counts, warc
 
 QUERIES = {
     "op1_decontaminate": decontaminate.op1_decontaminate,
@@ -15,6 +15,8 @@ QUERIES = {
     "op8_mix": mixing.op8_mix,
     "op9_language_id": language_id.op9_language_id,
     "op10_embedding_dedup": embedding_dedup.op10_embedding_dedup,
+    "op11_packing": packing.op11_packing,
+    "op12_conversation_repair": conversation_repair.op12_conversation_repair,
     "op13_merkle": merkle.op13_merkle,
 }
 
@@ -22,5 +24,6 @@ ORACLE = {
     "op1_decontaminate": decontaminate.SQL,
     "op2_warc": warc.SQL,
     "op10_embedding_dedup": embedding_dedup.SQL,
+    "op12_conversation_repair": conversation_repair.SQL,
     "op13_merkle": merkle.SQL,
 }

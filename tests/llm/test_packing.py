@@ -1,5 +1,6 @@
 """Packing: ids and cuts against the library, packings against what a packing is, sequences against the bound."""
 
+import json
 import zlib
 
 import numpy as np
@@ -43,21 +44,30 @@ def check_layout(rows, capacity):
     return len(by)
 
 
-def test_encoder_equals_the_library(library):
+def test_merging_by_rank_is_proved(tmp_path):
+    assert packing.merges_by_rank(PATH)
+    file = json.loads(open(PATH, encoding="utf-8").read())
+    file["model"]["merges"][5:7] = file["model"]["merges"][6:4:-1]
+    (tmp_path / "other.json").write_text(json.dumps(file), encoding="utf-8")
+    assert not packing.merges_by_rank(str(tmp_path / "other.json"))
+
+
+@pytest.mark.parametrize("by_rank", [True, False])
+def test_encoder_equals_the_library(library, by_rank):
     odd = [
         "", " ", "\n\n  x", "it's we'll 'S I'm''s", "<|endoftext|>", "a<|endoftext|> b <|endoftext|", "x y \xa0z\x85q",
         "漢字かな  交じり文。", "é ½ Ⅷ ٣ 😀👩‍👩‍👧 ​", "İſK", "a  b   c \t d", "9" * 50, "no\r\nend ", "\x00\x1f",
     ]
-    encoder = packing.Encoder(open(PATH, encoding="utf-8").read(), remembered=20)
+    encoder = packing.Encoder(open(PATH, encoding="utf-8").read(), by_rank, remembered=20)
     for text in [*odd, *(a + b for a in odd for b in odd)]:
-        assert np.frombuffer(encoder(text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids, text
+        assert np.frombuffer(encoder.ids(text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids, text
 
 
 def test_long_texts_are_cut_in_stretches(library, monkeypatch):
     monkeypatch.setattr(packing, "STRETCH", 100)
-    encoder = packing.Encoder(open(PATH, encoding="utf-8").read())
+    encoder = packing.Encoder(open(PATH, encoding="utf-8").read(), True)
     for text in ["Some words of a text, and 漢字 <|endoftext|> it's.  \n " * 60, "x" * 5000, "漢" * 700, "a b" * 400]:
-        assert np.frombuffer(encoder(text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(encoder.ids(text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
 
 
 def test_edge_documents(edge, library):

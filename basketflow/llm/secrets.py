@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import base64
 import binascii
+import hashlib
 import json
 import re
 import zlib
@@ -39,6 +40,28 @@ def base62_crc(body: bytes) -> bytes:
     return digits.encode()
 
 
+# A longer header of a web token is no header.
+MAX_HEADER = 1 << 14
+_BASE58 = b"123456789ABCDEFGHJKLMNPQRSTUVWXYZabcdefghijkmnopqrstuvwxyz"
+
+
+def checked_key(m: re.Match) -> bool:
+    """Whether an extended private key ends with the double SHA-256 of what is before."""
+    n = 0
+    for digit in m[0]:
+        n = 58 * n + _BASE58.index(digit)
+    if n.bit_length() > 8 * 82:
+        return False
+    body = n.to_bytes(82, "big")
+    return hashlib.sha256(hashlib.sha256(body[:78]).digest()).digest()[:4] == body[78:]
+
+
+def checked_account(m: re.Match) -> bool:
+    """Whether an account number behind its label has the remainder 1 by 97."""
+    number = m["number"].replace(b" ", b"").upper().decode()
+    return 15 <= len(number) <= 34 and int("".join(str(int(c, 36)) for c in number[4:] + number[:4])) % 97 == 1
+
+
 def checked_token(m: re.Match) -> bool:
     return base62_crc(m["body"]) == m["check"]
 
@@ -46,9 +69,11 @@ def checked_token(m: re.Match) -> bool:
 def signed_header(m: re.Match) -> bool:
     """Whether the first part of a signed web token decodes to a header that names its algorithm."""
     part = m["header"]
+    if len(part) > MAX_HEADER:
+        return False
     try:
         header = json.loads(base64.urlsafe_b64decode(part + b"=" * (-len(part) % 4)))
-    except (ValueError, binascii.Error):
+    except (ValueError, binascii.Error, RecursionError):
         return False
     return isinstance(header, dict) and isinstance(header.get("alg"), str)
 
@@ -61,6 +86,8 @@ class Kind:
     keywords: tuple[str, ...]
     pattern: re.Pattern
     valid: Callable[[re.Match], bool] = field(default=_always)
+    # Where the pattern fails, it fails at every place in the run of these that follows.
+    run: re.Pattern | None = None
 
 
 # The patterns of the kinds, in the order in which equal starts are listed.
@@ -85,8 +112,21 @@ WEB_TOKEN = Kind(
     ("eyj",),
     re.compile(rb"(?P<header>eyJ[A-Za-z0-9_-]+)\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+"),
     signed_header,
+    re.compile(rb"[A-Za-z0-9_-]+"),
+)
+WALLET = Kind(
+    "wallet_key",
+    ("xprv", "yprv", "zprv", "tprv"),
+    re.compile(rb"[xyzt]prv[1-9A-HJ-NP-Za-km-z]{107}(?![1-9A-HJ-NP-Za-km-z])"),
+    checked_key,
+)
+ACCOUNT = Kind(
+    "account",
+    ("iban",),
+    re.compile(rb"(?i:iban)[:=]?\x20?(?P<number>[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?)(?![A-Za-z0-9])"),
+    checked_account,
 )
-KINDS = (ASSIGN, ACCESS, HEX, HOST_TOKEN, WEB_TOKEN)
+KINDS = (ASSIGN, ACCESS, HEX, HOST_TOKEN, WEB_TOKEN, WALLET, ACCOUNT)
 BASE = ("assign", "access", "hex")
 
 _HEX_MAP = bytes(0x78 if chr(b) in "0123456789abcdef" else 0x20 for b in range(256))
@@ -127,10 +167,15 @@ def scan(text: bytes, words: ahocorasick.Automaton, kinds: tuple[Kind, ...] = KI
     for number, starts in hits.items():
         kind, free = kinds[number], 0
         for start in sorted(starts):
-            if start >= free and (m := kind.pattern.match(text, start)):
+            if start < free:
+                continue
+            m = kind.pattern.match(text, start)
+            if m:
                 free = m.end()
                 if kind.valid(m):
                     spans.append((start, number, free))
+            elif kind.run:
+                free = kind.run.match(text, start).end()
     if HEX in kinds:
         spans += [(a, kinds.index(HEX), b) for a, b in _hex_runs(text)]
     return sorted(spans)
@@ -160,7 +205,8 @@ def find_secrets(docs: DataFrame, text: str = "text", keep: list[str] | None = N
     """``doc`` (the columns of a row, or those in ``keep``) and ``spans``: kind, start and stop of each secret, in code points.
 
     Base kinds are what their patterns find from left to right; the further kinds need a right
-    checksum (access tokens of code hosts) or header (signed web tokens). Spans of different kinds
+    checksum (access tokens of code hosts, extended private keys, account numbers behind their label)
+    or header (signed web tokens; up to 16 KB of it). Spans of different kinds
     may overlap. A missing or empty text has none.
     """
 

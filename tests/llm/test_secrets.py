@@ -2,6 +2,7 @@ import base64
 import hashlib
 import random
 import re
+import time
 
 from basketflow.llm import secrets as S
 
@@ -75,3 +76,40 @@ def test_edge_rows(edge, no_docs):
     assert all(r["n_chars"] == len(r["text"]) for r in changed)
     assert sum(r["text"] is None for r in rows) == 2
     assert S.redact(no_docs).count() == 0 and S.find_secrets(no_docs).count() == 0
+
+
+def added(text):
+    body = text.encode()
+    return [(S.KINDS[k].name, text[a:b]) for a, k, b in S.in_characters(body, S.scan(body, S.automaton())) if S.KINDS[k].name not in S.BASE]
+
+
+def test_deep_and_long_headers_are_no_tokens():
+    deep = b'{"a":' + b"[" * 60_000
+    for head in (deep, b'{"a":' + b"[" * 9_000, b'{"alg":"none"}'):
+        token = base64.urlsafe_b64encode(head).decode().rstrip("=") + ".e30.sig"
+        assert [k for k, _ in added(f"x {token} y")] == (["web_token"] if b"alg" in head else [])
+
+
+def test_runs_of_token_letters_take_linear_time():
+    began = time.time()
+    for text in ("eyJ" * 350_000, "eyJx." * 200_000, "eyJ" * 300_000 + "." + "eyJ" * 100_000, "iban " * 200_000, "xprv" * 250_000, "password " * 110_000):
+        S.scan(text.encode(), S.automaton())
+    assert time.time() - began < 12
+
+
+def test_skipping_a_run_loses_no_token():
+    pattern, rnd = S.WEB_TOKEN.pattern, random.Random(8)
+    parts = ["eyJ", "a", ".", " ", "eyJhbGciOiJub25lIn0", "-", "e", "J"]
+    for _ in range(4000):
+        text = "".join(rnd.choice(parts) for _ in range(rnd.randrange(14)))
+        found = [m[0].decode() for m in pattern.finditer(text.encode()) if S.signed_header(m)]
+        assert [t for k, t in added(text) if k == "web_token"] == found, text
+
+
+def test_keys_and_accounts_need_their_check_digits():
+    key = "xprv9s21ZrQH143K3QTDL4LXw2F7HEK3wJUD2nW2nRk4stbPy6cq3jPPqjiChkVvvNKmPGJxWUtg6LnF5kejMRNNU3TGtRBeJgk33yuGBxrMPHi"
+    assert added(f"key {key}.") == [("wallet_key", key)] and added(key[:-1] + "j") == []
+    assert added(key + "A") == [] and added("zprv" + "z" * 107) == []
+    for good in ("IBAN: DE89 3704 0044 0532 0130 00", "iban=GB82WEST12345698765432", "IBAN FR1420041010050500013M02606"):
+        assert added(good + ", so") == [("account", good)]
+    assert added("IBAN: DE89 3704 0044 0532 0130 01") == [] and added("iban iban: x") == []

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections import Counter
+from collections import Counter, defaultdict
 from dataclasses import dataclass, field
 from functools import lru_cache
 from html import unescape
@@ -52,28 +52,55 @@ ENDS = {
 _TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)((?:[^<>\"']++|\"[^\"<>]*+\"|'[^'<>]*+')*+)>")
 _NAME = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)")
 _PLAIN = re.compile(r"[^>\"']*+")
-# Elements of a path that are looked at, from the innermost.
-DEPTH = 32
+_COMMENT_END = re.compile(r"--!?>")
 _NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 _SPACE = re.compile(r"\s+")
 
 
+@dataclass(eq=False, slots=True)
+class Element:
+    """An open element: its name, its name and words as one text, and the element it is in."""
+
+    name: str
+    described: str
+    parent: Element | None
+    depth: int
+
+
 @dataclass
 class Block:
-    """A piece of text between block elements: its open elements, innermost last, and what is in it."""
+    """A piece of text between block elements: the innermost element it is in, and what is in it."""
 
-    path: tuple[str, ...]
+    element: Element | None
     text: str
     linked: int = 0
 
 
+def along_paths(page: list[Block], start, step) -> list:
+    """``step(state, element)`` carried from the outermost to the innermost element of each block.
+
+    Elements that blocks share are gone through once, so the effort is that of all elements, however
+    deep they are nested.
+    """
+    known: dict[Element | None, object] = {None: start}
+    for block in page:
+        element, way = block.element, []
+        while element not in known:
+            way.append(element)
+            element = element.parent
+        for inner in reversed(way):
+            known[inner] = step(known[inner.parent], inner)
+    return [known[block.element] for block in page]
+
+
 @dataclass
 class _Reader:
     blocks: list[Block] = field(default_factory=list)
-    open: list[tuple[str, str]] = field(default_factory=list)
-    opened: Counter = field(default_factory=Counter)
-    inline: list[str] = field(default_factory=list)
+    open: list[Element] = field(default_factory=list)
+    # Where the open elements of a name are in ``open``, and how many elements in a line are open.
+    places: defaultdict[str, list[int]] = field(default_factory=lambda: defaultdict(list))
+    inline: Counter = field(default_factory=Counter)
     parts: list[str] = field(default_factory=list)
     linked: int = 0
     hidden: int = 0
@@ -82,29 +109,29 @@ class _Reader:
     within: Counter = field(default_factory=Counter)
 
     def text(self, piece: str, raw: bool = False) -> None:
-        if self.open and self.open[-1][0] == "head" and piece.strip(" \t\n\f\r"):
+        if self.open and self.open[-1].name == "head" and piece.strip(" \t\n\f\r"):
             self._end_head()
         if piece and not self.hidden and not (self.foreign and not self.foreign[-1][1]):
             piece = unescape(piece) if "&" in piece and not raw else piece
             self.parts.append(piece)
-            if "a" in self.inline:
+            if self.inline["a"]:
                 self.linked += len(piece)
 
     def cut(self) -> None:
         if self.parts:
             text = _SPACE.sub(" ", "".join(self.parts)).strip()
             if text:
-                self.blocks.append(Block(tuple(d for _, d in self.open[-DEPTH:]), text, min(self.linked, len(text))))
+                self.blocks.append(Block(self.open[-1] if self.open else None, text, min(self.linked, len(text))))
             self.parts, self.linked = [], 0
 
     def _end_head(self) -> None:
         self.cut()
-        while self.open and self.open[-1][0] == "head":
+        while self.open and self.open[-1].name == "head":
             self._pop()
 
     def raw(self, name: str, rest: str, text: str) -> None:
         """An element of raw text."""
-        if name not in IN_HEAD and self.open and self.open[-1][0] == "head":
+        if name not in IN_HEAD and self.open and self.open[-1].name == "head":
             self._end_head()
         if name in SHOWN_RAW:
             self.start(name, rest)
@@ -137,7 +164,7 @@ class _Reader:
         return True
 
     def start(self, name: str, rest: str) -> None:
-        if self.open and self.open[-1][0] == "head" and name not in IN_HEAD:
+        if self.open and self.open[-1].name == "head" and name not in IN_HEAD:
             self._end_head()
         if self.foreign and name in BREAKOUT and not self.foreign[-1][3]:
             self._break_out()
@@ -151,12 +178,12 @@ class _Reader:
                 self.cut()
             return
         if name in INLINE:
-            self.inline.append(name)
+            self.inline[name] += 1
             return
         self.cut()
         self._end_open(name)
-        self.open.append((name, _described(name, rest)))
-        self.opened[name] += 1
+        self.places[name].append(len(self.open))
+        self.open.append(Element(name, _words(name, rest), self.open[-1] if self.open else None, len(self.open) + 1))
         if name in HIDDEN:
             self.hidden += 1
 
@@ -165,22 +192,18 @@ class _Reader:
             self.within[self.foreign.pop()[0]] -= 1
 
     def _end_open(self, name: str) -> None:
-        if self.open and self.open[-1][0] == "p":
+        if self.open and self.open[-1].name == "p":
             self._pop()
         if name not in ENDS:
             return
-        ends, until = ENDS[name]
-        for at in range(len(self.open) - 1, -1, -1):
-            if self.open[at][0] in until:
-                return
-            if self.open[at][0] in ends:
-                while len(self.open) > at:
-                    self._pop()
-                return
+        ends, until = (max((self.places[n][-1] for n in names if self.places[n]), default=-1) for names in ENDS[name])
+        if ends > until:
+            while len(self.open) > ends:
+                self._pop()
 
     def _pop(self) -> None:
-        name, _ = self.open.pop()
-        self.opened[name] -= 1
+        name = self.open.pop().name
+        self.places[name].pop()
         self.inline.clear()
         if name in HIDDEN:
             self.hidden -= 1
@@ -190,30 +213,35 @@ class _Reader:
             if self._close_foreign(name):
                 return
             # The end of an element around the drawing ends the drawing; any other has no effect.
-            if not self.opened[name] and name not in self.inline:
+            if not self.places[name] and not self.inline[name]:
                 return
             self.foreign.clear()
             self.within.clear()
         if name in INLINE:
-            for at in range(len(self.inline) - 1, -1, -1):
-                if self.inline[at] == name:
-                    del self.inline[at]
-                    break
+            if self.inline[name]:
+                self.inline[name] -= 1
             return
         self.cut()
-        if self.opened[name]:
-            while self.open[-1][0] != name:
+        if self.places[name]:
+            while self.open[-1].name != name:
                 self._pop()
             self._pop()
 
 
-@lru_cache(maxsize=20_000)
 def _described(name: str, rest: str) -> str:
     """An element's name and the words of its class, id and role: ``div content main``."""
     words = [p.lower() for m in _NAMES.finditer(rest) for p in _PARTS.findall(m[1] or m[2] or m[3] or "")]
     return " ".join([name, *dict.fromkeys(words)])
 
 
+_remembered = lru_cache(maxsize=20_000)(_described)
+
+
+def _words(name: str, rest: str) -> str:
+    """``_described``, remembered unless it is long."""
+    return _remembered(name, rest) if len(rest) < 500 else _described(name, rest)
+
+
 def blocks(html: str) -> list[Block]:
     """The blocks of a page in order. Text of a block has one space for any white space.
 
@@ -225,9 +253,8 @@ def blocks(html: str) -> list[Block]:
     while (sign := html.find("<", at)) >= 0:
         after = html[sign + 1 : sign + 4]
         if after == "!--":
-            end = html.find("-->", sign + 4)
             reader.text(html[at:sign])
-            at = len(html) if end < 0 else end + 3
+            at = _comment_end(html, sign + 4)
             continue
         if after[:1] in ("!", "?"):
             end = html.find(">", sign)
@@ -255,6 +282,15 @@ def blocks(html: str) -> list[Block]:
     return reader.blocks
 
 
+def _comment_end(html: str, at: int) -> int:
+    """Behind a comment whose text begins at ``at``; some comments end before they have any."""
+    for early in (">", "->"):
+        if html.startswith(early, at):
+            return at + len(early)
+    end = _COMMENT_END.search(html, at)
+    return end.end() if end else len(html)
+
+
 @lru_cache(maxsize=64)
 def _end_tag(name: str) -> re.Pattern:
     return re.compile(rf"</{name}\b[^>]*>", re.I)
@@ -286,18 +322,26 @@ def _signs(word: str, size: int) -> np.ndarray:
     return np.random.default_rng(zlib.crc32(word.encode())).choice([-1.0, 1.0], size).astype(np.float32) / np.sqrt(size)
 
 
-@lru_cache(maxsize=20_000)
-def _path_vector(path: tuple[str, ...]) -> np.ndarray:
-    """Sum of the directions of all words on the path, and of those of the innermost element."""
+def _element_vector(described: str) -> np.ndarray:
+    """Sums of the directions of an element's words: for the path it is on, and for it as the innermost."""
     out = np.zeros(PATH_SIZE + LEAF_SIZE, np.float32)
-    for element in path:
-        for word in element.split(" ")[:8]:
-            out[:PATH_SIZE] += _signs(word, PATH_SIZE)
-    for word in (path[-1] if path else "").split(" ")[:8]:
+    for word in described.split(" "):
+        out[:PATH_SIZE] += _signs(word, PATH_SIZE)
         out[PATH_SIZE:] += _signs(word, LEAF_SIZE)
     return out
 
 
+_remembered_vector = lru_cache(maxsize=20_000)(_element_vector)
+
+
+def _on_path(outer: np.ndarray, element: Element) -> np.ndarray:
+    """The sum over all elements of a path, and the vector of the innermost."""
+    known = _remembered_vector if len(element.described) < 500 else _element_vector
+    out = known(element.described).copy()
+    out[:PATH_SIZE] += outer[:PATH_SIZE]
+    return out
+
+
 def describe(page: list[Block]) -> np.ndarray:
     """A row of numbers per block: tag path, innermost element, hashed words, plain counts."""
     out = np.zeros((len(page), SIZE), np.float32)
@@ -309,15 +353,17 @@ def describe(page: list[Block]) -> np.ndarray:
     row = np.repeat(np.arange(len(page)), counts)
     words = np.bincount(row * WORD_SIZE + flat, minlength=len(page) * WORD_SIZE).reshape(len(page), WORD_SIZE)
     lengths = np.array([len(b.text) for b in page], np.float32)
-    for i, block in enumerate(page):
-        out[i, : PATH_SIZE + LEAF_SIZE] = _path_vector(block.path)
+    # The text outside of all elements has the direction of the empty word, as innermost.
+    outside = np.concatenate([np.zeros(PATH_SIZE, np.float32), _signs("", LEAF_SIZE)])
+    for i, vector in enumerate(along_paths(page, outside, _on_path)):
+        out[i, : PATH_SIZE + LEAF_SIZE] = vector
     out[:, PATH_SIZE + LEAF_SIZE : -PLAIN_SIZE] = words / np.sqrt(np.maximum(1, counts))[:, None]
     out[:, -8] = np.log1p(lengths) / 5
     out[:, -7] = np.log1p(counts) / 4
     out[:, -6] = [b.linked / len(b.text) for b in page]
     out[:, -5] = [b.text[-1] in ".!?…»”\"'" for b in page]
     out[:, -4] = [any(c in b.text for c in "©®|·") for b in page]
-    out[:, -3] = [min(8, len(b.path)) / 8 for b in page]
+    out[:, -3] = [min(8, b.element.depth if b.element else 0) / 8 for b in page]
     out[:, -2] = np.arange(len(page)) < 3
     out[:, -1] = np.arange(len(page))[::-1] < 3
     return out

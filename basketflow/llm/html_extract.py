@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import io
 import pickle
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from html import escape
 
@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketflow.llm.common import annotate, heavy_hash, table, utf8
-from basketflow.llm.html_blocks import SIZE, Block, blocks, describe
+from basketflow.llm.html_blocks import SIZE, Block, Element, along_paths, blocks, describe
 from basketflow.session import materialize
 
 HIDDEN = 24
@@ -34,6 +34,8 @@ TRAIN_BLOCKS = 120
 # Text that a page lends to the layouts, and of it one block.
 LENT_CHARS = 50_000
 LENT_BLOCK_CHARS = 2_000
+# Words of a block that is taken for a sentence of an article where no element says so.
+SENTENCE_WORDS = 8
 # First draw of pages for each that is wanted, and how much wider each further draw is.
 DRAW, WIDER = 2, 16
 LAYOUTS = 4
@@ -81,12 +83,15 @@ _MARK = ""
 
 def weak_labels(page: list[Block]) -> np.ndarray:
     """1 for blocks in an article or main element with nothing else's element or word on the path inside."""
-    out = np.zeros(len(page), np.float32)
-    for i, block in enumerate(page):
-        names = [p.split(" ") for p in block.path]
-        inside = [k for k, n in enumerate(names) if n[0] in ARTICLE]
-        out[i] = bool(inside) and not any(OTHER.intersection(n) for n in names[inside[0] :])
-    return out
+    return np.array([state == 1 for state in along_paths(page, 0, _in_article)], np.float32)
+
+
+def _in_article(state: int, element: Element) -> int:
+    """0 outside of an article, 1 in it, 2 in something else inside it."""
+    words = element.described.split(" ")
+    if state == 0 and words[0] not in ARTICLE:
+        return 0
+    return 2 if state == 2 or OTHER.intersection(words) else 1
 
 
 class _Layout:
@@ -204,7 +209,7 @@ class Lesson:
     others: list[str]
 
     def size(self) -> int:
-        return sum(len(labels) for _, labels in self.parts)
+        return sum(len(labels) for _, labels in self.parts) or len(self.article)
 
 
 def _parts(labels: np.ndarray) -> list[tuple[int, int]]:
@@ -242,13 +247,29 @@ def lesson(html: str) -> Lesson | None:
     described, parts = describe(page), _parts(labels)
     chosen = [i for start, stop in parts for i in range(start, stop)]
     article = [page[i] for i in chosen if labels[i]]
-    head = article[0].path[-1].split(" ")[0] in ("h1", "h2")
+    head = article[0].element.name in ("h1", "h2")
     title, rest = (article[0].text[:LENT_BLOCK_CHARS], article[1:]) if head else ("", article)
     texts = _lent([b.text for b in rest[:TRAIN_BLOCKS]], LENT_CHARS)
     others = _lent([page[i].text for i in chosen if not labels[i]], LENT_CHARS)
     return Lesson([(described[a:b].copy(), labels[a:b].copy()) for a, b in parts], title, texts, others)
 
 
+def plain_lesson(html: str) -> Lesson | None:
+    """What a page without article elements lends to the layouts: its sentences, or any text, as an article's.
+
+    Its own blocks have no labels and teach nothing as they stand.
+    """
+    page = blocks(html)
+    if not page:
+        return None
+    told = [len(b.text.split()) >= SENTENCE_WORDS and 3 * b.linked < len(b.text) and b.text[-1] in ".!?…»”\"'" for b in page]
+    if not any(told):
+        told = [True] * len(page)
+    article = [b.text for b, t in zip(page, told, strict=True) if t][:TRAIN_BLOCKS]
+    others = [b.text for b, t in zip(page, told, strict=True) if not t][:TRAIN_BLOCKS]
+    return Lesson([], "", _lent(article, LENT_CHARS), _lent(others, LENT_CHARS))
+
+
 def training_set(pages: list[str], layouts: int = LAYOUTS, seed: int = SEED) -> list[tuple[np.ndarray, np.ndarray]]:
     """Described blocks and labels of the pages that teach."""
     return examples([found for p in pages if (found := lesson(p))], layouts, seed)
@@ -396,14 +417,18 @@ def extract(pages: list[str], w: dict[str, np.ndarray]) -> list[str]:
     return ["\n\n".join(b.text for b, p in zip(page, chance, strict=True) if p >= 0.5) for page, chance in zip(cut, chances, strict=True)]
 
 
-def _lessons(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _lessons(teach: Callable[[str], Lesson | None]) -> Callable:
     """What each page that teaches anything teaches."""
-    for batch in batches:
-        for mark, body in zip(batch.column("mark").to_pylist(), batch.column("body"), strict=True):
-            found = lesson(body.as_py().decode("utf-8", "replace"))
-            if found:
-                stored = pa.array([pickle.dumps(found)], pa.binary())
-                yield pa.RecordBatch.from_arrays([pa.array([mark], pa.int64()), stored], ["mark", "lesson"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for mark, body in zip(batch.column("mark").to_pylist(), batch.column("body"), strict=True):
+                found = teach(body.as_py().decode("utf-8", "replace"))
+                if found:
+                    stored = pa.array([pickle.dumps(found)], pa.binary())
+                    yield pa.RecordBatch.from_arrays([pa.array([mark], pa.int64()), stored], ["mark", "lesson"])
+
+    return run
 
 
 def _train_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -421,7 +446,7 @@ def _train_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([stored.getvalue()], pa.binary())], ["weights"])
 
 
-def _sample(marked: DataFrame, rows: int) -> DataFrame:
+def _sample(marked: DataFrame, rows: int, teach: Callable[[str], Lesson | None]) -> DataFrame:
     """What the first ``rows`` pages that teach, by their mark, teach.
 
     Pages are drawn by their mark, too, and more of them, in the end all, until enough of them teach.
@@ -429,7 +454,7 @@ def _sample(marked: DataFrame, rows: int) -> DataFrame:
     share = DRAW * rows / max(1, marked.count())
     while True:
         drawn = marked.filter(F.col("mark") < share * float(1 << 62)) if share < 1 else marked
-        taught = drawn.mapInArrow(_lessons, "mark long, lesson binary")
+        taught = drawn.mapInArrow(_lessons(teach), "mark long, lesson binary")
         found = materialize(taught.orderBy("mark").limit(rows), "lessons")
         if share >= 1 or found.count() >= rows:
             return found
@@ -439,18 +464,20 @@ def _sample(marked: DataFrame, rows: int) -> DataFrame:
 def fit(pages: DataFrame, page_id: str = "page_id", html: str = "html", rows: int = TRAIN_PAGES) -> dict[str, np.ndarray]:
     """Weights learned in one task from the first ``rows`` pages by a hash whose article is told by their elements.
 
-    All pages, of any length, are in the draw; long ones teach by parts of bounded size. A table with
-    pages of which none can teach is an error: its labels would be chance. Without any page the
-    weights are those of the start.
+    All pages, of any length, are in the draw; long ones teach by parts of bounded size. If no page
+    of the table has text in an article or main element, it learns from new layouts of the table's
+    own sentences alone. If no page has any text, the weights are those of the start, with which
+    there is nothing to label.
     """
     marked = pages.select(utf8(html).alias("body"), heavy_hash(F.col(page_id).cast("string"), F.col(html)).alias("mark"))
     marked = marked.filter(F.octet_length("body") > 0)
-    sample = _sample(marked, rows).repartition(1).sortWithinPartitions("mark")
-    learned = sample.mapInArrow(_train_task, "weights binary").first()
-    if learned is None:
-        if marked.isEmpty():
-            return start_weights()
-        raise ValueError("no page has text in an article or main element: fit on pages that have, and pass the weights to main_text")
+    for teach in (lesson, plain_lesson):
+        sample = _sample(marked, rows, teach).repartition(1).sortWithinPartitions("mark")
+        learned = sample.mapInArrow(_train_task, "weights binary").first()
+        if learned is not None:
+            break
+    else:
+        return start_weights()
     with np.load(io.BytesIO(bytes(learned["weights"]))) as stored:
         return {k: stored[k] for k in stored.files}
 

@@ -1,3 +1,5 @@
+import time
+
 import numpy as np
 import pytest
 
@@ -130,10 +132,15 @@ def test_long_pages_teach(spark):
     assert found.size() <= 2 * H.TRAIN_BLOCKS and all(0 < len(y) <= H.TRAIN_BLOCKS for _, y in found.parts)
 
 
-def test_nothing_to_learn_from_is_an_error(spark):
-    pages = spark.createDataFrame([(i, _page(i, "div")) for i in range(5)], "page_id long, html string")
-    with pytest.raises(ValueError, match="article or main"):
-        H.fit(pages)
+def test_tables_without_article_elements_learn_from_layouts(spark):
+    rows = [(i, _page(i, "div")) for i in range(40)] + [(40, "<p>x"), (41, None), (42, "<!-- no -->")]
+    pages = spark.createDataFrame(rows, "page_id long, html string")
+    got = {r["doc"]["page_id"]: r["text"] for r in H.main_text(pages, H.fit(pages)).collect()}
+    assert len(got) == len(rows) and got[41] == got[42] == ""
+    told = [got[i] for i in range(40)]
+    assert sum(t.count("longer story") == 3 for t in told) >= 36 and sum("Imprint" in t for t in told) <= 4
+    bare = spark.createDataFrame([(1, "<br>"), (2, "")], "page_id long, html string")
+    assert all((w == H.start_weights()[k]).all() for k, w in H.fit(bare).items())
 
 
 @pytest.mark.parametrize(
@@ -148,6 +155,9 @@ def test_nothing_to_learn_from_is_an_error(spark):
         ("<p>a <math><semantics><mi>x</mi><annotation>no</annotation></semantics></math> b</p>", ["a x b"]),
         ("<p>a</p><xmp><b>1 &amp; 2</b></xmp><p>c", ["a", "<b>1 &amp; 2</b>", "c"]),
         ("<p>a</p><plaintext><b>c</plaintext>", ["a", "<b>c</plaintext>"]),
+        ("<p>a</p><!--><p>b</p>", ["a", "b"]),
+        ("<p>a<!--->b<!-- no --!>c<!---->d<!-- -- > no -->e", ["abcde"]),
+        ("<ul><li>a<ul><li>b<div><li>c</ul><li>d</ul>", ["a", "b", "c", "d"]),
         ("<p>a <svg><title>no</title><desc>no</desc><path d='x'/>no<text x=1>in <tspan>it</tspan></text></svg> b</p>", ["a in it b"]),
         ("<p>a <svg viewBox='0 0'><style/><g><path/></g></svg> b</p>", ["a b"]),
         ("<p>a <svg/> b <svg><defs><text>no</text></defs></svg>c</p><p>d", ["a b c", "d"]),
@@ -164,3 +174,34 @@ def test_all_that_is_shown_is_cut(html, want):
 def test_hostile_drawings_take_linear_time():
     for page in ("<svg><foreignObject>" * 50_000 + "</div>" * 50_000, "<svg>" + "<g>" * 50_000 + "</path>" * 50_000, "<head>" * 50_000 + "x"):
         blocks(page)
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<a>" * 90_000 + "</b>" * 90_000,
+        "<b>" * 60_000 + "<a>" * 60_000 + "</b>" * 60_000,
+        "<div>" * 40_000 + "<li></li>" * 40_000,
+        "<li><ul>" + "<div>" * 40_000 + "<li></li>" * 40_000,
+        "<div>" * 30_000 + "<p>x</p>" * 30_000,
+        "<a href=x>" * 50_000 + "x" + "<i>y</i>" * 50_000,
+        "<!-->" * 200_000,
+        "<!--" * 250_000,
+        '<div class="' + "word " * 200_000 + '">x',
+    ],
+)
+def test_a_megabyte_of_hostile_tags(page):
+    began = time.time()
+    found = blocks(page)
+    H.weak_labels(found), describe(found)
+    assert time.time() - began < 4
+
+
+def test_paths_count_however_deep():
+    sentence = "<p>A sentence in the middle of it all.</p>"
+    deep = "<article>" + "<div>" * 400 + sentence + "</div>" * 400 + "</article>"
+    assert H.weak_labels(blocks(deep)).tolist() == [1.0]
+    assert H.weak_labels(blocks(f"<article><nav>{'<div>' * 400}{sentence}")).tolist() == [0.0]
+    words = " ".join(f"w{chr(97 + i)}" for i in range(20))
+    far, near = (describe(blocks(f'<div class="{c}">{sentence}</div>')) for c in (words, words + " sidebar"))
+    assert not np.array_equal(far, near)

@@ -48,6 +48,7 @@ ISLANDS = 3
 MEMBERS = 6
 EPOCHS = 3
 GENERATIONS = 16
+MOST_TASKS = 2_000
 
 # Pre-tokens whose ids a worker remembers; characters of a text that are cut at a time.
 REMEMBERED = 300_000
@@ -362,16 +363,19 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
         return [(shard, np.array([m["length"] for m in members], "<i4").tobytes(), [m["row"] for m in members])]
 
     shards = materialize(_map(shards, arrays, kind), "shards")
+    # Islands are long work on few bytes: as many tasks as there are, not as many as their bytes fill.
+    tasks = min(n_shards * ISLANDS, MOST_TASKS)
     islands = shards.select(
         "shard",
         F.explode(F.sequence(F.lit(0), F.lit(ISLANDS - 1))).alias("island"),
         "sizes",
         F.lit(None).cast("array<binary>").alias("members"),
-    ).repartition("shard", "island")
+    ).repartition(tasks, "shard", "island")
     for epoch in range(EPOCHS):
         evolved = _evolved(islands, epoch, capacity, epoch == EPOCHS - 1)
         met = F.array_sort(F.array_distinct(F.flatten(F.collect_list("members")))).alias("members")
-        islands = evolved.groupBy("shard", "island").agg(F.first("sizes").alias("sizes"), met)
+        dealt = evolved.repartition(tasks, "shard", "island")
+        islands = dealt.groupBy("shard", "island").agg(F.first("sizes").alias("sizes"), met)
 
     def places(row: tuple) -> list[tuple]:
         shard, sizes, rows, packing = row

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from basketflow.functions.text import image_path, parse_id_list
 from basketflow.operators.filters import (
     ALL,
+    SHALLOW,
     between_dates,
     contains_text,
     equals_unless_all,
@@ -56,7 +57,7 @@ def demographics_by(demographics: DataFrame, column: str, with_purchases: bool =
     return demographics.filter(F.col(column).isNotNull()).groupBy(column).agg(*measures).orderBy(column)
 
 
-def _period(granularity: str):
+def period_of(granularity: str) -> Column:
     if granularity == "daily":
         return F.col("date")
     # The ISO week starts on Monday, so the days around New Year stay in one week.
@@ -71,7 +72,7 @@ def time_series_rollup(daily: DataFrame, granularity: str = "daily", start: Day
     """
     return (
         between_dates(daily, "date", start, end)
-        .groupBy(_period(granularity).alias("period"))
+        .groupBy(period_of(granularity).alias("period"))
         .agg(
             F.min("date").alias("date"),
             F.sum("num_transactions").alias("num_transactions"),
@@ -90,7 +91,7 @@ def time_series_exact(
 ) -> DataFrame:
     """The same periods from the purchases, with exact distinct counts and mean."""
     dated = between_dates(transactions, "t_dat", start, end).withColumn("date", F.col("t_dat"))
-    periods = period_sales(dated.withColumn("period", _period(granularity)), "period")
+    periods = period_sales(dated.withColumn("period", period_of(granularity)), "period")
     return periods.drop("period").withColumnRenamed("first_date", "date").orderBy("date")
 
 
@@ -129,7 +130,7 @@ def product_explorer(
         F.coalesce("unique_customers", F.lit(0).cast("long")).alias("unique_customers"),
     )
     order = [(F.col("num_transactions"), True), (F.col("article_id"), False)]
-    return page_of(rows, order, page, page_size), page_counts(listed, page_size)
+    return page_of(rows, order, page, page_size, shallow=SHALLOW), page_counts(listed, page_size)
 
 
 def transactions_with_articles(transactions: DataFrame, articles: DataFrame, max_bytes: int | None = None) -> DataFrame:
@@ -172,7 +173,8 @@ def transaction_lookup(
     # Whether a purchase is listed needs the ids of the chosen articles only, or no join at all.
     restricted = any(choice not in (None, ALL) for choice in (category, department))
     counted = rows_with_ids(bought, listed, "article_id") if restricted or not known_articles else bought
-    return page_of(rows, order, page, page_size), page_counts(counted, page_size)
+    # Day and id of a listed purchase are known without its article's names.
+    return page_of(rows, order, page, page_size, counted, SHALLOW), page_counts(counted, page_size)
 
 
 def customer_list(
@@ -182,7 +184,7 @@ def customer_list(
         "customer_id", "age_bin", "club_member_status", "fashion_news_frequency", "total_spent", "num_purchases"
     )
     order = [(F.round("total_spent", 4), True), (F.col("customer_id"), False)]
-    return page_of(rows, order, page, page_size), page_counts(rows, page_size)
+    return page_of(rows, order, page, page_size, shallow=SHALLOW), page_counts(rows, page_size)
 
 
 def filter_options(articles: DataFrame) -> DataFrame:

@@ -81,14 +81,14 @@ def eval_report(predictions: DataFrame, pairs: DataFrame, k: int = TOP_K) -> Dat
 def model_comparison(predictions: DataFrame, pairs: DataFrame, ensemble: str, k: int = TOP_K) -> DataFrame:
     """Models by MAP, the best flagged, and what the ensemble gains over the best base model.
 
-    Scores are rounded before they are compared, so the order of a floating sum flags no model.
+    Scores are rounded before they are ranked, so the order of a floating sum flags no model; the
+    gain is taken from the scores themselves.
     """
-    rounded = F.round(f"map_at_{k}", SCORE_DIGITS).alias("map")
-    scores = map_at_k(predictions, pairs, (k,)).select("model_name", rounded)
+    scores = map_at_k(predictions, pairs, (k,)).select("model_name", F.col(f"map_at_{k}").alias("map"))
     best_base = F.max(F.when(F.col("model_name") != ensemble, F.col("map")))
     # Windows without a partition: one row per model, a handful in all.
     everything = Window.partitionBy()
-    place = Window.orderBy(F.col("map").desc())
+    place = Window.orderBy(F.round("map", SCORE_DIGITS).desc())
     base = best_base.over(everything)
     gain = F.when((F.col("model_name") == ensemble) & (F.col("base") > 0), 100.0 * (F.col("map") - F.col("base")) / F.col("base"))
     return (

@@ -56,7 +56,15 @@ class _Part:
     filters: list[Column] = field(default_factory=list)
 
 
-def _rank(value) -> tuple:
+def between_values(column: Column, descending: bool, first, last) -> Column:
+    """Whether a value is neither before ``first`` nor behind ``last`` in the order of the column."""
+    low, high = (last, first) if descending else (first, last)
+    above = F.lit(True) if low is None else F.coalesce(column >= F.lit(low), F.lit(False))
+    below = column.isNull() if high is None else F.coalesce(column <= F.lit(high), F.lit(low is None))
+    return above & below
+
+
+def in_order(value) -> tuple:
     """Values in Spark's order: missing ones first, NaN after all numbers."""
     if value is None:
         return (0,)
@@ -71,7 +79,7 @@ def few_keys(table: DataFrame, order: Order, sample_rows: int = SAMPLE_ROWS) ->
         return None
     rows = [tuple(r) for r in some]
     for i, (_, descending) in reversed(list(enumerate(order))):
-        rows.sort(key=lambda r, i=i: _rank(r[i]), reverse=descending)
+        rows.sort(key=lambda r, i=i: in_order(r[i]), reverse=descending)
     return rows
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -11,12 +12,13 @@ from basketflow.config import PairSampling
 from basketflow.functions import encoding
 from basketflow.functions.encoding import FEATURES
 from basketflow.functions.sampling import portable_hash
-from basketflow.operators import dashboard, evaluate, labels, pairs, recommend, sequences
-from basketflow.plans import evaluation, propensity, scoring
+from basketflow.operators import contexts, dashboard, evaluate, labels, pairs, recommend, sequences
+from basketflow.plans import deployment, evaluation, neural, propensity, scoring
+from basketflow.plans.model_registry import ModelRegistry
 from basketflow.registry import models
 from basketflow.registry.common import E_CUTS, MODELS, Inputs, as_text, query, r4, rounded, sql, truth_sql
 from basketflow.registry.rows import ARTICLE_CODES, CUSTOMER_CODES
-from basketflow.session import materialize
+from basketflow.session import materialize, scratch_path
 
 _VAL = truth_sql("2024-01-15", "2024-01-22")
 _TEST = truth_sql("2024-01-22", "2024-01-29")
@@ -129,14 +131,62 @@ def model_comparison(x: Inputs) -> DataFrame:
     return found.withColumns({"map": r4("map", 6), "gain_pct": F.coalesce(r4("gain_pct"), F.lit(0.0))})
 
 
-def _age_model(ranked: DataFrame) -> scoring.Model:
-    return scoring.Model(
-        "age_rules",
-        "2",
-        "Champion",
-        lambda customers: recommend.age_rules_predict(customers, ranked, keep_empty=True),
-        ("customer_id", "age_group"),
+def _registered(x: Inputs) -> ModelRegistry:
+    """Versions fitted on the purchase events, some with aliases, in a table of their own."""
+    tables = {name: {"followers" if name == "next_item" else "ranked": df} for name, df in models.fitted(x).items()}
+    aged = ("customer_id", "age_group")
+    registry = ModelRegistry(x.spark, scratch_path(x.spark, "models"))
+    for top_k in ("5", "8", "12"):
+        registry.register("popularity", "popularity", tables["popularity"], params={"top_k": top_k})
+    for _ in range(2):
+        registry.register("age_rules", "age_rules", tables["age_rules"], aged)
+    registry.register("next_item", "next_item", tables["next_item"])
+    registry.register("purchase_propensity", "not a list", {})
+    registry.register("broken", "not known", {})
+    registry.set_alias("popularity", "champion", 3, None)
+    registry.set_alias("age_rules", "Champion", 2, None)
+    registry.set_alias("next_item", "Champion", 1, None)
+    registry.set_alias("purchase_propensity", "Challenger", 1, None)
+    registry.set_alias("broken", "Champion", 1, None)
+    return registry
+
+
+def _purchases(x: Inputs) -> dict[str, DataFrame]:
+    return {"purchases": x.e_train.select("customer_id", "article_id", "t_dat", "transaction_id")}
+
+
+@query(
+    "model_deployment",
+    sql(
+        MODELS,
+        _VAL,
+        """scores AS (
+  SELECT v AS version, kind, round(CASE kind WHEN 'age_rules' THEN (SELECT avg(coalesce(ap12, 0)) FROM bought b
+      LEFT JOIN (SELECT * FROM ap WHERE model_name = 'age_rules') a USING (customer_id))
+    ELSE (SELECT avg(ap12) FROM ap WHERE model_name = kind) END, 9) AS score
+  FROM (VALUES (1, 'age_rules'), (2, 'next_item'), (3, 'popularity')) AS t(v, kind)),
+best AS (
+  SELECT *, max(score) OVER (ORDER BY version ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM scores),
+passing AS (SELECT *, before IS NULL OR score > before AS passed FROM best)""",
+        select="""SELECT CAST(version AS INTEGER) AS version, kind, round(score + 1e-9, 6) AS map_at_12, passed,
+        CAST(max(CASE WHEN passed THEN version END) OVER (ORDER BY version ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS INTEGER) AS champion_before,
+        CASE WHEN version = max(CASE WHEN passed THEN version END) OVER () THEN 'Champion' ELSE '' END AS aliases FROM passing""",
+    ),
+)
+def model_deployment(x: Inputs) -> DataFrame:
+    """Three versions of one model go through the gate one after the other; the table afterwards."""
+    fitted, sources = models.fitted(x), _purchases(x)
+    registry = ModelRegistry(x.spark, scratch_path(x.spark, "deployments"))
+    registry.register("recommender", "age_rules", {"ranked": fitted["age_rules"]}, ("customer_id", "age_group"))
+    registry.register("recommender", "next_item", {"followers": fitted["next_item"]})
+    registry.register("recommender", "popularity", {"ranked": fitted["popularity"]})
+    made = [deployment.deploy(registry, "recommender", v, sources, x.e, x.segments, E_CUTS) for v in (1, 2, 3)]
+    decisions = x.spark.createDataFrame(
+        [(d.candidate, d.candidate_score, d.moved, d.champion) for d in made],
+        "version int, map_at_12 double, passed boolean, champion_before int",
     )
+    found = registry.table().join(decisions, "version").withColumn("map_at_12", r4("map_at_12", 6))
+    return found.select("version", "kind", "map_at_12", "passed", "champion_before", F.concat_ws(" ", "aliases").alias("aliases"))
 
 
 @query(
@@ -156,27 +206,14 @@ seen AS (
     ),
 )
 def deployment_evaluation(x: Inputs) -> DataFrame:
-    report = evaluation.deployment_evaluation(_age_model(models.segment_lists(x)), x.e, x.segments, E_CUTS, "test")
+    registry = _registered(x)
+    champion = registry.model("age_rules", registry.current("age_rules", "Champion"))
+    report = evaluation.deployment_evaluation(champion, x.e, x.segments, E_CUTS, "test")
     return report.withColumns({c: r4(c, 6) for c in ("map_at_12", "map_at_5", "catalog_coverage")})
 
 
 def _scored(x: Inputs) -> tuple[DataFrame, DataFrame]:
-    fitted = models.fitted(x)
-    popularity, followers = fitted["popularity"], fitted["next_item"]
-    known = x.e_train.select("customer_id", "article_id", "t_dat", "transaction_id")
-
-    def next_items(customers: DataFrame) -> DataFrame:
-        lists = recommend.next_item_recommend(known, followers)
-        return customers.join(lists, "customer_id")
-
-    registered = [
-        scoring.Model("popularity", "1", None, lambda c: recommend.popularity_predict(c, popularity, 5)),
-        scoring.Model("popularity", "3", "champion", lambda c: recommend.popularity_predict(c, popularity)),
-        _age_model(fitted["age_rules"]),
-        scoring.Model("next_item", "1", "Champion", next_items),
-        scoring.Model("purchase_propensity", "1", "Challenger", lambda c: c),
-        scoring.Model("broken", "7", "Champion", lambda c: c.select("no_such_column")),
-    ]
+    registered = _registered(x).models(_purchases(x))
     return scoring.batch_scoring(x.segments, registered, "20240108_000000", "2024-01-08 00:00:00")
 
 
@@ -349,6 +386,43 @@ def pad_encode_sequences(x: Inputs) -> DataFrame:
     return found.withColumn("encoded", as_text("encoded"))
 
 
+_HISTORIES = """
+histories AS (
+  SELECT customer_id, list(article_id ORDER BY back DESC) AS s, any_value(n) AS n FROM (
+    SELECT customer_id, article_id, row_number() OVER (PARTITION BY customer_id ORDER BY t_dat DESC, transaction_id DESC) AS back,
+      count(*) OVER (PARTITION BY customer_id) AS n FROM e_train)
+  WHERE back <= 11 GROUP BY customer_id),
+steps AS (SELECT s, unnest(range(1, len(s) + 1)) AS i FROM histories WHERE n >= 2),
+examples AS (SELECT *, unnest(range(0, least(i - 1, 10) + 1)) AS o FROM steps),
+followers AS (
+  SELECT CASE WHEN o > 0 THEN s[i - o : i - 1] ELSE [] END AS ctx, s[i] AS article_id, count(*) AS c FROM examples GROUP BY ALL),
+contexts AS (SELECT ctx, sum(c) AS times, count(*) AS kinds FROM followers GROUP BY ctx),
+kept AS (SELECT * FROM followers QUALIFY row_number() OVER (PARTITION BY ctx ORDER BY c DESC, article_id) <= 12),
+ends AS (SELECT customer_id, s, unnest(range(0, least(len(s), 10) + 1)) AS o FROM histories),
+levels AS (
+  SELECT customer_id, o, times, kinds, ctx,
+    coalesce(product(CAST(kinds AS DOUBLE) / (times + kinds)) OVER (PARTITION BY customer_id ORDER BY o DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 1) AS share
+  FROM ends JOIN contexts ON ctx = CASE WHEN o > 0 THEN s[len(s) - o + 1 : len(s)] ELSE [] END),
+context_scores AS (
+  SELECT customer_id, article_id, round(sum(share * c / (times + kinds)), 12) AS score FROM levels JOIN kept USING (ctx) GROUP BY ALL),
+context_lists AS (
+  SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY score DESC, article_id) AS rank FROM context_scores QUALIFY rank <= 12)
+"""
+
+
+@query(
+    "sequence_recommend",
+    sql(
+        MODELS,
+        _HISTORIES,
+        select="""SELECT customer_id, string_agg(CAST(article_id AS VARCHAR), ' ' ORDER BY rank) AS predicted_articles
+        FROM context_lists GROUP BY customer_id""",
+    ),
+)
+def sequence_recommend(x: Inputs) -> DataFrame:
+    return _text_lists(contexts.sequence_recommend(x.e_train, contexts.fit(x.e_train)))
+
+
 @query(
     "article_attribute_lookup",
     sql(
@@ -464,3 +538,68 @@ def purchase_propensity(x: Inputs) -> DataFrame:
     _, report = propensity.train_propensity(train, val)
     missing = F.lit(None).cast("double")
     return fixed.unionByName(report.select("candidate", "num_pairs", missing.alias("accuracy"), missing.alias("log_loss")))
+
+
+# Weights of a small network (two hidden layers), as a fitted one would bring.
+_NETWORK = neural.Layers(
+    np.array([0.25, -0.125, 0.0, 0.5, 0.0, -0.25, 0.125, 0.0]),
+    [
+        np.array([[0.5, -0.25, 0.125], [0.25, 0.5, -0.5], [-0.125, 0.75, 0.25], [0.5, 0.0, 0.375], [0.0, -0.5, 0.25],
+                  [0.625, 0.125, -0.25], [-0.75, 0.25, 0.5], [0.125, -0.375, 0.0]]),
+        np.array([[0.5, -0.5], [-0.25, 0.75], [0.375, 0.125]]),
+        np.array([[0.75], [-0.5]]),
+    ],
+    [np.array([0.125, -0.25, 0.5]), np.array([0.0, 0.25]), np.array([-0.625])],
+)
+_NETWORK_EPOCHS = 2
+
+
+def _network_sql() -> str:
+    """The forward pass of ``_NETWORK`` over scaled pairs, layer by layer."""
+    def weighted(names: list[str], weights: list[float], offset: float) -> str:
+        return " + ".join([f"({offset})", *(f"({w}) * {n}" for n, w in zip(names, weights, strict=True))])
+
+    names, steps, source = list(FEATURES), [], "scaled_pairs"
+    carried = f"label, {weighted(names, _NETWORK.linear.tolist(), 0.0)} AS linear_part"
+    for layer, (matrix, offset) in enumerate(zip(_NETWORK.matrices, _NETWORK.offsets)):
+        last = layer == len(_NETWORK.matrices) - 1
+        made = [f"h{layer}_{j}" for j in range(matrix.shape[1])]
+        sums = [weighted(names, matrix[:, j].tolist(), offset[j]) for j in range(matrix.shape[1])]
+        columns = ", ".join(f"{s if last else f'greatest({s}, 0)'} AS {n}" for s, n in zip(sums, made))
+        steps.append(f"layer{layer} AS (SELECT {carried}, {columns} FROM {source})")
+        names, source, carried = made, f"layer{layer}", "label, linear_part"
+    return ", ".join([*steps, f"scored AS (SELECT label, 1 / (1 + exp(-({names[0]} + linear_part))) AS p FROM {source})"])
+
+
+_UNROUNDED = ", ".join(f"(v.{c} - s.mean_{c}) / CASE WHEN s.std_{c} > 0 THEN s.std_{c} ELSE 1 END AS {c}" for c in FEATURES)
+
+
+@query(
+    "neural_propensity",
+    sql(
+        CUSTOMER_CODES,
+        ARTICLE_CODES,
+        _TRAIN_PAIRS,
+        _VAL_PAIRS,
+        f"moments AS (SELECT {_MOMENTS} FROM tr_full)",
+        f"scaled_pairs AS (SELECT label, {_UNROUNDED} FROM va_full v, moments s)",
+        _network_sql(),
+        select=f"""SELECT 'fixed' AS step, count(*) AS num_pairs,
+        round(avg(CASE WHEN (p > 0.5) = (label = 1) THEN 1.0 ELSE 0.0 END) + 1e-9, 4) AS accuracy,
+        round(avg(-CASE WHEN label = 1 THEN ln(p) ELSE ln(1 - p) END) + 1e-9, 4) AS log_loss FROM scored
+        UNION ALL SELECT 'epoch ' || e, (SELECT count(*) FROM scored), CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE)
+        FROM range({_NETWORK_EPOCHS + 1}) AS t(e)""",
+    ),
+)
+def neural_propensity(x: Inputs) -> DataFrame:
+    """Quality of fixed weights on all validation pairs, and the pairs that each fitted epoch is judged on.
+
+    The losses of the fitted epochs depend on the order of floating sums and are left out here.
+    """
+    train, val = materialize(_pairs(x, x.e_train), "pairs"), materialize(_val_pairs(x), "val-pairs")
+    found = neural.forward_quality(pairs.standardize(train, val), _NETWORK)
+    fixed = found.select(F.lit("fixed").alias("step"), "num_pairs", r4("accuracy").alias("accuracy"), r4("log_loss").alias("log_loss"))
+    _, curve = neural.train_network(train, val, hidden=(16, 8), epochs=_NETWORK_EPOCHS, batches=2)
+    missing = F.lit(None).cast("double")
+    epoch = F.concat(F.lit("epoch "), F.col("epoch").cast("string")).alias("step")
+    return fixed.unionByName(curve.select(epoch, "num_pairs", missing.alias("accuracy"), missing.alias("log_loss")))

@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 
 from basketflow.functions import bands, dates, encoding, text
 from basketflow.functions.sampling import portable_hash
-from basketflow.operators import dashboard, features, filters, gold, labels, pairs, recommend
+from basketflow.operators import dashboard, features, filters, gold, labels, pairs, recommend, text_index
 from basketflow.registry import models
 from basketflow.registry.common import MODELS, SALES, T_CUTS, Inputs, as_text, query, r4, sql
+from basketflow.session import scratch_path
 
 # The same 40-bit hash in SQL.
 def _hash(seed: int, column: str) -> str:
@@ -120,6 +121,30 @@ def contains_search(x: Inputs) -> DataFrame:
     return x.articles.filter(filters.contains_text("ring", "prod_name", "detail_desc")).select("article_id", "prod_name")
 
 
+_SEARCHES = ("ring", "steel", "OLISHED BR", "Sec", "e", "no such text", "1%", "ss st")
+
+
+@query(
+    "indexed_search",
+    sql(
+        select=" UNION ALL ".join(
+            f"""SELECT '{s}' AS search, article_id, prod_name FROM articles
+            WHERE contains(prod_name, '{s}') OR contains(detail_desc, '{s}')"""
+            for s in _SEARCHES
+        )
+    ),
+)
+def indexed_search(x: Inputs) -> DataFrame:
+    """Several searched texts, one of them too short for the index, through one trigram index."""
+    path, columns = scratch_path(x.spark, "text-index"), ["prod_name", "detail_desc"]
+    text_index.write_index(x.articles, "article_id", columns, path)
+    parts = [
+        text_index.search_index(x.spark, path, "article_id", s, *columns).select(F.lit(s).alias("search"), "article_id", "prod_name")
+        for s in _SEARCHES
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 CUSTOMER_CODES = """
 customer_codes AS (
   SELECT customer_id, coalesce(age, 0) AS age, CAST(CASE WHEN FN = 0 THEN 0 ELSE 1 END AS INTEGER) AS is_subscribed,

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketflow.operators import dashboard, features, gold, labels, profile, recommend
+from basketflow.operators import bitmaps, dashboard, features, gold, labels, profile, recommend
 from basketflow.registry import models
 from basketflow.registry.common import (
     DAILY,
@@ -86,6 +86,29 @@ def time_series_exact(x: Inputs) -> DataFrame:
     return rounded(dashboard.time_series_exact(x.t, "weekly"), "total_revenue", "avg_transaction_value")
 
 
+_EXACT = """SELECT '{name}' AS granularity, min(t_dat) AS date, count(*) AS num_transactions, round(sum(price) + 1e-9, 4) AS total_revenue,
+  count(DISTINCT customer_id) AS unique_customers, count(DISTINCT article_id) AS unique_products,
+  round(avg(price) + 1e-9, 4) AS avg_transaction_value FROM t
+  WHERE t_dat BETWEEN DATE '1996-01-10' AND DATE '2001-06-20' GROUP BY {key}"""
+_PURCHASE_PERIODS = {"daily": "t_dat", "weekly": "date_trunc('week', t_dat)", "monthly": "date_trunc('month', t_dat)"}
+
+
+@query(
+    "time_series_from_state",
+    sql(select=" UNION ALL ".join(_EXACT.format(name=n, key=k) for n, k in _PURCHASE_PERIODS.items())),
+)
+def time_series_from_state(x: Inputs) -> DataFrame:
+    """The exact figures of three granularities from two daily states, the second with values the first has not."""
+    half = F.lit("1999-01-01").cast("date")
+    early, late = x.t.filter(F.col("t_dat") < half), x.t.filter(F.col("t_dat") >= half)
+    numbers = {name: bitmaps.value_numbers(early, column) for name, column in bitmaps.COUNTED.items()}
+    first = bitmaps.daily_state(early, numbers)
+    numbers = {name: bitmaps.value_numbers(late, column, numbers[name]) for name, column in bitmaps.COUNTED.items()}
+    state = bitmaps.merged([first, bitmaps.daily_state(late, numbers)])
+    parts = [bitmaps.time_series(state, g, "1996-01-10", "2001-06-20").withColumn("granularity", F.lit(g)) for g in _PURCHASE_PERIODS]
+    return rounded(reduce(DataFrame.unionByName, parts), "total_revenue", "avg_transaction_value")
+
+
 def _by(column: str, extra: str = "") -> str:
     return sql(
         DEMOGRAPHICS,

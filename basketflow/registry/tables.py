@@ -13,11 +13,11 @@ from basketflow.operators import features, gold, recommend
 from basketflow.operators.profile import row_counts
 from basketflow.registry import models
 from basketflow.registry.common import DAILY, DEMOGRAPHICS, MODELS, SALES, Inputs, query, r4, rounded, sql
-from basketflow.session import scratch_path
+from basketflow.session import materialize, scratch_path
 from basketflow.sources import files, keyed, schemas
 from basketflow.sources.namespace import Namespace, ensure_namespace
 from basketflow.sources.serving import ServingStore, verify_tables
-from basketflow.streaming.change_feed import change_feed
+from basketflow.streaming.change_feed import as_log, change_feed
 from basketflow.streaming.publish import refreshed, start_refresh
 
 
@@ -268,10 +268,37 @@ def _window_summary(bounds: str) -> str:
     ),
 )
 def change_feed_query(x: Inputs) -> DataFrame:
-    def snapshot(first: str, last: str) -> DataFrame:
-        rows = x.t.filter(F.col("t_dat").between(F.lit(first).cast("date"), F.lit(last).cast("date")))
-        return rows.groupBy("customer_id").agg(
-            F.count(F.lit(1)).alias("num_purchases"), r4(F.sum("price")).alias("total_spent")
-        )
+    before, after = _window(x, "2001-01-01", "2001-03-31"), _window(x, "2001-02-01", "2001-04-30")
+    return change_feed(before, after, ["customer_id"])
+
+
+def _window(x: Inputs, first: str, last: str) -> DataFrame:
+    rows = x.t.filter(F.col("t_dat").between(F.lit(first).cast("date"), F.lit(last).cast("date")))
+    return rows.groupBy("customer_id").agg(
+        F.count(F.lit(1)).alias("num_purchases"), r4(F.sum("price")).alias("total_spent")
+    )
+
+
+_WINDOWS = [("2001-01-01", "2001-03-31"), ("2001-02-01", "2001-04-30"), ("2001-03-01", "2001-05-31"), ("2001-04-01", "2001-06-30")]
 
-    return change_feed(snapshot("2001-01-01", "2001-03-31"), snapshot("2001-02-01", "2001-04-30"), ["customer_id"])
+
+@query(
+    "log_merge",
+    sql(select=f"SELECT * FROM {_window_summary("DATE '2001-04-01' AND DATE '2001-06-30'")}"),
+)
+def log_merge(x: Inputs) -> DataFrame:
+    """The last of four snapshots, rebuilt from the logs of changes between them, a batch each."""
+    key, version = ["customer_id"], ["version"]
+    snapshots = [materialize(_window(x, *w), "snapshot") for w in _WINDOWS]
+    source, target = scratch_path(x.spark, "log-in"), scratch_path(x.spark, "log-out")
+    before = snapshots[0].limit(0)
+    for number, after in enumerate(snapshots):
+        log = as_log(change_feed(before, after, key), F.lit(number), "version")
+        log.coalesce(1).write.mode("append").parquet(source)
+        before = after
+    stream = start_refresh(
+        x.spark, source, target, scratch_path(x.spark, "log-state"), log.schema, key, version,
+        files_per_batch=1, compact_every=3, change="change",
+    )
+    stream.awaitTermination()
+    return refreshed(x.spark, target, log.schema, key, version, "change").drop("version")

@@ -84,6 +84,33 @@ def list_folder(spark: SparkSession, path: str) -> list[str]:
     return sorted(f.getPath().getName() for f in store.listStatus(place)) if store.exists(place) else []
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    store, place = _files(spark, path)
+    out = store.create(place, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
+def file_text(spark: SparkSession, path: str) -> str:
+    """A small file's text."""
+    store, place = _files(spark, path)
+    stream = store.open(place)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def rename_folder(spark: SparkSession, path: str, target: str) -> bool:
+    """Rename a folder; where one is already, it stays, and the outcome depends on the store."""
+    store, place = _files(spark, path)
+    _, new = _files(spark, target)
+    store.mkdirs(new.getParent())
+    return store.rename(place, new)
+
+
 def replace_folder(spark: SparkSession, staged: str, target: str) -> None:
     """Put a finished folder in another's place: two renames, and the old one is deleted last."""
     store, new = _files(spark, staged)

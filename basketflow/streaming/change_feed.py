@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -28,3 +28,8 @@ def apply_changes(before: DataFrame, changes: DataFrame, keys: list[str]) -> Dat
     """The later snapshot from the earlier one and its change rows."""
     kept = before.join(changes.select(*keys), keys, "left_anti")
     return kept.unionByName(changes.filter("change <> 'delete'").drop("change"))
+
+
+def as_log(changes: DataFrame, version: Column, name: str = "version") -> DataFrame:
+    """Change rows as a batch of a log: every row carries the version of the later snapshot."""
+    return changes.withColumn(name, version)

@@ -13,6 +13,8 @@ from basketflow.session import delete_folder, list_folder, replace_folder
 from basketflow.sources.serving import ServingStore
 
 BATCH, SNAPSHOT = "refresh", "snapshot"
+# The column of a log that names the kind of change, and the kind that removes a key.
+CHANGE, DELETED = "change", "delete"
 # Batches that may wait to be merged; reads cost the snapshot and at most so many batches.
 COMPACT_EVERY = 8
 
@@ -28,6 +30,14 @@ def latest_per_key(df: DataFrame, keys: list[str], version: list[str]) -> DataFr
     return df.groupBy(*keys).agg(newest).select(*keys, "row.*")
 
 
+def merge_log(log: DataFrame, keys: list[str], version: list[str], change: str = CHANGE) -> DataFrame:
+    """The state after a log of insert, update and delete rows: the latest row per key, unless it is a delete.
+
+    Works on any part of a log put together with the state before it, in any order of rows.
+    """
+    return latest_per_key(log, keys, version).filter(F.col(change) != DELETED).drop(change)
+
+
 def start_refresh(
     spark: SparkSession,
     source: str,
@@ -40,9 +50,16 @@ def start_refresh(
     interval: str = "15 seconds",
     files_per_batch: int | None = None,
     compact_every: int = COMPACT_EVERY,
+    change: str | None = None,
+    keep_deletes: bool = False,
 ) -> StreamingQuery:
     """Feed new files of ``source`` into ``target``; TRIGGERED stops when it has caught up.
 
+    With ``change`` the files are a log: that column says insert, update or delete. A delete is kept as
+    a tombstone until the batch it came in is merged into the snapshot, or, with ``keep_deletes``, for
+    good: a source whose rows may come after later ones of their key needs that, as an old row behind a
+    forgotten delete would be taken for a new one.
+
     Each micro-batch reduces its rows to the latest per key and replaces the folder of its own batch
     number, so a batch that is replayed after a failure does not count twice. Every
     ``compact_every`` batches are merged into the snapshot, one row per key.
@@ -58,7 +75,7 @@ def start_refresh(
             return
         latest_per_key(batch, keys, version).write.mode("overwrite").parquet(_folder(target, BATCH, number))
         if len({*waiting, number}) >= compact_every:
-            compact(spark, target, schema, keys, version)
+            compact(spark, target, schema, keys, version, change, keep_deletes)
 
     writer = rows.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     if policy.upper() == "CONTINUOUS":
@@ -78,8 +95,23 @@ def _parts(spark: SparkSession, target: str) -> tuple[int, list[int]]:
     return done, sorted(n for n in numbers[BATCH] if n > done)
 
 
-def refreshed(spark: SparkSession, target: str, schema: T.StructType, keys: list[str], version: list[str]) -> DataFrame:
-    """Current state of a refreshed table, one row per key: the snapshot and the batches after it."""
+def refreshed(
+    spark: SparkSession,
+    target: str,
+    schema: T.StructType,
+    keys: list[str],
+    version: list[str],
+    change: str | None = None,
+) -> DataFrame:
+    """Current state of a refreshed table, one row per key: the snapshot and the batches after it.
+
+    A log's state is without its deleted keys and the column ``change``.
+    """
+    rows = _latest(spark, target, schema, keys, version)
+    return rows.filter(F.col(change) != DELETED).drop(change) if change else rows
+
+
+def _latest(spark: SparkSession, target: str, schema: T.StructType, keys: list[str], version: list[str]) -> DataFrame:
     done, waiting = _parts(spark, target)
     folders = [_folder(target, BATCH, n) for n in waiting]
     if done >= 0:
@@ -91,8 +123,16 @@ def refreshed(spark: SparkSession, target: str, schema: T.StructType, keys: list
     return latest_per_key(spark.read.schema(schema).parquet(*folders), keys, version).select(*schema.fieldNames())
 
 
-def compact(spark: SparkSession, target: str, schema: T.StructType, keys: list[str], version: list[str]) -> bool:
-    """Merge the waiting batches into the snapshot; whether there were any.
+def compact(
+    spark: SparkSession,
+    target: str,
+    schema: T.StructType,
+    keys: list[str],
+    version: list[str],
+    change: str | None = None,
+    keep_deletes: bool = False,
+) -> bool:
+    """Merge the waiting batches into the snapshot; whether there were any. Tombstones go, unless kept.
 
     The new snapshot appears whole, by a rename, under the number of its last batch. Only then the
     batches and the snapshot before the last are deleted; readers of the last one can finish.
@@ -101,7 +141,10 @@ def compact(spark: SparkSession, target: str, schema: T.StructType, keys: list[s
     if not waiting:
         return False
     staged = f"{target}/staged-{waiting[-1]:012d}"
-    refreshed(spark, target, schema, keys, version).write.mode("overwrite").parquet(staged)
+    rows = _latest(spark, target, schema, keys, version)
+    if change and not keep_deletes:
+        rows = rows.filter(F.col(change) != DELETED)
+    rows.write.mode("overwrite").parquet(staged)
     replace_folder(spark, staged, _folder(target, SNAPSHOT, waiting[-1]))
     for name in list_folder(spark, target):
         m = re.fullmatch(rf"({BATCH}|{SNAPSHOT})-(\d+)", name)
@@ -111,9 +154,17 @@ def compact(spark: SparkSession, target: str, schema: T.StructType, keys: list[s
 
 
 def refresh_serving(
-    store: ServingStore, name: str, target: str, schema: T.StructType, keys: list[str], version: list[str], policy: str = "TRIGGERED"
+    store: ServingStore,
+    name: str,
+    target: str,
+    schema: T.StructType,
+    keys: list[str],
+    version: list[str],
+    policy: str = "TRIGGERED",
+    change: str | None = None,
+    keep_deletes: bool = False,
 ) -> str:
     """Serve the current state of a refreshed table under ``name``, with its key checked."""
-    compact(store.spark, target, schema, keys, version)
-    state = refreshed(store.spark, target, schema, keys, version)
+    compact(store.spark, target, schema, keys, version, change, keep_deletes)
+    state = refreshed(store.spark, target, schema, keys, version, change)
     return store.publish(state, name, keys, skip_if_exists=False, policy=policy)

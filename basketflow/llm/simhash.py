@@ -5,17 +5,18 @@ into twice as many blocks as bits may differ: two fingerprints within that dista
 half of the blocks, so they meet in one of the tables keyed by half of the blocks. With 8 blocks and
 4 bits a key has 32 bits, and rows that meet by chance stay rare for billions of fingerprints.
 
-Inside the tables, pivots decide: each fingerprint's Hamming distances to many reference fingerprints
-are worked out once, a pair whose distances to any reference differ by more than the limit is
-discarded (the triangle inequality), and the bits of the survivors are compared. Pivots alone can't
-choose the pairs: distances to any reference crowd around 32, so that the cells of a distance table
-hold a fixed share of all rows.
+Inside the tables, pivots choose the pairs: each fingerprint's Hamming distances to many reference
+fingerprints are worked out once, and by the triangle inequality a pair whose distances to any of them
+differ by more than the limit is no link. Groups are put in the order of these distances, so that such
+pairs are never formed: a row meets the rows in windows of near distances only. The bits of the others
+are compared. Pivots without the tables would be no choice: distances to any reference crowd around
+32, so that the cells of a distance table hold a fixed share of all rows.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import combinations
+from itertools import combinations, product
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +31,13 @@ BITS = 64
 SHINGLE = 4
 SEED = 42
 MAX_BITS = 4
+# Reference fingerprints, and those of them that a large group is ordered by.
 PIVOTS = 16
+ORDERING = 2
+# Rows of a group that one pivot orders, rows of the largest group a task compares alone, pairs looked at together.
+SMALL_GROUP = 128
+LARGE_GROUP = 16_384
+CHUNK_PAIRS = 1 << 18
 
 
 def shingle_hashes(text: bytes, size: int = SHINGLE) -> list[int]:
@@ -103,37 +110,141 @@ def pivot_prints(count: int = PIVOTS) -> np.ndarray:
     return _mixed(np.arange(1, count + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
-def _linked(key: np.ndarray, prints: np.ndarray, limit: int, pivots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _pairs(first: np.ndarray, stop: np.ndarray, row: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Every row with each place of its window, some ``CHUNK_PAIRS`` pairs at a time."""
+    length = np.maximum(stop - first, 0)
+    row, first, length = row[length > 0], first[length > 0], length[length > 0]
+    ends = np.cumsum(length)
+    at = 0
+    while at < len(row):
+        done = ends[at - 1] if at else 0
+        until = max(at + 1, int(np.searchsorted(ends, done + CHUNK_PAIRS, "right")))
+        n = length[at:until]
+        inside = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        yield np.repeat(row[at:until], n), np.repeat(first[at:until], n) + inside
+        at = until
+
+
+def _windows(group: np.ndarray, distance: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray]:
+    """Per row the places (first, stop) of the rows behind it in its group with a distance near its own.
+
+    Rows come ordered by group and distance.
+    """
+    near = group * (2 * BITS) + distance
+    return np.arange(len(group)) + 1, np.searchsorted(near, near + limit, "right")
+
+
+def _cells(distance: np.ndarray, limit: int) -> Iterator[tuple[int, int, int, int]]:
+    """(first, stop, from, until): rows of equal distances to all pivots, and rows to compare them with.
+
+    Rows of one group come ordered by their distances, so that a cell's partners are a few windows of
+    rows that lie together; what is farther away than ``limit`` in any distance is in none of them.
+    Every two cells meet once, a cell's own rows meet in its first window.
+    """
+    columns = [c.astype(np.int64) for c in distance.T]
+
+    def code(parts: list[np.ndarray]) -> np.ndarray:
+        out = np.zeros(len(parts[0]), np.int64)
+        for c in parts:
+            # Room for distances of up to BITS and the limit on either side.
+            out = out * (BITS + 2 * limit + 2) + c + limit
+        return out
+
+    places = code(columns)
+    first = np.flatnonzero(np.append(True, places[1:] != places[:-1]))
+    stop = np.append(first[1:], len(places))
+    cells = [c[first] for c in columns]
+    windows = []
+    for steps in product(*[range(-limit, limit + 1)] * (len(columns) - 1)):
+        leading = next((x for x in steps if x), 0)
+        if leading < 0:
+            continue
+        near = [c + x for c, x in zip(cells, steps)]
+        low, high = (code([*near, cells[-1] + x]) for x in (-limit, limit))
+        start = np.searchsorted(places, low, "left") if leading else first
+        windows.append((start, np.searchsorted(places, high, "right")))
+    for i in range(len(first)):
+        for start, until in windows:
+            if start[i] < until[i]:
+                yield int(first[i]), int(stop[i]), int(start[i]), int(until[i])
+
+
+def _order(key: np.ndarray, distance: np.ndarray, prints: np.ndarray) -> np.ndarray:
+    return np.lexsort([prints, *distance.T[::-1], key])
+
+
+def _linked(
+    key: np.ndarray, prints: np.ndarray, limit: int, pivots: np.ndarray, counted: list[int] | None = None
+) -> tuple[np.ndarray, np.ndarray]:
     """A spanning forest of the links between rows of equal key; rows come ordered by key.
 
-    Rows are compared with those 1, 2, 3, … places on, as long as their group lasts; rows that are
-    connected already are passed over. Memory stays in proportion to the rows.
+    Groups are put in order of their rows' distances to pivots, small ones by one pivot, large ones by
+    the two to which their distances vary most; only pairs whose distances to these differ by at most
+    ``limit`` are formed, and of these the bits are compared. ``counted`` is told how many were formed.
     """
-    distance = np.bitwise_count(prints[:, None] ^ pivots).astype(np.int8)
+    if not len(key):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
     begins = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
-    left = np.repeat(np.append(begins[1:], len(key)), np.diff(np.append(begins, len(key)))) - np.arange(len(key))
-    label = np.arange(len(key))
-    ones, others = [], []
-    at, step = np.arange(len(key)), 1
-    while len(at := at[left[at] > step]):
-        a = at[label[at] != label[at + step]]
-        for pivot in range(len(pivots)):
-            a = a[np.abs(distance[a, pivot] - distance[a + step, pivot]) <= limit]
-        a = a[np.bitwise_count(prints[a] ^ prints[a + step]) <= limit]
+    sizes = np.diff(np.append(begins, len(key)))
+    counted = [0] if counted is None else counted
+    forest: list[tuple[np.ndarray, np.ndarray]] = []
+    small = np.repeat(sizes <= SMALL_GROUP, sizes)
+    if small.any():
+        number, own = np.repeat(np.arange(len(sizes)), sizes)[small], prints[small]
+        distance = np.bitwise_count(own[:, None] ^ pivots[:1]).astype(np.int8)
+        order = _order(number, distance, own)
+        own, found = own[order], _Forest(len(own))
+        first, stop = _windows(number[order], distance[order, 0].astype(np.int64), limit)
+        for a, b in _pairs(first, stop, np.arange(len(own))):
+            counted[0] += len(a)
+            near = np.bitwise_count(own[a] ^ own[b]) <= limit
+            found.add(a[near], b[near])
+        forest.append((own[found.ones], own[found.others]))
+    for at, n in zip(begins[sizes > SMALL_GROUP].tolist(), sizes[sizes > SMALL_GROUP].tolist()):
+        own = prints[at : at + n]
+        distance = np.bitwise_count(own[:, None] ^ pivots).astype(np.int8)
+        best = np.argsort(-np.var(distance.astype(np.float32), axis=0), kind="stable")[:ORDERING]
+        order = _order(np.zeros(n, np.int8), distance[:, best], own)
+        own, found = own[order], _Forest(n)
+        for first, stop, start, until in _cells(distance[order][:, best], limit):
+            # Some rows of the cell at a time, with all of the window.
+            step = max(1, CHUNK_PAIRS // (until - start))
+            for row in range(first, stop, step):
+                rows = own[row : min(row + step, stop)]
+                counted[0] += len(rows) * (until - start)
+                near = np.flatnonzero(np.bitwise_count(rows[:, None] ^ own[start:until]) <= limit)
+                found.add(row + near // (until - start), start + near % (until - start))
+        forest.append((own[found.ones], own[found.others]))
+    ones, others = (np.concatenate(x) for x in zip(*forest))
+    return ones.view(np.int64), others.view(np.int64)
+
+
+class _Forest:
+    """Links that connect what was not connected before."""
+
+    def __init__(self, rows: int):
+        self.label = np.arange(rows)
+        self.ones: list[int] = []
+        self.others: list[int] = []
+
+    def add(self, a: np.ndarray, b: np.ndarray) -> None:
+        apart = self.label[a] != self.label[b]
+        if not apart.any():
+            return
+        a, b = a[apart], b[apart]
+        pair = np.sort(np.stack([self.label[a], self.label[b]]), axis=0)
+        _, one = np.unique(pair[0] * len(self.label) + pair[1], return_index=True)
         parent: dict[int, int] = {}
-        for i in a.tolist():
-            x, y = _root(parent, int(label[i])), _root(parent, int(label[i + step]))
+        for i, j, x, y in zip(a[one].tolist(), b[one].tolist(), pair[0][one].tolist(), pair[1][one].tolist()):
+            x, y = _root(parent, x), _root(parent, y)
             if x != y:
                 parent[max(x, y)] = min(x, y)
-                ones.append(i)
-                others.append(i + step)
-        if parent:
-            to = np.arange(len(key))
-            for x in parent:
-                to[x] = _root(parent, x)
-            label = to[label]
-        step += 1
-    return prints[ones].view(np.int64), prints[others].view(np.int64)
+                self.ones.append(i)
+                self.others.append(j)
+        to = np.arange(len(self.label))
+        for x in parent:
+            to[x] = _root(parent, x)
+        self.label = to[self.label]
 
 
 def _root(parent: dict[int, int], x: int) -> int:
@@ -142,39 +253,104 @@ def _root(parent: dict[int, int], x: int) -> int:
     return x
 
 
-def _links(batches: Iterator[pa.RecordBatch], limit: int, pivots: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """Links inside the groups of equal key; a group may continue in the next batch."""
-    kept = [np.zeros(0, np.int64), np.zeros(0, np.int64)]
+def _links(batches: Iterator[pa.RecordBatch], limit: int, pivots: np.ndarray, most: int) -> Iterator[pa.RecordBatch]:
+    """Links (a, b) inside the groups of equal key; a group may continue in the next batch.
+
+    Rows of a group of more than ``most`` rows are handed on as (key, print) instead.
+    """
+    kept, passing = [np.zeros(0, np.int64), np.zeros(0, np.int64)], None
     for batch in batches:
         key, prints = (
             np.concatenate([k, c.to_numpy(zero_copy_only=False)]) for k, c in zip(kept, batch.columns, strict=True)
         )
         cut = int(np.searchsorted(key, key[-1], "left")) if len(key) else 0
-        yield from _found(key[:cut], prints[:cut], limit, pivots)
+        yield from _found(key[:cut], prints[:cut], limit, pivots, passing, most)
         kept = [key[cut:], prints[cut:]]
-    yield from _found(*kept, limit, pivots)
+        if len(kept[0]) > most:
+            passing = int(kept[0][0])
+            yield _handed_on(*kept)
+            kept = [key[:0], prints[:0]]
+    yield from _found(*kept, limit, pivots, passing, most)
+
+
+def _handed_on(key: np.ndarray, prints: np.ndarray) -> pa.RecordBatch:
+    nothing = pa.nulls(len(key), pa.int64())
+    return pa.RecordBatch.from_arrays([nothing, nothing, pa.array(key), pa.array(prints)], ["a", "b", "key", "print"])
 
 
-def _found(key: np.ndarray, prints: np.ndarray, limit: int, pivots: np.ndarray) -> Iterator[pa.RecordBatch]:
+def _found(
+    key: np.ndarray, prints: np.ndarray, limit: int, pivots: np.ndarray, passing: int | None, most: int
+) -> Iterator[pa.RecordBatch]:
     same = np.append(False, key[1:] == key[:-1])
     grouped = same | np.append(same[1:], False)[: len(same)]
+    if passing is not None:
+        # The rest of a group whose other rows were handed on.
+        rest = key == passing
+        if rest.any():
+            yield _handed_on(key[rest], prints[rest])
+            grouped &= ~rest
     if len(key) and grouped.any():
+        sizes = np.unique(key[grouped], return_counts=True)
+        large = grouped & np.isin(key, sizes[0][sizes[1] > most])
+        if large.any():
+            yield _handed_on(key[large], prints[large])
+            grouped &= ~large
         a, b = _linked(key[grouped], prints[grouped].view(np.uint64), limit, pivots)
-        yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+        nothing = pa.nulls(len(a), pa.int64())
+        yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), nothing, nothing], ["a", "b", "key", "print"])
+
 
+def _meetings(large: DataFrame, most: int) -> DataFrame:
+    """(key, low, high, print): the rows of large groups in parts, every two parts of a group together."""
+    sizes = large.groupBy("key").agg(F.ceil(F.count(F.lit(1)) * 2 / F.lit(most)).cast("int").alias("parts"))
+    # A group here has over ``most`` rows: there are few of them for their rows.
+    dealt = large.join(sizes, "key").withColumn("part", F.pmod(F.xxhash64("print", F.lit(1)), F.col("parts")).cast("int"))
+    other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other")
+    met = dealt.select("key", "print", "part", other)
+    return met.select("key", F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"), "print")
 
-def print_links(distinct: DataFrame, limit: int = MAX_BITS, pivots: int = PIVOTS) -> DataFrame:
+
+def _met(batches: Iterator[pa.RecordBatch], limit: int, pivots: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Links of the rows of each meeting; meetings are bounded and come one after the other."""
+    def flush(parts: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        prints = np.concatenate(parts).view(np.uint64)
+        a, b = _linked(np.zeros(len(prints), np.int64), prints, limit, pivots)
+        yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+
+    now, held = None, []
+    for batch in batches:
+        key, low, high, prints = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
+        if not len(key):
+            continue
+        cuts = np.flatnonzero((key[1:] != key[:-1]) | (low[1:] != low[:-1]) | (high[1:] != high[:-1])) + 1
+        for a, b in zip([0, *cuts], [*cuts, len(key)]):
+            meeting = (key[a], low[a], high[a])
+            if held and meeting != now:
+                yield from flush(held)
+                held = []
+            now = meeting
+            held.append(prints[a:b])
+    if held:
+        yield from flush(held)
+
+
+def print_links(distinct: DataFrame, limit: int = MAX_BITS, pivots: int = PIVOTS, most: int = LARGE_GROUP) -> DataFrame:
     """Links (a, b) between different fingerprints that differ in at most ``limit`` bits.
 
     Not all of them: a spanning forest per group of equal key, which connects the same fingerprints.
-    A group is bounded by what fingerprints can be: around one text, those with the key's 32 bits and
-    up to r others changed number sum(C(32, i), i <= r), 41,000 for r = 4, however many its copies.
+    A group of more than ``most`` rows is dealt out in parts, every two of which meet in a task.
     """
     _, masks = _tables(2 * limit)
     references = pivot_prints(pivots)
     spread = distinct.select("print").mapInArrow(lambda b: _spread(b, masks), "key long, print long")
     dealt = spread.repartition("key").sortWithinPartitions("key")
-    return dealt.mapInArrow(lambda b: _links(b, limit, references), "a long, b long")
+    found = dealt.mapInArrow(lambda b: _links(b, limit, references, most), "a long, b long, key long, print long")
+    found = materialize(found, "print-links")
+    links, large = found.filter("a is not null").select("a", "b"), found.filter("a is null").select("key", "print")
+    if large.isEmpty():
+        return links
+    meetings = _meetings(large, most).repartition("key", "low", "high").sortWithinPartitions("key", "low", "high")
+    return links.unionByName(meetings.mapInArrow(lambda b: _met(b, limit, references), "a long, b long"))
 
 
 def near_duplicates(

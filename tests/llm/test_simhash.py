@@ -111,3 +111,66 @@ def test_an_id_with_several_texts(spark):
     rows = [(5, a, 1), (5, b, 2), (5, b, 3), (9, a, 4), (3, c, 5), (6, c, 6), (6, d, 7), (8, d, 8)]
     kept = S.keep_one(spark.createDataFrame(rows, "doc_id long, text string, n int").repartition(3)).collect()
     assert sorted((r["doc_id"], r["text"]) for r in kept) == sorted([(5, a), (5, b), (3, c), (6, d)])
+
+
+def template_prints(n, seed=1):
+    """Fingerprints of texts from one template: half of the bits fixed, some near copies."""
+    rng = np.random.default_rng(seed)
+    prints = rng.integers(0, 1 << 32, n, dtype=np.uint64)
+    flips = np.uint64(1) << rng.integers(0, 32, (3, n // 4), dtype=np.uint64)
+    near = prints[: n // 4] ^ flips[0] ^ flips[1] ^ flips[2]
+    return np.unique(np.concatenate([prints, near]) | np.uint64(0xABCD1234) << np.uint64(32))
+
+
+def partition(n, links):
+    return [*map({}.setdefault, groups(n, links), range(n))]
+
+
+def all_links(prints):
+    return [
+        (i, i + 1 + j) for i in range(len(prints) - 1) for j in np.flatnonzero(np.bitwise_count(prints[i] ^ prints[i + 1 :]) <= 4).tolist()
+    ]
+
+
+@pytest.mark.parametrize("n", [5, 100, 128, 129, 3000])
+def test_pivots_choose_the_pairs(n):
+    prints = template_prints(n)
+    np.random.default_rng(0).shuffle(prints)
+    formed = [0]
+    a, b = S._linked(np.zeros(len(prints), np.int64), prints, 4, S.pivot_prints(), formed)
+    place = {p: i for i, p in enumerate(prints.tolist())}
+    found = [(place[x], place[y]) for x, y in zip(a.view(np.uint64).tolist(), b.view(np.uint64).tolist())]
+    assert all((prints[i] ^ prints[j]).bit_count() <= 4 for i, j in found)
+    assert partition(len(prints), found) == partition(len(prints), all_links(prints))
+    every = len(prints) * (len(prints) - 1) // 2
+    assert formed[0] < every * (0.65 if n >= 1000 else 1)
+
+
+def test_many_groups_at_once():
+    rng = np.random.default_rng(3)
+    prints = np.concatenate([template_prints(n, n) for n in (2, 3, 40, 200, 2, 700)])
+    key = np.sort(rng.integers(0, 9, len(prints)))
+    a, b = S._linked(key, prints, 4, S.pivot_prints())
+    want = set()
+    for k in range(9):
+        own = prints[key == k]
+        want |= {(len(own), tuple(partition(len(own), all_links(own))), k)}
+        place = {p: i for i, p in enumerate(own.tolist())}
+        links = [(place[x], place[y]) for x, y in zip(a.view(np.uint64).tolist(), b.view(np.uint64).tolist()) if x in place and y in place]
+        assert partition(len(own), [l for l in links if (own[l[0]] ^ own[l[1]]).bit_count() <= 4]) == partition(len(own), all_links(own))
+
+
+@pytest.mark.parametrize("large", [40, 300])
+def test_large_groups_are_dealt_out(spark, monkeypatch, large):
+    prints = template_prints(1500)
+    rows = spark.createDataFrame([(p - (1 << 64) if p >> 63 else p,) for p in prints.tolist()], "print long").repartition(3)
+    met = []
+    meetings = S._meetings
+    monkeypatch.setattr(S, "_meetings", lambda df, n: met.append(meetings(df, n)) or met[0])
+    found = components(S.print_links(rows, most=large), "test").collect()
+    root = {r["node"] % (1 << 64): r["root"] % (1 << 64) for r in found}
+    want = groups(len(prints), all_links(prints))
+    mine = [root.get(p, p) for p in prints.tolist()]
+    assert len(set(zip(mine, want, strict=True))) == len(set(want)) == len(set(mine))
+    sizes = [r["count"] for r in met[0].groupBy("key", "low", "high").count().collect()]
+    assert len(sizes) > 20 and max(sizes) < 2 * large

@@ -5,15 +5,16 @@ code length in the longest context known to the language: -log2 of its share the
 escape and then its cost in the next shorter context (method C: a context of n bytes, d of them
 different, escapes with d / (n + d)). The language with the shortest code for the whole text wins.
 
-With frozen counts a cost depends on four bytes only, so costs are tabled per context and byte and a
-text costs one lookup per byte and language. Costs are whole 1/1024 bits: sums are exact, whatever
-pieces a text comes in.
+With frozen counts a cost depends on four bytes only, so it is worked out once for every different
+sequence of four bytes in a stretch of texts, from sorted tables of all contexts that were learned.
+Costs are whole 1/1024 bits: sums are exact, whatever pieces a text comes in.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -28,9 +29,11 @@ ORDER = 3
 TRAIN_BYTES = 16 << 20
 MIN_ROWS = 32
 PIECE_BYTES = 1024
-# Contexts that are tabled. The rarest ones of three, then of two bytes fall back to shorter ones.
-MAX_STATES = 8192
-TABLE_BYTES = 64 << 20
+# Languages whose trees are kept together, bytes of text and different sequences worked on at a time.
+GROUP = 32
+_LANG_BITS = 5
+STRETCH = 1 << 21
+KINDS = 1 << 16
 UNIT = 1024
 UNKNOWN = "und"
 
@@ -100,119 +103,105 @@ def count_contexts(rows: DataFrame, lang: str, text: str, row_id: str, train_byt
     return counted.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
+@dataclass
+class _Entries:
+    """Sorted keys, and for each the languages that know it with a value."""
+
+    keys: np.ndarray
+    first: np.ndarray
+    lang: np.ndarray
+    value: np.ndarray
+
+    @classmethod
+    def of(cls, key: np.ndarray, lang: np.ndarray, value: np.ndarray) -> _Entries:
+        """From values in the order of key and language."""
+        keys, first = np.unique(key, return_index=True)
+        return cls(keys.astype(np.uint32), np.append(first, len(key)), lang.astype(np.uint16), value)
+
+    def find(self, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(place in ``wanted``, language, value) of every language that knows a wanted key."""
+        at = np.minimum(np.searchsorted(self.keys, wanted), len(self.keys) - 1)
+        rows = np.flatnonzero(self.keys[at] == wanted)
+        first, count = self.first[at[rows]], self.first[at[rows] + 1] - self.first[at[rows]]
+        entry = np.repeat(first - (np.cumsum(count) - count), count) + np.arange(count.sum())
+        return np.repeat(rows, count), self.lang[entry], self.value[entry]
+
+
+class _Group:
+    """The trees of a few languages: per order, escapes of their contexts and costs of bytes in them."""
+
+    def __init__(self, lang: np.ndarray, gram: np.ndarray, n: np.ndarray, size: int):
+        self.size = size
+        self.escapes: list[_Entries] = []
+        self.costs: list[_Entries] = []
+        for length in range(ORDER + 1):
+            part = gram & ((1 << 8 * (length + 1)) - 1)
+            # Language last: entries of one key lie together.
+            pair, where = np.unique(part << _LANG_BITS | lang, return_inverse=True)
+            count = np.bincount(where, weights=n, minlength=len(pair))
+            key, of = pair >> _LANG_BITS, pair & ((1 << _LANG_BITS) - 1)
+            context, at = np.unique(key >> 8 << _LANG_BITS | of, return_inverse=True)
+            total, kinds = np.bincount(at, weights=count), np.bincount(at)
+            whole = total + kinds
+            owner = context & ((1 << _LANG_BITS) - 1)
+            self.escapes.append(_Entries.of(context >> _LANG_BITS, owner, -np.log2(kinds / whole)))
+            self.costs.append(_Entries.of(key, of, -np.log2(count / whole[at])))
+
+    def units(self, gram: np.ndarray) -> np.ndarray:
+        """Cost of the last byte of each four-byte sequence behind the others, by language, in units."""
+        out = np.full((len(gram), self.size), 8.0)
+        for length, (escapes, costs) in enumerate(zip(self.escapes, self.costs, strict=True)):
+            part = gram & np.uint32((1 << 8 * (length + 1)) - 1)
+            rows, lang, bits = escapes.find(part >> np.uint32(8))
+            out[rows, lang] += bits
+            rows, lang, bits = costs.find(part)
+            out[rows, lang] = bits
+        return np.round(out * UNIT).astype(np.int32)
+
+
 class ContextTrees:
-    """Cost tables of all languages: ``state`` by three bytes, ``cost`` by language, state and byte."""
+    """The trees of all languages with every context that was learned, in groups of languages.
 
-    def __init__(self, counts: list[tuple[str, int, int]], max_states: int = MAX_STATES, table_bytes: int = TABLE_BYTES):
+    A learned sequence takes some 14 bytes per order: all of them at most some 60 bytes per byte of
+    training text.
+    """
+
+    def __init__(self, counts: list[tuple[str, int, int]]):
         self.langs = sorted({lang for lang, _, _ in counts})
         number = {lang: i for i, lang in enumerate(self.langs)}
         of = np.array([number[c[0]] for c in counts], np.int64)
         gram = np.array([c[1] for c in counts], np.int64)
         n = np.array([c[2] for c in counts], np.int64)
-        limit = min(max_states, table_bytes // (256 * 2 * max(1, len(self.langs))))
-        self.state, order, context = _states(gram >> 8, n, max(257, limit))
-        self.cost = np.stack([_costs(gram[of == i], n[of == i], order, context) for i in range(len(self.langs))] or [[]])
+        self.groups = []
+        for first in range(0, len(self.langs), GROUP):
+            own = (of >= first) & (of < first + GROUP)
+            size = min(GROUP, len(self.langs) - first)
+            self.groups.append(_Group(of[own] - first, gram[own], n[own], size))
 
     def lengths(self, texts: list[bytes]) -> np.ndarray:
         """Code length of each text in each language, in units of 1/1024 bit."""
         out = np.zeros((len(texts), len(self.langs)), np.int64)
         padded = [_START + t for t in texts]
-        full = [i for i, t in enumerate(texts) if t]
-        if not full or not self.langs:
-            return out
         joined = np.frombuffer(b"".join(padded), np.uint8)
-        ends = np.cumsum([len(t) for t in padded])
-        gram = grams(joined)
-        at = self.state[gram >> 8].astype(np.uint32) << 8 | (gram & 255)
-        # The three numbers before each text's first byte cross from one text into the next.
-        starts = np.array([ends[i] - len(padded[i]) for i in full])
-        stops = np.array([ends[i] - ORDER for i in full])
-        edges = np.stack([starts, np.minimum(stops, len(at) - 1)], axis=1).reshape(-1)
-        for lang, cost in enumerate(self.cost):
-            values = np.append(cost[at], 0)
-            edges[1::2] = stops
-            out[full, lang] = np.add.reduceat(values, edges, dtype=np.int64)[::2]
+        ends = np.cumsum([len(t) for t in padded], dtype=np.int64)
+        for start in range(0, max(0, len(joined) - ORDER), STRETCH):
+            gram = grams(joined[start : start + STRETCH + ORDER])
+            owner = np.searchsorted(ends, np.arange(start, start + len(gram)), "right")
+            # The three sequences before each text's first byte cross from one text into the next.
+            inside = np.arange(start, start + len(gram)) + ORDER < ends[owner]
+            gram, owner = gram[inside], owner[inside]
+            if not len(gram):
+                continue
+            kinds, where = np.unique(gram, return_inverse=True)
+            texts_here, row = np.unique(owner, return_inverse=True)
+            for g, group in enumerate(self.groups):
+                units = np.concatenate([group.units(kinds[at : at + KINDS]) for at in range(0, len(kinds), KINDS)])
+                for lang in range(group.size):
+                    sums = np.bincount(row, weights=units[where, lang], minlength=len(texts_here))
+                    out[texts_here, g * GROUP + lang] += sums.astype(np.int64)
         return out
 
 
-def _states(contexts: np.ndarray, n: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The tabled contexts: their number by three bytes, and the order and bytes of each.
-
-    No byte and all single bytes first, then the most frequent of two and of three bytes, of which
-    those of three take what is left.
-    """
-    orders, chosen = [0], [0]
-    state = np.zeros(1 << 24, np.uint16)
-    by_last = np.arange(256) + 1
-    orders += [1] * 256
-    chosen += range(256)
-    state[:] = np.tile(by_last, 1 << 16)
-    room = limit - len(orders)
-    for length, share in ((2, 0.25), (3, 1.0)):
-        suffix = contexts & ((1 << 8 * length) - 1)
-        found, where = np.unique(suffix, return_inverse=True)
-        total = np.bincount(where, weights=n, minlength=len(found))
-        keep = np.sort(found[np.lexsort((found, -total))[: int(room * share)]])
-        first = len(orders)
-        numbers = np.arange(first, first + len(keep))
-        if length == 2:
-            state.reshape(256, 1 << 16)[:, keep] = numbers
-        else:
-            state[keep] = numbers
-        orders += [length] * len(keep)
-        chosen += keep.tolist()
-        room -= len(keep)
-    return state, np.array(orders), np.array(chosen)
-
-
-def _costs(gram: np.ndarray, n: np.ndarray, order: np.ndarray, context: np.ndarray) -> np.ndarray:
-    """Cost of each byte in each tabled context for one language."""
-    out = np.zeros((len(order), 256), np.uint16)
-    shorter = {0: np.full((1, 256), 8.0)}
-    known = {0: np.zeros(1, np.int64)}
-    for length in range(ORDER + 1):
-        keys, where = np.unique(gram & ((1 << 8 * (length + 1)) - 1), return_inverse=True)
-        count = np.bincount(where, weights=n, minlength=len(keys))
-        own, at = np.unique(keys >> 8, return_inverse=True)
-        total = np.bincount(at, weights=count, minlength=len(own))
-        kinds = np.bincount(at, minlength=len(own))
-        if length == 0:
-            base = np.full((1, 256), 8.0)
-            before = base
-        wanted = context[order == length]
-        # Contexts of this length fall back to the costs of their last length - 1 bytes.
-        if length:
-            parent = wanted & ((1 << 8 * (length - 1)) - 1)
-            before = _rows(shorter, known, length - 1, parent)
-        place = np.searchsorted(own, wanted)
-        place = np.minimum(place, max(0, len(own) - 1))
-        seen = (own[place] == wanted) if len(own) else np.zeros(len(wanted), bool)
-        costs = before.copy()
-        weight = np.where(seen, (total + kinds)[place] if len(own) else 1.0, 1.0)
-        escape = np.where(seen, -np.log2((kinds[place] if len(own) else 1) / weight), 0.0)
-        costs += escape[:, None]
-        slot = np.full(len(own), -1)
-        slot[place[seen]] = np.flatnonzero(seen)
-        hit = slot[at] >= 0
-        costs[slot[at][hit], (keys & 255)[hit]] = -np.log2(count[hit] / (total + kinds)[at[hit]])
-        shorter[length], known[length] = costs, wanted
-        out[order == length] = np.minimum(np.round(costs * UNIT), 65535).astype(np.uint16)
-    return out.reshape(-1)
-
-
-def _rows(costs: dict, known: dict, length: int, wanted: np.ndarray) -> np.ndarray:
-    """Costs in the longest tabled context of at most ``length`` bytes."""
-    out = np.empty((len(wanted), 256))
-    todo = np.ones(len(wanted), bool)
-    for k in range(length, -1, -1):
-        suffix = wanted & ((1 << 8 * k) - 1)
-        place = np.minimum(np.searchsorted(known[k], suffix), len(known[k]) - 1)
-        found = todo & (known[k][place] == suffix) if len(known[k]) else np.zeros(len(wanted), bool)
-        out[found] = costs[k][place[found]]
-        todo &= ~found
-    return out
-
-
 def identify(texts: list[bytes], trees: ContextTrees) -> list[list]:
     lower = [folded(t) for t in texts]
     lengths = trees.lengths(lower)

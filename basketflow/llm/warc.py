@@ -12,7 +12,8 @@ import base64
 import hashlib
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from urllib.parse import quote, unquote
 
 import pyarrow as pa
 from pyarrow import fs
@@ -60,10 +61,10 @@ def record(page: dict) -> bytes:
         ("WARC-Target-URI", _header(page["url"])),
         ("WARC-Payload-Digest", f"sha1:{page['payload_digest']}"),
         ("X-Payload-Length", page["payload_bytes"]),
-        ("X-Page-ID", page["page_id"]),
+        ("X-Page-ID", _id(page["page_id"])),
     ]
     if revisit:
-        headers += [("WARC-Profile", _PROFILE), ("X-Refers-To-Page", page["refers_to"])]
+        headers += [("WARC-Profile", _PROFILE), ("X-Refers-To-Page", _id(page["refers_to"]))]
     headers += [("Content-Type", "application/http; msgtype=response"), ("Content-Length", len(block))]
     head = "".join(f"{k}: {v}\r\n" for k, v in headers if v is not None)
     body = b"".join([_VERSION, b"\r\n", head.encode(), b"\r\n", block, b"\r\n\r\n"])
@@ -76,6 +77,11 @@ def _header(value: str | None) -> str | None:
     return None if value is None else value.replace("%", "%25").replace("\r", "%0D").replace("\n", "%0A")
 
 
+def _id(value: object | None) -> str | None:
+    """An id of any kind as a header's value, percent-encoded but for letters, digits and ``_.-~``."""
+    return None if value is None else quote(str(value), safe="")
+
+
 def _plain(value: str | None) -> str | None:
     return None if value is None else value.replace("%0A", "\n").replace("%0D", "\r").replace("%25", "%")
 
@@ -138,9 +144,10 @@ def write_archives(
 
     Each writing task streams its rows into archives of its own. The manifest is written before it is
     returned, and names only archives of tasks that ended well. ``folder`` is a URI of a store that
-    all executors reach: file (shared), hdfs, s3 or gs.
+    all executors reach: file (shared), hdfs, s3 or gs. Ids are of any type that is told by its text.
     """
     rows = with_revisits(pages, **columns)
+    rows = rows.withColumns({c: F.col(c).cast("string") for c in ("page_id", "refers_to")})
     manifest = rows.mapInArrow(lambda b: _write(b, folder, archive_bytes), "file string, size long")
     return materialize(manifest, "archives")
 
@@ -149,7 +156,7 @@ class _Window:
     """Bytes of a file from a place on, read as they are asked for."""
 
     def __init__(self, source, at: int):
-        self.source, self.start, self.data = source, at, b""
+        self.source, self.start, self.data = source, at, bytearray()
         source.seek(at)
 
     def reach(self, stop: int) -> bool:
@@ -161,8 +168,8 @@ class _Window:
             self.data += more
         return True
 
-    def part(self, start: int, stop: int) -> memoryview:
-        return memoryview(self.data)[start - self.start : stop - self.start]
+    def part(self, start: int, stop: int) -> bytes:
+        return bytes(self.data[start - self.start : stop - self.start])
 
     def find(self, what: bytes, at: int) -> int:
         """Where ``what`` is next among the bytes at hand, or -1."""
@@ -172,7 +179,8 @@ class _Window:
     def forget(self, at: int) -> None:
         """Bytes before ``at`` aren't asked for again; they go once they are many."""
         if at - self.start >= _READ:
-            self.data, self.start = self.data[at - self.start :], at
+            del self.data[: at - self.start]
+            self.start = at
 
 
 def _member(window: _Window, at: int) -> tuple[bytes, int] | None:
@@ -216,33 +224,36 @@ def records(source, start: int, stop: int) -> Iterator[bytes]:
         at = member[1]
 
 
-def parse(data: bytes) -> dict:
-    """A record's headers and payload; the digest and length of a response come from its payload."""
+def parse(data: bytes, ids: Callable = int) -> dict:
+    """A record's headers and payload; the digest and length of a response come from its payload.
+
+    ``ids`` makes an id of its text.
+    """
     head, _, rest = data.partition(b"\r\n\r\n")
     lines = head.decode("utf-8", "replace").split("\r\n")[1:]
     headers = {k.strip().lower(): v.strip() for k, _, v in (line.partition(":") for line in lines)}
     payload = rest[: int(headers["content-length"])].partition(b"\r\n\r\n")[2]
     revisit = headers["warc-type"] == "revisit"
-    number = {k: int(headers[k]) if k in headers else None for k in ("x-page-id", "x-refers-to-page", "x-payload-length")}
+    named = {k: ids(unquote(headers[k])) if k in headers else None for k in ("x-page-id", "x-refers-to-page")}
     digest = headers.get("warc-payload-digest", "").removeprefix("sha1:")
     return {
-        "page_id": number["x-page-id"],
+        "page_id": named["x-page-id"],
         "url": _plain(headers.get("warc-target-uri")),
         "record_type": headers["warc-type"],
-        "payload_bytes": number["x-payload-length"] if revisit else len(payload),
+        "payload_bytes": int(headers["x-payload-length"]) if revisit else len(payload),
         "payload_digest": digest if revisit else base64.b32encode(hashlib.sha1(payload).digest()).decode(),
-        "refers_to": number["x-refers-to-page"],
+        "refers_to": named["x-refers-to-page"],
         "payload": None if revisit else payload,
     }
 
 
 _FIELDS = {
-    "page_id": pa.int64(),
+    "page_id": pa.string(),
     "url": pa.string(),
     "record_type": pa.string(),
     "payload_bytes": pa.int64(),
     "payload_digest": pa.string(),
-    "refers_to": pa.int64(),
+    "refers_to": pa.string(),
     "payload": pa.binary(),
 }
 _RECORDS_PER_BATCH, _BYTES_PER_BATCH = 2000, 8 << 20
@@ -256,7 +267,7 @@ def _read(batches: Iterator[pa.RecordBatch], folder: str, names: list[str]) -> I
             rows, size = [], 0
             with store.open_input_file(f"{root}/{part['file']}") as source:
                 for data in records(source, part["start"], part["stop"]):
-                    parsed = parse(data)
+                    parsed = parse(data, str)
                     rows.append({n: parsed[n] for n in names})
                     size += len(data)
                     if len(rows) >= _RECORDS_PER_BATCH or size >= _BYTES_PER_BATCH:
@@ -267,12 +278,16 @@ def _read(batches: Iterator[pa.RecordBatch], folder: str, names: list[str]) -> I
 
 
 def read_archives(
-    manifest: DataFrame, folder: str, range_bytes: int = RANGE_BYTES, names: list[str] | None = None
+    manifest: DataFrame,
+    folder: str,
+    range_bytes: int = RANGE_BYTES,
+    names: list[str] | None = None,
+    id_type: str = "long",
 ) -> DataFrame:
     """One row per record of the manifest's archives, each archive read in byte ranges by many tasks.
 
     Columns: page_id, url, record_type, payload_bytes, payload_digest, refers_to and payload (null
-    for revisits), or those in ``names``. A member cut off at the end of an archive is left out.
+    for revisits), or those in ``names``. Ids are of the type ``id_type``. A member cut off at the end of an archive is left out.
     """
     begin = F.explode(F.sequence(F.lit(0).cast("long"), F.col("size") - 1, F.lit(range_bytes).cast("long")))
     ranges = manifest.filter("size > 0").select("file", "size", begin.alias("start"))
@@ -280,10 +295,11 @@ def read_archives(
     names = names or list(_FIELDS)
     kinds = {pa.int64(): "long", pa.string(): "string", pa.binary(): "binary"}
     schema = ", ".join(f"{n} {kinds[_FIELDS[n]]}" for n in names)
-    # A range each: ranges are few and tiny, so that the number of tasks is that of the ranges.
+    # A range for each task: ranges are few and tiny, and dealt out in their order, not by hash.
     count = ranges.count()
-    spread = ranges.repartition(max(1, count), "file", "start") if count else ranges
-    return spread.mapInArrow(lambda b: _read(b, folder, names), schema)
+    spread = ranges.repartitionByRange(max(1, count), "file", "start") if count else ranges
+    found = spread.mapInArrow(lambda b: _read(b, folder, names), schema)
+    return found.select(*[F.col(n).cast(id_type) if n in ("page_id", "refers_to") else F.col(n) for n in names])
 
 
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,8 +3,10 @@ import gzip
 import hashlib
 import io
 import random
+import time
 
 import pytest
+from pyspark.sql import functions as F
 
 from basketflow.llm import warc as W
 from basketflow.session import scratch_path
@@ -63,3 +65,35 @@ def test_round_trip(spark):
     assert all((r["payload"] is None) == (r["record_type"] == "revisit") for r in got)
     none = W.write_archives(pages.limit(0), folder + "-none")
     assert W.read_archives(none, folder + "-none").count() == 0
+
+
+@pytest.mark.parametrize("kind", ["string", "double", "date", "decimal(20,3)"])
+def test_ids_of_any_type(spark, kind):
+    texts = [" a\r\nb%20 ", "", "007", "é/漢", "a\r\nb%20"]
+    column = {"string": "t", "double": "n / 3", "date": "date_add(date'2024-01-01', n)", "decimal(20,3)": "cast(n / 3 as decimal(20,3))"}[kind]
+    rows = spark.createDataFrame([(i, t, ["x", "y"][i % 2]) for i, t in enumerate(texts)], "n int, t string, html string")
+    pages = rows.selectExpr(f"{column} AS page_id", "'u' AS url", "html")
+    folder = f"file://{scratch_path(spark, 'warc-ids')}"
+    got = W.read_archives(W.write_archives(pages, folder), folder, range_bytes=150, id_type=kind)
+    assert got.schema["page_id"].dataType == got.schema["refers_to"].dataType == pages.schema["page_id"].dataType
+    ids = {r["page_id"]: r["html"] for r in pages.collect()}
+    least = {h: min(i for i, x in ids.items() if x == h) for h in ("x", "y")}
+    assert {r["page_id"]: r["refers_to"] for r in got.collect()} == {i: None if least[h] == i else least[h] for i, h in ids.items()}
+
+
+def test_each_task_reads_a_range(spark):
+    rows = [(i, "u", random.Random(i).randbytes(400).hex()) for i in range(300)]
+    folder = f"file://{scratch_path(spark, 'warc-even')}"
+    manifest = W.write_archives(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(2), folder)
+    found = W.read_archives(manifest, folder, range_bytes=10_000)
+    per_task = found.groupBy(F.spark_partition_id()).count().collect()
+    ranges = sum(-(-r["size"] // 10_000) for r in manifest.collect())
+    assert found.rdd.getNumPartitions() == ranges and len(per_task) >= ranges - 2
+    assert found.count() == 300
+
+
+def test_large_members_are_read_in_linear_time():
+    began = time.time()
+    data = W.record(page(1, random.Random(0).randbytes(60 << 20))) + W.record(page(2, b"x"))
+    assert [len(W.parse(r)["payload"]) for r in W.records(io.BytesIO(data), 0, len(data))] == [60 << 20, 1]
+    assert time.time() - began < 30

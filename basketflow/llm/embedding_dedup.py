@@ -9,23 +9,29 @@ a spanning forest of the links they found.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from basketflow.llm.common import components, table
 from basketflow.session import materialize
 
 COSINE = 0.98
-# Chance to meet at a cosine of 0.98: 0.26 in one table, 0.997 in one of all; at a cosine of 0,
-# 1 in 100,000 in one table.
-TABLES = 20
-PROJECTIONS = 16
 WIDTH = 2.0
+# What the tables are made for: links that are found, and vectors of its label that one of a cosine of
+# ``BACKGROUND`` to it meets by chance; the fewest projections and tables.
+RECALL = 0.997
+BACKGROUND = 0.5
+MET_BY_CHANCE = 400
+PROJECTIONS = 16
+TABLES = 20
 SEED = 20
 # Vectors of a bucket that a task compares with as many others; larger buckets are dealt out.
 CHUNK = 1024
@@ -38,11 +44,43 @@ def usable(vector: str) -> Column:
     return F.coalesce(finite & F.exists(v, lambda x: x != 0), F.lit(False))
 
 
+@dataclass(frozen=True)
+class Scheme:
+    """So many tables, a bucket of which is named by so many projections."""
+
+    tables: int = TABLES
+    projections: int = PROJECTIONS
+
+
+def same_cell(cosine: float, width: float = WIDTH) -> float:
+    """The chance of two normalised vectors to have one rounded projection in common."""
+    ratio = width / math.sqrt(max(2 - 2 * cosine, 1e-12))
+    tail = math.erfc(ratio / math.sqrt(2))
+    return 1 - tail - 2 / (math.sqrt(2 * math.pi) * ratio) * (1 - math.exp(-ratio * ratio / 2))
+
+
+def scheme(rows: int, cosine: float = COSINE, recall: float = RECALL) -> Scheme:
+    """The fewest projections, and the tables that they need for ``recall`` at ``cosine``, with which
+    ``rows`` vectors of one label and of cosine ``BACKGROUND`` to each other don't crowd the buckets.
+
+    More rows need longer names, and these more tables to meet in: tables grow with a small power of
+    the rows, and a vector's comparisons do not grow.
+    """
+    near, far = same_cell(cosine), same_cell(BACKGROUND)
+    projections = PROJECTIONS
+    while True:
+        tables = max(TABLES, math.ceil(math.log(1 - recall) / math.log1p(-(near**projections))))
+        if rows * far**projections * tables <= MET_BY_CHANCE:
+            return Scheme(tables, projections)
+        projections += 1
+
+
 @cache
-def _directions(size: int) -> tuple[np.ndarray, np.ndarray]:
+def _directions(size: int, plan: Scheme) -> tuple[np.ndarray, np.ndarray]:
     """Directions for vectors of up to ``size`` components; shorter vectors use the first rows."""
-    shift = np.random.default_rng(SEED + 1).uniform(0, WIDTH, TABLES * PROJECTIONS)
-    return np.random.default_rng(SEED).standard_normal((size, TABLES * PROJECTIONS)), shift
+    number = plan.tables * plan.projections
+    shift = np.random.default_rng(SEED + 1).uniform(0, WIDTH, number)
+    return np.random.default_rng(SEED).standard_normal((size, number)), shift
 
 
 def _matrix(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -54,15 +92,15 @@ def _matrix(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return out / np.sqrt((out * out).sum(axis=1, keepdims=True)), sizes
 
 
-def bucket_names(vectors: np.ndarray, sizes: np.ndarray, labels: np.ndarray) -> np.ndarray:
+def bucket_names(vectors: np.ndarray, sizes: np.ndarray, labels: np.ndarray, plan: Scheme = Scheme()) -> np.ndarray:
     """One number per vector and table: a hash of label, length and rounded projections."""
-    along, shift = _directions(vectors.shape[1])
+    along, shift = _directions(vectors.shape[1], plan)
     cells = np.floor((vectors @ along + shift) / WIDTH).astype(np.int64).view(np.uint64)
-    cells = cells.reshape(len(vectors), TABLES, PROJECTIONS)
-    name = np.broadcast_to(np.arange(1, TABLES + 1, dtype=np.uint64), cells.shape[:2]).copy()
+    cells = cells.reshape(len(vectors), plan.tables, plan.projections)
+    name = np.broadcast_to(np.arange(1, plan.tables + 1, dtype=np.uint64), cells.shape[:2]).copy()
     for part in (labels.astype(np.int64).view(np.uint64), sizes.view(np.uint64)):
         name = _mixed(name ^ part[:, None])
-    for i in range(PROJECTIONS):
+    for i in range(plan.projections):
         name = _mixed(name ^ cells[:, :, i])
     return name.view(np.int64)
 
@@ -74,13 +112,13 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return (x ^ (x >> np.uint64(32))) + np.uint64(0x9E3779B97F4A7C15)
 
 
-def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _buckets(batches: Iterator[pa.RecordBatch], plan: Scheme) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if len(batch):
             vectors, sizes = _matrix(batch.column("vector"))
-            names = bucket_names(vectors, sizes, batch.column("label").to_numpy(zero_copy_only=False))
+            names = bucket_names(vectors, sizes, batch.column("label").to_numpy(zero_copy_only=False), plan)
             ids = batch.column("id").to_numpy(zero_copy_only=False)
-            for number in range(TABLES):
+            for number in range(plan.tables):
                 columns = [pa.array(names[:, number].copy()), pa.array(np.full(len(ids), number, np.int32)), pa.array(ids)]
                 yield pa.RecordBatch.from_arrays(columns, ["bucket", "number", "id"])
 
@@ -100,27 +138,28 @@ def _whole_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield kept
 
 
-def _compare(batch: pa.RecordBatch, cosine: float) -> pa.RecordBatch:
+def _compare(batch: pa.RecordBatch, cosine: float, plan: Scheme) -> pa.RecordBatch:
     """Links found in the groups of a batch: per vector their number, and a spanning forest.
 
     Rows are compared with those 1, 2, 3, … places on, as long as their group lasts. A pair counts if
     it is of one label, meets in no earlier table, and joins the two parts that the group is for.
     """
-    group, number, part, label, ids, copies = (
-        batch.column(c).to_numpy(zero_copy_only=False) for c in ("group", "number", "part", "label", "id", "copies")
+    group, number, part, label, other, ids, copies = (
+        batch.column(c).to_numpy(zero_copy_only=False)
+        for c in ("group", "number", "part", "label", "other_label", "id", "copies")
     )
     one_part = batch.column("one_part").to_numpy(zero_copy_only=False)
     vectors, sizes = _matrix(batch.column("vector"))
-    names = bucket_names(vectors, sizes, label)
+    names = bucket_names(vectors, sizes, label, plan)
     begins = np.flatnonzero(np.append(True, group[1:] != group[:-1]))
     left = np.repeat(np.append(begins[1:], len(group)), np.diff(np.append(begins, len(group)))) - np.arange(len(group))
-    earlier = np.arange(TABLES) < number[:, None]
+    earlier = np.arange(plan.tables) < number[:, None]
     links, tree = np.zeros(len(group), np.int64), np.arange(len(group))
     ones, others = [], []
     at, step = np.arange(len(group)), 1
     while len(at := at[left[at] > step]):
         b = at + step
-        ok = (one_part[at] | (part[at] != part[b])) & (label[at] == label[b]) & (sizes[at] == sizes[b])
+        ok = (one_part[at] | (part[at] != part[b])) & (label[at] == label[b]) & (other[at] == other[b]) & (sizes[at] == sizes[b])
         a = at[ok & (number[at] == number[b])]
         a = a[np.einsum("ij,ij->i", vectors[a], vectors[a + step]) >= cosine]
         a = a[~((names[a] == names[a + step]) & earlier[a]).any(axis=1)]
@@ -153,13 +192,13 @@ def _root(parent: dict[int, int], x: int) -> int:
     return x
 
 
-def _meetings(classes: DataFrame, chunk: int) -> DataFrame:
+def _meetings(classes: DataFrame, chunk: int, plan: Scheme) -> DataFrame:
     """The vectors of each bucket that has several, in groups of at most two parts of the bucket.
 
     A bucket of more than ``chunk`` vectors has several parts; each two of them make a group, and so
     does each part alone. ``group`` names the group, ``one_part`` says whether it is one part alone.
     """
-    buckets = classes.select("id", "label", "vector").mapInArrow(_buckets, "bucket long, number int, id long")
+    buckets = classes.select("id", "label", "vector").mapInArrow(lambda b: _buckets(b, plan), "bucket long, number int, id long")
     buckets = materialize(buckets, "buckets")
     counts = buckets.groupBy("bucket").count().filter("count > 1")
     parts = counts.select("bucket", F.ceil(F.col("count") / chunk).cast("int").alias("parts"))
@@ -175,17 +214,26 @@ def _meetings(classes: DataFrame, chunk: int) -> DataFrame:
 
 def links(classes: DataFrame, cosine: float = COSINE, chunk: int = CHUNK) -> DataFrame:
     """(a, b, links): for a = b the links of a vector found in some group, else a link of a forest."""
-    meetings = _meetings(classes, chunk)
-    dealt = meetings.join(classes.select("id", "label", "vector", "copies"), "id")
+    rows = classes.groupBy("label").count().agg(F.max("count")).first()[0] or 0
+    plan = scheme(rows, cosine)
+    meetings = _meetings(classes, chunk, plan)
+    dealt = meetings.join(classes.select("id", "label", "other_label", "vector", "copies"), "id")
     dealt = dealt.withColumnRenamed("alone", "one_part").repartition("group").sortWithinPartitions("group", "id")
 
     def run(batches):
         for batch in _whole_groups(batches):
-            yield _compare(batch, cosine)
+            yield _compare(batch, cosine, plan)
 
     return dealt.mapInArrow(run, "a long, b long, links long")
 
 
+def _label_number(vectors: DataFrame, label: str, half: int) -> Column:
+    """A label as two numbers: itself and 0 if it is an integer, else 128 bits of it."""
+    if isinstance(vectors.schema[label].dataType, T.IntegralType):
+        return F.col("label").cast("long") if half == 0 else F.lit(0).cast("long")
+    return F.xxhash64(F.lit(half), "label")
+
+
 def near_duplicates(
     vectors: DataFrame,
     vec_id: str = "vec_id",
@@ -196,7 +244,7 @@ def near_duplicates(
 ) -> DataFrame:
     """One row (vec_id, n_links, component_id, kept) per vector.
 
-    Vectors of equal label are linked if they meet in some table and their cosine, in double
+    Labels may be of any type that Spark can hash. Vectors of equal label are linked if they meet in some table and their cosine, in double
     precision, is at least ``cosine``. Vectors without label, missing, zero, or with a missing or
     non-finite component link with nothing, nor do vectors of different lengths. Equal vectors of a
     label are compared once and count as often as they occur; each row gives a row. ``component_id``
@@ -211,7 +259,8 @@ def near_duplicates(
     rows = rows.withColumn("name", name)
     classes = rows.filter("name is not null").groupBy("name").agg(
         F.min("vec_id").alias("least"), F.count(F.lit(1)).alias("copies"),
-        F.first("label").cast("long").alias("label"), F.first("vector").alias("vector"),
+        F.first(_label_number(vectors, label, 0)).alias("label"), F.first(_label_number(vectors, label, 1)).alias("other_label"),
+        F.first("vector").alias("vector"),
     )
     classes = materialize(classes.withColumn("id", F.monotonically_increasing_id()), "classes")
     found = materialize(links(classes, cosine, chunk), "links")

@@ -1,3 +1,4 @@
+import datetime as dt
 import math
 
 import numpy as np
@@ -91,3 +92,46 @@ def test_query(spark):
     rows = [(r["vec_id"], r["embedding"], r["label"]) for r in spark.read.parquet(f"{SMALL}/embeddings.parquet").collect()]
     got = E.op10_embedding_dedup(spark, SMALL).collect()
     assert sorted(str(tuple(r)) for r in got) == brute(rows)
+
+
+def test_schemes_grow_with_the_rows():
+    assert E.scheme(50_000) == E.Scheme(E.TABLES, E.PROJECTIONS)
+    for rows in (10**6, 10**8, 10**10):
+        plan = E.scheme(rows)
+        found = 1 - (1 - E.same_cell(E.COSINE) ** plan.projections) ** plan.tables
+        assert found >= E.RECALL and rows * E.same_cell(E.BACKGROUND) ** plan.projections * plan.tables <= E.MET_BY_CHANCE
+        assert plan.tables < 500
+
+
+@pytest.mark.parametrize("rows", [50_000, 10**7])
+@pytest.mark.parametrize("background", [0.0, 0.5])
+def test_recall_of_the_tables(rows, background):
+    """Pairs at the least cosine of a link among vectors of a common direction meet in some table."""
+    rng, plan = np.random.default_rng(1), E.scheme(rows)
+    shared = rng.standard_normal(48)
+    shared /= np.linalg.norm(shared)
+
+    def some(n):
+        x = rng.standard_normal((n, 48))
+        x /= np.linalg.norm(x, axis=1, keepdims=True)
+        x = np.sqrt(background) * shared + np.sqrt(1 - background) * x
+        return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+    x, y = some(2000), rng.standard_normal((2000, 48))
+    y -= (x * y).sum(axis=1, keepdims=True) * x
+    y = 0.981 * x + np.sqrt(1 - 0.981**2) * y / np.linalg.norm(y, axis=1, keepdims=True)
+    names = [E.bucket_names(v, np.full(2000, 48), np.zeros(2000, np.int64), plan) for v in (x, y, some(2000))]
+    assert (names[0] == names[1]).any(axis=1).mean() >= 0.99
+    strangers = (names[0] == names[2]).sum(axis=1).mean() * rows
+    assert strangers <= 3 * E.MET_BY_CHANCE
+
+
+@pytest.mark.parametrize("kind", ["string", "boolean", "double", "date", "int"])
+def test_labels_of_any_type(spark, kind):
+    values = {"string": ["a", "b"], "boolean": [True, False], "double": [0.5, 1.5], "date": [dt.date(2024, 1, 1), dt.date(2024, 1, 2)], "int": [-1, 7]}[kind]
+    rows = [(i, [1.0, float(i // 4), 0.0], [*values, None][i % 3]) for i in range(12)]
+    df = spark.createDataFrame(rows, f"vec_id long, embedding array<double>, label {kind}")
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in E.near_duplicates(df).collect()}
+    for i, v, label in rows:
+        near = [j for j, w, other in rows if j != i and label is not None and other == label and np.dot(v, w) / np.linalg.norm(v) / np.linalg.norm(w) >= 0.98]
+        assert got[i][0] == len(near), (i, near)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from basketflow.operators.selection import quantiles
+from basketflow.operators.selection import quantiles_of
 from basketflow.session import materialize
 
 
@@ -75,6 +75,7 @@ def feature_summary(df: DataFrame, columns: list[str], approximate: bool = False
     """
     table = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
     table = table if approximate else materialize(table, "summarised")
+    exact = {} if approximate else quantiles_of(table, columns, QUARTILES)
     aggs, quartiles = [], {}
     for i, c in enumerate(columns):
         aggs += [
@@ -88,7 +89,7 @@ def feature_summary(df: DataFrame, columns: list[str], approximate: bool = False
             aggs.append(F.percentile_approx(c, QUARTILES, accuracy).alias(f"_q{i}"))
             quartiles[c] = [F.get(f"_q{i}", j) for j in range(len(QUARTILES))]
         else:
-            quartiles[c] = [F.lit(v).cast("double") for v in quantiles(table, c, QUARTILES)]
+            quartiles[c] = [F.lit(v).cast("double") for v in exact[c]]
     rows = [
         (c, [F.col(f"_count{i}"), F.col(f"_mean{i}"), F.col(f"_std{i}"), F.col(f"_min{i}"), *quartiles[c], F.col(f"_max{i}")])
         for i, c in enumerate(columns)

@@ -149,10 +149,96 @@ def quantiles(table: DataFrame, column: str, shares: list[float], sample_rows: i
 
     Reads ``table`` several times: pass a written one.
     """
-    present = table.select(column).filter(F.col(column).isNotNull())
-    order = [(F.col(column), False)]
-    few = few_keys(present, order, sample_rows)
-    n = present.count() if few is None else len(few)
-    places = [max(1, -int(-share * n // 1)) - 1 for share in shares]
-    found = keys_at(present, order, places, sample_rows) if few is None else dict(enumerate(few))
-    return [found[p][0] if p in found else None for p in places]
+    return quantiles_of(table, [column], shares, sample_rows)[column]
+
+
+@dataclass
+class _Bracket:
+    """The values of a column strictly between two others, and the ranks among them that are wanted."""
+
+    column: str
+    rows: int
+    places: list[int]
+    low: object = None
+    high: object = None
+
+    def inside(self) -> Column:
+        value = F.col(self.column)
+        above = F.lit(True) if self.low is None else value > F.lit(self.low)
+        below = F.lit(True) if self.high is None else value < F.lit(self.high)
+        return value.isNotNull() & above & below
+
+
+def quantiles_of(
+    table: DataFrame, columns: list[str], shares: list[float], sample_rows: int = SAMPLE_ROWS
+) -> dict[str, list]:
+    """``quantiles`` of many columns at once: every pass over the table narrows the brackets of all of them.
+
+    A pass samples each bracket or, if few enough values are left, takes them whole; a second one
+    counts exactly before the values that the samples propose. The number of passes depends on the
+    rows, not on the columns; samples share ``sample_rows`` values. Values of one type per call.
+    """
+    totals = table.agg(*[F.count(c).alias(f"_n{i}") for i, c in enumerate(columns)]).first()
+    places = {c: [max(1, -int(-share * n // 1)) - 1 for share in shares] for c, n in zip(columns, totals, strict=True)}
+    todo = [_Bracket(c, n, sorted(set(places[c]))) for c, n in zip(columns, totals, strict=True) if n]
+    starts = {id(b): 0 for b in todo}
+    found: dict[tuple[str, int], object] = {}
+    seed = 0
+    while todo:
+        seed += 1
+        some = _samples(table, todo, sample_rows, seed)
+        proposed: list[tuple[_Bracket, list]] = []
+        for bracket, values in zip(todo, some, strict=True):
+            if len(values) == bracket.rows:
+                found |= {(bracket.column, p): values[p - starts[id(bracket)]] for p in bracket.places}
+            else:
+                proposed.append((bracket, _cuts(bracket, values, starts[id(bracket)])))
+        if not proposed:
+            break
+        aggregates = [
+            F.count(F.when(bracket.inside() & test, 1))
+            for bracket, cuts in proposed
+            for cut in cuts
+            for test in (F.col(bracket.column) < F.lit(cut), F.col(bracket.column) == F.lit(cut))
+        ]
+        counts = iter(table.agg(*aggregates).first() if aggregates else ())
+        todo, starts_then, starts = [], starts, {}
+        for bracket, cuts in proposed:
+            at, low = starts_then[id(bracket)], bracket.low
+            ends = [(cut, next(counts), next(counts)) for cut in cuts]
+            first = at
+            for cut, less, same in [*ends, (bracket.high, bracket.rows, 0)]:
+                inner = _Bracket(bracket.column, first + less - at, [p for p in bracket.places if at <= p < first + less], low, cut)
+                if inner.places:
+                    todo.append(inner)
+                    starts[id(inner)] = at
+                at = first + less
+                found |= {(bracket.column, p): cut for p in bracket.places if at <= p < at + same}
+                at, low = at + same, cut
+    return {c: [found.get((c, p)) for p in places[c]] for c in columns}
+
+
+def _samples(table: DataFrame, brackets: list[_Bracket], sample_rows: int, seed: int) -> list[list]:
+    """Sorted values of each bracket: all, or a random part, of which ``sample_rows`` in all are expected."""
+    most = max(1, sample_rows // len(brackets))
+    parts = []
+    for number, bracket in enumerate(brackets):
+        drawn = F.lit(True) if bracket.rows <= most else F.rand(seed * 1009 + number) < most / bracket.rows
+        value = F.struct(F.lit(number).alias("number"), F.col(bracket.column).alias("value"))
+        parts.append(F.when(bracket.inside() & drawn, value))
+    out: list[list] = [[] for _ in brackets]
+    for row in table.select(F.explode(F.filter(F.array(*parts), lambda p: p.isNotNull())).alias("p")).select("p.*").collect():
+        out[row["number"]].append(row["value"])
+    return [sorted(values, key=in_order) for values in out]
+
+
+def _cuts(bracket: _Bracket, sample: list, start: int) -> list:
+    """Values of the sample that the wanted ranks of a bracket most likely lie between."""
+    if not sample:
+        return []
+    spread = 2 + int(2 * len(sample) ** 0.5)
+    cuts = set()
+    for p in bracket.places:
+        middle = (p - start) * len(sample) // bracket.rows
+        cuts |= {max(0, middle - spread), min(len(sample) - 1, middle + spread)}
+    return list(dict.fromkeys(sample[i] for i in sorted(cuts)))

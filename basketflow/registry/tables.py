@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -14,9 +16,10 @@ from basketflow.operators.profile import row_counts
 from basketflow.registry import models
 from basketflow.registry.common import DAILY, DEMOGRAPHICS, MODELS, SALES, Inputs, query, r4, rounded, sql
 from basketflow.session import materialize, scratch_path
-from basketflow.sources import files, keyed, schemas
+from basketflow.sources import clustered, files, keyed, schemas
 from basketflow.sources.namespace import Namespace, ensure_namespace
 from basketflow.sources.serving import ServingStore, verify_tables
+from basketflow.streaming import digests as snapshots
 from basketflow.streaming.change_feed import as_log, change_feed
 from basketflow.streaming.publish import refreshed, start_refresh
 
@@ -302,3 +305,51 @@ def log_merge(x: Inputs) -> DataFrame:
     )
     stream.awaitTermination()
     return refreshed(x.spark, target, log.schema, key, version, "change").drop("version")
+
+
+@query(
+    "changes_between",
+    sql(
+        select=f"""SELECT customer_id, CASE WHEN a.num_purchases IS NULL THEN 'insert' WHEN b.num_purchases IS NULL THEN 'delete'
+          ELSE 'update' END AS change, coalesce(b.num_purchases, a.num_purchases) AS num_purchases,
+          coalesce(b.total_spent, a.total_spent) AS total_spent
+        FROM {_window_summary("DATE '2001-01-01' AND DATE '2001-03-31'")} a
+        FULL JOIN {_window_summary("DATE '2001-01-01' AND DATE '2001-04-01'")} b USING (customer_id)
+        WHERE a.num_purchases IS DISTINCT FROM b.num_purchases OR a.total_spent IS DISTINCT FROM b.total_spent"""
+    ),
+)
+def changes_between(x: Inputs) -> DataFrame:
+    """Two written snapshots a day apart, compared by the digests of their key ranges."""
+    paths = []
+    for first, last in (("2001-01-01", "2001-03-31"), ("2001-01-01", "2001-04-01")):
+        paths.append(scratch_path(x.spark, "digested"))
+        snapshots.write_snapshot(materialize(_window(x, first, last), "window"), paths[-1], ["customer_id"])
+    return snapshots.changes_between(x.spark, *paths, ["customer_id"])
+
+
+@query(
+    "clustered_purchases",
+    sql(
+        select="""SELECT 'customer' AS chosen, count(*) AS num_rows, round(sum(price) + 1e-9, 4) AS revenue FROM t WHERE customer_id = 'Customer#000000007'
+        UNION ALL SELECT 'article', count(*), round(sum(price) + 1e-9, 4) FROM t WHERE article_id = 42
+        UNION ALL SELECT 'week', count(*), round(sum(price) + 1e-9, 4) FROM t WHERE t_dat BETWEEN DATE '2000-03-06' AND DATE '2000-03-12'
+        UNION ALL SELECT 'all', count(*), round(sum(price) + 1e-9, 4) FROM t"""
+    ),
+)
+def clustered_purchases(x: Inputs) -> DataFrame:
+    """Purchases of a customer, an article and a week from one clustered table."""
+    path = scratch_path(x.spark, "clustered")
+    clustered.write_clustered(x.t, path, files=8)
+    chosen = {
+        "customer": {"customer_id": "Customer#000000007"},
+        "article": {"article_id": 42},
+        "week": {"t_dat": (dt.date(2000, 3, 6), dt.date(2000, 3, 12))},
+        "all": {},
+    }
+    parts = [
+        clustered.read_clustered(x.spark, path, **wanted)
+        .agg(F.count(F.lit(1)).alias("num_rows"), r4(F.sum("price")).alias("revenue"))
+        .select(F.lit(name).alias("chosen"), "num_rows", "revenue")
+        for name, wanted in chosen.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)

@@ -35,10 +35,10 @@ def check_key(df: DataFrame, keys: list[str]) -> None:
 def write_feature_table(df: DataFrame, name: str, keys: list[str], path: str | None = None) -> DataFrame:
     """Create or replace a feature table whose key is checked before any reader sees it.
 
-    The rows are written once, beside the table; only if they have the key they take its place. After
+    The rows are written once, sorted by key, beside the table; only if they have the key they take its place. After
     a ``KeyViolation`` the old table is as it was.
     """
-    spark = df.sparkSession
+    spark, df = df.sparkSession, sorted_by_key(df, keys)
     if "/" not in name:
         return write_version(df, name, path or f"{scratch_dir(spark)}/tables/{name}", lambda rows: check_key(rows, keys))
     staged = f"{name.rstrip('/')}.staged-{uuid.uuid4().hex}"
@@ -52,11 +52,39 @@ def write_feature_table(df: DataFrame, name: str, keys: list[str], path: str | N
     return read_table(spark, name)
 
 
-def lookup_features(keys_df: DataFrame, features: DataFrame, keys: list[str]) -> DataFrame:
+# Keys that are handed to the scan of a feature table; the rows of more keys are found by a join alone.
+KEYS_IN_SCAN = 1_000
+
+
+def sorted_by_key(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows in ranges of the key, sorted inside: file statistics then leave out most of a table for few keys."""
+    return df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+
+
+def _few_keys(features: DataFrame, keys_df: DataFrame, keys: list[str]) -> DataFrame:
+    """The feature rows that have some of few keys, selected inside the scan; all rows if the keys are many."""
+    few = keys_df.select(*keys).distinct().limit(KEYS_IN_SCAN + 1).collect()
+    if len(few) > KEYS_IN_SCAN:
+        return features
+    for k in keys:
+        features = features.filter(F.col(k).isin([r[k] for r in few if r[k] is not None]))
+    return features
+
+
+def lookup_features(keys_df: DataFrame, features: DataFrame, keys: list[str], max_bytes: int | None = None) -> DataFrame:
     """Feature columns for the given keys; keys without features keep nulls.
 
-    A single key may repeat without limit: hot keys are dealt out.
+    Few keys are handed to the scan of the feature table, so that no more of it is read and moved than
+    holds them: most is left out of tables that ``write_feature_table`` wrote. Keys may repeat without
+    limit: hot ones are dealt out, also those of several columns. A key that is missing in part finds
+    nothing.
     """
+    found = _few_keys(features, keys_df, keys)
     if len(keys) == 1:
-        return lookup_join(keys_df, features, keys[0], "left")
-    return keys_df.join(features, keys, "left")
+        return lookup_join(keys_df, found, keys[0], "left", max_bytes=max_bytes)
+    whole = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    key = F.when(whole, F.struct(*keys)).alias("_key")
+    rows = keys_df.select("*", key)
+    side = found.select(key, *[c for c in found.columns if c not in keys])
+    joined = lookup_join(rows, side, "_key", "left", spread=[c for c in keys_df.columns if c not in keys] or keys, max_bytes=max_bytes)
+    return joined.drop("_key").select(*keys, *[c for c in joined.columns if c not in [*keys, "_key"]])

@@ -261,14 +261,30 @@ def next_item_recommend(
     )
 
 
-def ensemble_blend(models: dict[str, DataFrame], weights: BlendWeights, top_k: int = TOP_K) -> DataFrame:
+def popular_list(popularity: DataFrame, top_n: int = TOP_K) -> list[int]:
+    """The one list of at most ``top_n`` articles that popularity has for everybody."""
+    return [r["article_id"] for r in top_popular(popularity, top_n).select("article_id", "popularity_score").collect()]
+
+
+def ensemble_blend(
+    models: dict[str, DataFrame],
+    weights: BlendWeights,
+    top_k: int = TOP_K,
+    for_all: dict[str, list[int]] | None = None,
+) -> DataFrame:
     """Weighted reciprocal-rank blend for the customers that all models know.
 
-    One equi-join per model on rows of one short list each; the blend itself stays inside the row.
+    One equi-join per model on rows of one short list each; the blend itself stays inside the row. A
+    model with one list for every customer is given by that list in ``for_all`` and needs no join.
     """
-    joined = None
-    for name, _ in weights.as_pairs():
+    joined, columns = None, []
+    for name, weight in weights.as_pairs():
+        if for_all and name in for_all:
+            columns.append((F.array(*[F.lit(a) for a in for_all[name]]).cast("array<long>"), weight))
+            continue
         side = models[name].select("customer_id", F.col("predicted_articles").alias(name))
         joined = side if joined is None else joined.join(side, "customer_id")
-    blended = lists.blend([(F.col(name), weight) for name, weight in weights.as_pairs()], top_k)
-    return joined.select("customer_id", blended.alias("predicted_articles"))
+        columns.append((F.col(name), weight))
+    if joined is None:
+        raise ValueError("a blend needs at least one model that knows its customers")
+    return joined.select("customer_id", lists.blend(columns, top_k).alias("predicted_articles"))

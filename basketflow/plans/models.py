@@ -66,7 +66,9 @@ def predict_with_ensemble(
 ) -> DataFrame:
     """Lists of the base models and their blend in one written table with model_name."""
     lists = predict(fitted, segments, transactions, reference)
-    lists["ensemble"] = recommend.ensemble_blend(lists, weights)
+    # All customers of the segments have the popular list: it needs no join.
+    popular = recommend.popular_list(fitted["popularity"])
+    lists["ensemble"] = recommend.ensemble_blend(lists, weights, for_all={"popularity": popular})
     out = None
     for name, df in lists.items():
         named = df.select("customer_id", "predicted_articles", F.lit(name).alias("model_name"))

@@ -24,8 +24,12 @@ def fitted(x: Inputs) -> dict[str, DataFrame]:
     return models.fit(x.e, x.segments, E_CUTS.train)
 
 
+def predictions_of(x: Inputs, tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    return models.predict(tables, x.segments, x.e, E_CUTS.train)
+
+
 def base_predictions(x: Inputs) -> dict[str, DataFrame]:
-    return models.predict(fitted(x), x.segments, x.e, E_CUTS.train)
+    return predictions_of(x, fitted(x))
 
 
 def all_predictions(x: Inputs) -> DataFrame:

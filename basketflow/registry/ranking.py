@@ -63,7 +63,9 @@ def next_item_recommend(x: Inputs) -> DataFrame:
 
 @query("ensemble_blend", _lists_of("ensemble"))
 def ensemble_blend(x: Inputs) -> DataFrame:
-    return _text_lists(recommend.ensemble_blend(models.base_predictions(x), models.WEIGHTS))
+    fitted = models.fitted(x)
+    popular = {"popularity": recommend.popular_list(fitted["popularity"])}
+    return _text_lists(recommend.ensemble_blend(models.predictions_of(x, fitted), models.WEIGHTS, for_all=popular))
 
 
 @query(

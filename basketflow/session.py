@@ -112,7 +112,12 @@ def rename_folder(spark: SparkSession, path: str, target: str) -> bool:
 
 
 def replace_folder(spark: SparkSession, staged: str, target: str) -> None:
-    """Put a finished folder in another's place: two renames, and the old one is deleted last."""
+    """Put a finished folder in another's place: two renames, and the old one is deleted last.
+
+    Between the renames there is no folder of that name for a moment: readers that may come then
+    should read a catalog table, which is pointed at its new folder. On an object store a rename
+    copies the files.
+    """
     store, new = _files(spark, staged)
     _, place = _files(spark, target)
     _, old = _files(spark, f"{target}.old-{uuid.uuid4().hex}")

@@ -43,6 +43,12 @@ def test_no_product_join_and_no_python(spark, key):
         assert word not in plan
 
 
+def test_the_blend_joins_once(spark):
+    plan = plan_of(entry.queries()["ensemble_blend"](spark, SMALL))
+    # The lists of age groups and of last articles are looked up; only their customers are joined.
+    assert plan.split("Initial Plan")[0].count("customer_id") and len(re.findall(r"Join \[customer_id", plan.split("Initial Plan")[0])) == 1
+
+
 def windows_on_one_task(plan):
     return re.search(r"Window .*\n(.*Sort.*\n)?.*Exchange SinglePartition", plan)
 

@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 from itertools import groupby
 
 import pyarrow as pa
@@ -188,10 +189,9 @@ def damage(
 
 
 def with_faults(rows: DataFrame) -> DataFrame:
-    """Add ``again`` (role and text seen earlier), ``fault`` (the first that a row has) and ``tie``.
+    """Add ``again`` (role and text seen earlier), ``fault`` (the first that a row has) and ``tie``, a hash of the text.
 
-    Rows of a conversation are ordered by turn (missing first), role and a hash of the text, copies
-    last. Rows of one text are dealt by all of conversation, role and text.
+    Rows of one text are dealt by all of conversation, role and text.
     """
     earlier = Window.partitionBy("conv", "gone", "role", "text").orderBy(F.col("turn").asc_nulls_first())
     last = F.right(F.rtrim("text", F.lit(SPACE)), F.lit(1))
@@ -205,7 +205,29 @@ def with_faults(rows: DataFrame) -> DataFrame:
 _COUNTS = "gaps long, blank long, duplicate long, truncated long, illegal long, cost long, audit string"
 
 
+def with_ties(faulty: DataFrame) -> DataFrame:
+    """The rows with ``tie`` in the order of the texts where rows of one turn and role have several.
+
+    Such rows are rare: only they are looked at, and most tables have none.
+    """
+    of = ["conv", "turn", "role"]
+    crowded = faulty.filter(~F.col("gone")).groupBy(*of).agg(F.min("tie").alias("low"), F.max("tie").alias("high"))
+    crowded = materialize(crowded.filter("low <> high").select(*of), "crowded-turns")
+    if crowded.isEmpty():
+        return faulty
+
+    def same(columns: list[str]) -> Column:
+        return reduce(lambda a, b: a & b, [F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")) for c in columns])
+
+    texts = faulty.alias("l").join(crowded.alias("r"), same(of), "left_semi").select(*of, "tie", "text").distinct()
+    ranked = texts.withColumn("place", F.row_number().over(Window.partitionBy(*of).orderBy("text"))).drop("text")
+    joined = faulty.alias("l").join(ranked.alias("r"), same([*of, "tie"]), "left")
+    own = [F.col(f"l.{c}") for c in faulty.columns if c != "tie"]
+    return materialize(joined.select(*own, F.coalesce("r.place", "l.tie").cast("long").alias("tie")), "ordered-faults")
+
+
 def _order() -> list[Column]:
+    """Rows of a conversation by turn (missing first), role and text, copies last."""
     return [F.col("turn").asc_nulls_first(), F.col("role"), F.col("tie"), F.col("again")]
 
 
@@ -317,11 +339,11 @@ def repair(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Audits of the conversations in rows (conv, turn, role, text, gone), and the rows with their faults.
 
     The faults are written once; ``repaired_rows`` and ``repaired_digests`` take both results. A
-    missing ``conv`` is a conversation of its own. One without rows, or whose rows are all ``gone``,
+    missing ``conv`` is a conversation of its own. Rows of one turn are taken by role and text. One without rows, or whose rows are all ``gone``,
     has zeros and an empty audit. Repeated rows are duplicates of the first. An empty table gives
     empty results.
     """
-    faulty = materialize(with_faults(rows), "faults")
+    faulty = with_ties(materialize(with_faults(rows), "faults"))
     return materialize(audit(faulty), "audits"), faulty
 
 

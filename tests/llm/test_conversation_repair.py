@@ -60,7 +60,7 @@ def brute(rows):
     out = []
     for conv in {r[0] for r in rows}:
         mine = [r for r in brute_damage(rows) if r[0] == conv]
-        mine.sort(key=lambda r: (r[1] is not None, r[1] or 0, r[2]))
+        mine.sort(key=lambda r: (r[1] is not None, r[1] or 0, r[2], r[3]))
         seen, marked = set(), []
         for _, _, role, text in mine:
             last = text.rstrip(WS)[-1:]
@@ -114,6 +114,16 @@ def test_odd_rows(spark):
     same(found(frame(spark, rows)), brute(rows))
 
 
+def test_rows_of_one_turn_are_taken_by_role_and_text(spark):
+    rng = random.Random(6)
+    rows = [
+        (conv, rng.choice([None, 0, 1]), rng.choice(["user", "assistant"]), rng.choice(["b.", "a.", "ä!", "B?", "z", ""]))
+        for conv in range(60)
+        for _ in range(rng.randrange(1, 9))
+    ]
+    same(found(frame(spark, rows)), brute(rows))
+
+
 def test_conversations_without_rows(spark):
     gone = next(t for t in range(1000) if zlib.crc32(f"8:{t}".encode()) % 20 == 0)
     rows = [(8, gone, "user", "Dropped.")]

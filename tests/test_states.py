@@ -9,10 +9,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from basketflow.operators import bitmaps, dashboard, filters, text_index
+from basketflow.registry import ORACLE, QUERIES
 from basketflow.session import materialize, scratch_path
 from basketflow.sources.serving import ServingStore
 from basketflow.streaming.change_feed import as_log, change_feed
 from basketflow.streaming.publish import compact, list_folder, merge_log, refresh_serving, refreshed, start_refresh
+from tests.conftest import SMALL
+from tests.oracle import compare, connect
 from tests.test_jobs import no_broadcast, plan_of  # noqa: F401 - a fixture
 
 
@@ -197,3 +200,8 @@ def test_pages_beyond_a_hundred_thousand_rows(spark, monkeypatch):
     assert [(r.day, r.id) for r in found[:2]] == [(79, 79), (79, 479)] and len(found) == 20 and keys_written == []
 
 
+@pytest.mark.parametrize("key", ["ensemble_blend", "product_explorer", "customer_list", "transaction_lookup", "sequence_recommend", "log_merge"])
+def test_queries_without_broadcast(spark, no_broadcast, key):  # noqa: F811
+    found = QUERIES[key](spark, SMALL)
+    assert compare(found, connect(SMALL), ORACLE[key]) is None
+    assert "BroadcastHashJoin" not in plan_of(found).split("Final Plan")[-1].split("Initial Plan")[0]

@@ -330,14 +330,14 @@ def changes_between(x: Inputs) -> DataFrame:
 @query(
     "clustered_purchases",
     sql(
-        select="""SELECT 'customer' AS chosen, count(*) AS num_rows, round(sum(price) + 1e-9, 4) AS revenue FROM t WHERE customer_id = 'Customer#000000007'
-        UNION ALL SELECT 'article', count(*), round(sum(price) + 1e-9, 4) FROM t WHERE article_id = 42
-        UNION ALL SELECT 'week', count(*), round(sum(price) + 1e-9, 4) FROM t WHERE t_dat BETWEEN DATE '2000-03-06' AND DATE '2000-03-12'
-        UNION ALL SELECT 'all', count(*), round(sum(price) + 1e-9, 4) FROM t"""
+        select="""SELECT 'customer' AS chosen, count(*) AS num_rows, CAST(sum(CAST(price AS DECIMAL(20, 4))) AS DOUBLE) AS revenue FROM t WHERE customer_id = 'Customer#000000007'
+        UNION ALL SELECT 'article', count(*), CAST(sum(CAST(price AS DECIMAL(20, 4))) AS DOUBLE) FROM t WHERE article_id = 42
+        UNION ALL SELECT 'week', count(*), CAST(sum(CAST(price AS DECIMAL(20, 4))) AS DOUBLE) FROM t WHERE t_dat BETWEEN DATE '2000-03-06' AND DATE '2000-03-12'
+        UNION ALL SELECT 'all', count(*), CAST(sum(CAST(price AS DECIMAL(20, 4))) AS DOUBLE) FROM t"""
     ),
 )
 def clustered_purchases(x: Inputs) -> DataFrame:
-    """Purchases of a customer, an article and a week from one clustered table."""
+    """Purchases of a customer, an article and a week from one clustered table; revenue as an exact sum."""
     path = scratch_path(x.spark, "clustered")
     clustered.write_clustered(x.t, path, files=8)
     chosen = {
@@ -348,7 +348,7 @@ def clustered_purchases(x: Inputs) -> DataFrame:
     }
     parts = [
         clustered.read_clustered(x.spark, path, **wanted)
-        .agg(F.count(F.lit(1)).alias("num_rows"), r4(F.sum("price")).alias("revenue"))
+        .agg(F.count(F.lit(1)).alias("num_rows"), F.sum(F.col("price").cast("decimal(20,4)")).cast("double").alias("revenue"))
         .select(F.lit(name).alias("chosen"), "num_rows", "revenue")
         for name, wanted in chosen.items()
     ]

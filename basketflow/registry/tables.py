@@ -135,17 +135,20 @@ def serving_publish(x: Inputs) -> DataFrame:
 
 def _publish_gold(x: Inputs) -> tuple[ServingStore, list[str], DataFrame]:
     store, schema = _store(x), _fresh_schema()
+    # Order lines meet their orders once, for all tables.
+    purchases = scratch_path(x.spark, "purchases")
+    t = files.write_table(x.t, purchases)
     frames = {
-        "product_sales_summary": gold.product_sales_summary(x.t, x.articles),
-        "customer_demographics": gold.customer_demographics(x.customers, x.t),
-        "time_series_sales": gold.time_series_daily(x.t),
+        "product_sales_summary": gold.product_sales_summary(t, x.articles),
+        "customer_demographics": gold.customer_demographics(x.customers, t),
+        "time_series_sales": gold.time_series_daily(t),
     }
     keys = {"product_sales_summary": ["article_id"], "customer_demographics": ["customer_id"], "time_series_sales": ["date"]}
     configs = [ServingTable(n, f"shared.{schema}.{n}_synced", keys[n]) for n in frames]
     configs[1] = ServingTable("customer_demographics", configs[1].target, ["customer_id"], "TRIGGERED")
     # The channel is not a key of the purchases: this one has to fail without stopping the rest.
-    configs.append(ServingTable("transactions", f"shared.{schema}.transactions_synced", ["sales_channel_id"]))
-    report = store.publish_many(configs, {**frames, "transactions": x.t})
+    configs.append(ServingTable(purchases, f"shared.{schema}.transactions_synced", ["sales_channel_id"]))
+    report = store.publish_many(configs, frames)
     return store, [c.target for c in configs], report
 
 

@@ -14,6 +14,8 @@ from basketflow.sources.keyed import check_key
 
 POLICIES = ("SNAPSHOT", "TRIGGERED", "CONTINUOUS")
 _NAME = re.compile(r"^[A-Za-z0-9_]+$")
+# Rows of a written table whose key is looked at before the table is copied.
+FIRST_ROWS = 1_000
 _REPORT = "target string, success boolean, detail string"
 _STATUS = "target string, exists boolean, source string, primary_key string, policy string, num_rows long"
 
@@ -63,15 +65,18 @@ class ServingStore:
         """Copy ``source`` to the serving table ``target`` and return "published" or "skipped".
 
         The snapshot is written once, into a folder of its own, and its key is checked there; then the
-        table is pointed at it. After a ``KeyViolation`` the old snapshot is still served. An unknown
-        policy counts as SNAPSHOT, as every policy starts with a full copy; a TRIGGERED or CONTINUOUS
-        table goes on with ``streaming.publish.refresh_serving``.
+        table is pointed at it. After a ``KeyViolation`` the old snapshot is still served. A named source
+        is written already, so that its first rows cost little: if the key fails in these, nothing is
+        copied. An unknown policy counts as SNAPSHOT, as every policy starts with a full copy; a TRIGGERED
+        or CONTINUOUS table goes on with ``streaming.publish.refresh_serving``.
         """
         keys = primary_key or ["id"]
         database, table = self._place(target)
         if skip_if_exists and self.exists(target):
             return "skipped"
         df = read_table(self.spark, source) if isinstance(source, str) else source
+        if isinstance(source, str):
+            check_key(df.limit(FIRST_ROWS), keys)
         if create_database:
             self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}` LOCATION '{self.root}/{database}'")
         folder = f"{self.root}/{database}/{table}"

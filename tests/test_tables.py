@@ -11,12 +11,15 @@ from basketflow.functions import encoding
 from basketflow.operators import evaluate, pairs
 from basketflow.operators.filters import between_dates
 from basketflow.plans import propensity, retail_job, scoring
+from basketflow.registry import QUERIES
 from basketflow.session import materialize, scratch_path
-from basketflow.sources import files, keyed, schemas
+from basketflow.sources import files, keyed, schemas, serving
 from basketflow.sources.namespace import Namespace, ensure_namespace
 from basketflow.sources.serving import ServingStore, parse_target, verify_tables
 from basketflow.streaming.change_feed import apply_changes, change_feed
 from basketflow.streaming.publish import latest_per_key, refreshed, start_refresh
+from tests.conftest import SMALL
+from tests.test_jobs import plan_of
 
 
 def test_csv_keeps_bad_lines(spark, tmp_path):
@@ -103,6 +106,30 @@ def test_serving(spark):
     assert store.drop(target) and not store.exists(target)
 
 
+def test_a_bad_key_is_refused_before_the_copy(spark, monkeypatch):
+    store, path = ServingStore(spark, scratch_path(spark, "serving")), scratch_path(spark, "source")
+    files.write_table(spark.range(5_000).select((F.col("id") % 3).alias("id")), path)
+    with monkeypatch.context() as patched:
+        patched.setattr(serving, "write_version", lambda *_: pytest.fail("copied"))
+        with pytest.raises(keyed.KeyViolation):
+            store.publish(path, "shared.refused.items")
+    # A key that fails behind the first rows fails in the copy.
+    files.write_table(spark.range(3_000).union(spark.range(2_999, 3_000)).coalesce(1), path)
+    with pytest.raises(keyed.KeyViolation):
+        store.publish(path, "shared.refused.items")
+    assert not store.exists("shared.refused.items")
+    files.write_table(spark.range(3_000), path)
+    assert store.publish(path, "shared.refused.items") == "published" and store.read("shared.refused.items").count() == 3_000
+
+
+@pytest.mark.parametrize("key", ["serving_publish_many", "serving_status"])
+def test_published_tables_share_one_join(spark, monkeypatch, key):
+    seen, publish = {}, ServingStore.publish_many
+    monkeypatch.setattr(ServingStore, "publish_many", lambda self, configs, sources: seen.update(sources) or publish(self, configs, sources))
+    assert QUERIES[key](spark, SMALL).count() == 4
+    assert len(seen) == 3 and not any("lineitem" in plan_of(df) for df in seen.values())
+
+
 def test_missing_tables_are_named(spark, x):
     with pytest.raises(LookupError, match="nowhere"):
         verify_tables(spark, {"customers": x.customers, "nowhere": "no.such.table"})

@@ -296,17 +296,15 @@ def log_merge(x: Inputs) -> DataFrame:
     """The last of four snapshots, rebuilt from the logs of changes between them, a batch each."""
     key, version = ["customer_id"], ["version"]
     snapshots = [materialize(_window(x, *w), "snapshot") for w in _WINDOWS]
-    source, target = scratch_path(x.spark, "log-in"), scratch_path(x.spark, "log-out")
+    source, target, state = (scratch_path(x.spark, n) for n in ("log-in", "log-out", "log-state"))
     before = snapshots[0].limit(0)
     for number, after in enumerate(snapshots):
         log = as_log(change_feed(before, after, key), F.lit(number), "version")
-        log.coalesce(1).write.mode("append").parquet(source)
+        log.write.mode("append").parquet(source)
+        # The new files, however many, are one batch.
+        stream = start_refresh(x.spark, source, target, state, log.schema, key, version, compact_every=3, change="change")
+        stream.awaitTermination()
         before = after
-    stream = start_refresh(
-        x.spark, source, target, scratch_path(x.spark, "log-state"), log.schema, key, version,
-        files_per_batch=1, compact_every=3, change="change",
-    )
-    stream.awaitTermination()
     return refreshed(x.spark, target, log.schema, key, version, "change").drop("version")
 
 

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from basketflow.operators import bitmaps, dashboard, filters, text_index
-from basketflow.registry import ORACLE, QUERIES
+from basketflow.registry import ORACLE, QUERIES, tables
 from basketflow.session import materialize, scratch_path
 from basketflow.sources.serving import ServingStore
 from basketflow.streaming.change_feed import as_log, change_feed
@@ -69,6 +69,20 @@ def test_replayed_logs_equal_the_target_snapshot(spark):
     assert spark.read.parquet(f"{target}/{max(folders)}").filter("change = 'delete'").count() == 0
 
 
+def test_a_log_is_a_batch_of_many_files(spark, monkeypatch):
+    paths, setting = {}, "spark.sql.adaptive.coalescePartitions.enabled"
+    monkeypatch.setattr(tables, "scratch_path", lambda s, label: paths.setdefault(label, scratch_path(s, label)))
+    spark.conf.set(setting, "false")
+    try:
+        found = QUERIES["log_merge"](spark, SMALL)
+        assert compare(found, connect(SMALL), ORACLE["log_merge"]) is None
+    finally:
+        spark.conf.unset(setting)
+    logs = [f for f in list_folder(spark, paths["log-in"]) if f.startswith("part-")]
+    batches = [f for f in list_folder(spark, f"{paths['log-state']}/commits") if f.isdigit()]
+    assert len(batches) == 4 and len(logs) > 8
+
+
 def test_kept_tombstones_hold_back_late_rows(spark):
     schema = "k long, v long, change string, version long"
     first = spark.createDataFrame([(1, 1, "insert", 1), (1, None, "delete", 5), (2, 7, "insert", 2)], schema)

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from basketflow.operators.bitmaps import value_numbers
 from basketflow.operators.skew import lookup_join
+from basketflow.session import materialize
 
 DIMENSIONS = ("customer_id", "article_id", "t_dat")
 # Bits of each rank that are interleaved, rows of a file and bytes of a row group.
@@ -30,20 +31,24 @@ def interleaved(ranks: list[Column], bits: int = BITS) -> Column:
     return out
 
 
-def with_place(df: DataFrame, dimensions: tuple[str, ...] = DIMENSIONS, bits: int = BITS) -> DataFrame:
+def with_place(
+    df: DataFrame, dimensions: tuple[str, ...] = DIMENSIONS, bits: int = BITS, values: DataFrame | None = None
+) -> DataFrame:
     """Add ``_place``, the interleaved bits of the ranks; a missing value ranks before all others.
 
     Ranks are dense numbers of the distinct values scaled to ``bits`` bits, so that every dimension has
     the same weight. A customer or article with a large share of the rows is dealt out in the joins.
+    ``values``, if given, has the dimensions of all rows as a written table: they are read several times.
     """
+    values = df if values is None else values
     ranked, ranks = df, []
     for i, column in enumerate(dimensions):
-        numbers = value_numbers(df, column)
+        numbers = value_numbers(values, column)
         count = numbers.count()
         others = [c for c in df.columns if c != column]
         scaled = F.floor((F.col("number") - 1) * F.lit(float((1 << bits) - 1)) / max(1, count - 1)).cast("long")
         named = numbers.select(column, scaled.alias(f"_rank{i}"))
-        ranked = lookup_join(ranked, named, column, "left", spread=others, hot_from=df)
+        ranked = lookup_join(ranked, named, column, "left", spread=others, hot_from=values)
         ranks.append(F.coalesce(F.col(f"_rank{i}"), F.lit(0).cast("long")))
     return ranked.withColumn("_place", interleaved(ranks, bits)).drop(*[f"_rank{i}" for i in range(len(dimensions))])
 
@@ -58,12 +63,14 @@ def write_clustered(
 ) -> None:
     """Write ``df`` in clustered order: consecutive ranges of the order to the files, sorted inside.
 
-    ``files`` fixes their number; by default there is one per ``file_rows`` rows.
+    A file is what one task sorts: there is one per ``file_rows`` rows, or ``files`` if these are more.
     """
-    count = files or max(1, -(-df.count() // file_rows))
+    values = materialize(df.select(*dimensions), "dimensions")
+    count = max(files or 1, -(-values.count() // file_rows))
     # Rows in one place are told apart, so that a crowded place is spread over files, too.
     keys = ["_place", *dimensions]
-    dealt = with_place(df, dimensions).repartitionByRange(count, *keys).sortWithinPartitions(*keys).drop("_place")
+    placed = with_place(df, dimensions, values=values)
+    dealt = placed.repartitionByRange(count, *keys).sortWithinPartitions(*keys).drop("_place")
     dealt.write.mode("overwrite").option("parquet.block.size", row_group_bytes).parquet(path)
 
 

@@ -62,6 +62,13 @@ def test_clustered_files_leave_out_most_for_any_of_three(spark, no_broadcast):
     assert several.count() == df.filter("article_id in (1, 2, 3)").count()
 
 
+def test_no_clustered_file_outgrows_its_rows(spark):
+    df, path = purchases(spark), scratch_path(spark, "clustered")
+    clustered.write_clustered(df, path, files=8, file_rows=2_000)
+    rows = [pq.ParquetFile(f).metadata.num_rows for f in pathlib.Path(path).glob("*.parquet")]
+    assert sum(rows) == df.count() and len(rows) >= 30 and max(rows) < 4_000
+
+
 def test_interleaved_bits(spark):
     rows = spark.createDataFrame([(a, b, c) for a in range(4) for b in range(4) for c in range(4)], "a long, b long, c long")
     got = rows.withColumn("z", clustered.interleaved([F.col("a"), F.col("b"), F.col("c")], 2)).collect()

@@ -100,7 +100,9 @@ _PURCHASE_PERIODS = {"daily": "t_dat", "weekly": "date_trunc('week', t_dat)", "m
 def time_series_from_state(x: Inputs) -> DataFrame:
     """The exact figures of three granularities from two daily states, the second with values the first has not."""
     half = F.lit("1999-01-01").cast("date")
-    early, late = x.t.filter(F.col("t_dat") < half), x.t.filter(F.col("t_dat") >= half)
+    # Numbers, sums and bitmaps of both halves read the purchases: these are joined and written once.
+    t = materialize(x.t.select("t_dat", "customer_id", "article_id", "price"), "purchases")
+    early, late = t.filter(F.col("t_dat") < half), t.filter(F.col("t_dat") >= half)
     numbers = {name: bitmaps.value_numbers(early, column) for name, column in bitmaps.COUNTED.items()}
     first = bitmaps.daily_state(early, numbers)
     numbers = {name: bitmaps.value_numbers(late, column, numbers[name]) for name, column in bitmaps.COUNTED.items()}

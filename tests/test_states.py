@@ -124,6 +124,13 @@ def test_bitmaps_equal_counting_purchases(spark, x, no_broadcast):  # noqa: F811
         assert scans and "events.parquet" not in plan_of(made) and all(s.startswith("/daily") for s in scans)
 
 
+def test_daily_states_share_one_join(spark, monkeypatch):
+    seen, state = [], bitmaps.daily_state
+    monkeypatch.setattr(bitmaps, "daily_state", lambda t, numbers: seen.append(t) or state(t, numbers))
+    assert QUERIES["time_series_from_state"](spark, SMALL).count() > 0
+    assert len(seen) == 2 and not any("Join" in plan_of(t) for t in seen)
+
+
 def test_bitmaps_of_any_group_and_many_blocks(spark):
     pairs = spark.range(200_000).select((F.col("id") % 7).alias("g"), F.when(F.col("id") % 11 > 0, F.col("id") % 70_001).alias("v"))
     numbers = bitmaps.value_numbers(pairs, "v")

@@ -247,6 +247,13 @@ def test_network_and_logistic_compete(x):
     assert best["is_best"] and 0.5 < best["accuracy"] <= 1 and best["num_pairs"] == coded.count()
 
 
+def test_pairs_are_made_once_for_all_candidates(spark, monkeypatch):
+    seen, train = [], propensity.train_propensity
+    monkeypatch.setattr(propensity, "train_propensity", lambda *pairs: seen.extend(pairs) or train(*pairs))
+    assert QUERIES["purchase_propensity"](spark, SMALL).count() == 1 + len(propensity.REGULARIZATION)
+    assert len(seen) == 2 and not any("Join" in plan_of(df) for df in seen)
+
+
 def test_report_without_model_names(spark):
     predicted = spark.createDataFrame([("a", [1, 2]), ("b", [3])], "customer_id string, predicted_articles array<long>")
     bought = spark.createDataFrame([("a", 2, 1), ("c", 9, 4)], "customer_id string, article_id long, copies long")
